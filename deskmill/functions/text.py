@@ -103,7 +103,6 @@ def plain_base64(payload: Column) -> Column:
 def line_chunks(text: Column, lines: int = LINES_PER_CHUNK) -> Column:
     """The text cut into runs of ``lines`` lines, as an array: no shuffle is needed."""
 
-
     def cut(rows: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(rows), F.lit(lines))
         return F.transform(starts, lambda at: F.array_join(F.slice(rows, at, lines), "\n"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.functions.text import let
-from deskmill.operators.skew import spread
+from deskmill.operators.skew import spread, unnest
 
 WORDS = 5
 LETTERS = 12
@@ -15,7 +15,6 @@ LETTERS = 12
 def _grams(parts: Column, n: int, glue: str) -> Column:
     """Hashes of all runs of ``n`` parts."""
 
-
     def hashes(parts: Column) -> Column:
         last = F.size(parts) - n + 1
         starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
@@ -51,7 +50,7 @@ def passages_in_documents(passages: DataFrame, documents: DataFrame) -> DataFram
     docs = spread(documents.select("doc_id", "text"))
 
     anchors = known.filter(long).select("passage", _hash(F.slice(words, 2, WORDS), " ").alias("gram"))
-    runs = docs.select("doc_id", F.explode(F.array_distinct(_grams(_words(F.col("text")), WORDS, " "))).alias("gram"))
+    runs = unnest(docs, "doc_id", array=F.array_distinct(_grams(_words(F.col("text")), WORDS, " ")), value="gram")
     candidates = runs.join(anchors, "gram").select("passage", "doc_id")
 
     n = F.least(F.length("passage"), F.lit(LETTERS))
@@ -60,9 +59,8 @@ def passages_in_documents(passages: DataFrame, documents: DataFrame) -> DataFram
         first = short.filter(F.col("n") == size).select(
             "passage", _hash(F.slice(_letters(F.col("passage")), 1, size), "").alias("gram")
         )
-        runs = docs.select(
-            "doc_id", F.explode(F.array_distinct(_grams(_letters(F.col("text")), size, ""))).alias("gram")
-        )
+        letters = F.array_distinct(_grams(_letters(F.col("text")), size, ""))
+        runs = unnest(docs, "doc_id", array=letters, value="gram")
         candidates = candidates.unionByName(runs.join(first, "gram").select("passage", "doc_id"))
 
     return (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskmill.operators.skew import BLOCK, joined_in_order, number_rows, top_per_key
+from deskmill.operators.skew import BLOCK, joined_in_order, number_rows, top_per_key, unnest
 
 # Message types, roles, kept keys, texts and event types of the log format.
 FUNCTION_CALL, MESSAGE, REASONING, FUNCTION_OUTPUT = (
@@ -92,8 +92,14 @@ def normalize_messages(messages: DataFrame) -> DataFrame:
         .when(known, one(plain))
     )
     return (
-        messages.withColumn("_m", F.parse_json("message"))
-        .select("conv_id", "turn", F.posexplode(rows).alias("part", "r"))
+        unnest(
+            messages.withColumn("_m", F.parse_json("message")),
+            "conv_id",
+            "turn",
+            array=rows,
+            value="r",
+            position="part",
+        )
         .select("conv_id", "turn", "part", "r.*")
     )
 
@@ -207,7 +213,8 @@ def fold_chunks(chunks: DataFrame, block: int = BLOCK) -> DataFrame:
         F.concat(F.array(text_item), F.coalesce(call_items, F.array().cast(_ITEMS))),
         lambda it: (it["item_type"] != MESSAGE) | (it["body"] != ""),
     )
-    return whole.select(*keys, F.posexplode(items).alias("item_no", "it")).select(*keys, "item_no", "it.*")
+    rows = unnest(whole, *keys, array=items, value="it", position="item_no")
+    return rows.select(*keys, "item_no", "it.*")
 
 
 _ITEMS = "array<struct<item_type: string, item_id: string, name: string, body: string>>"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.functions.text import flat_key
+from deskmill.operators.skew import unnest
 
 
 def current_values(assignments: DataFrame) -> DataFrame:
@@ -62,13 +63,19 @@ def apply_assignments(assignments: DataFrame) -> DataFrame:
     ``a.b.c``), so no prefix comparison between all keys takes place.
     """
     current = current_values(assignments)
-    depth = F.size(F.split("key", r"\."))
-    levels = F.when(depth > 1, F.sequence(F.lit(1), depth - 1)).otherwise(F.array().cast("array<int>"))
-    lineage = current.select(
+    depth = F.size(F.split("child", r"\."))
+    levels = F.sequence(F.lit(1), depth - 1)
+    ancestors = F.transform(
+        levels, lambda n: F.call_function("substring_index", F.col("child"), F.lit("."), n)
+    )
+    children = current.select("owner", F.col("key").alias("child"), F.col("seq").alias("child_seq"))
+    lineage = unnest(
+        children.filter(F.contains(F.col("child"), F.lit("."))),
         "owner",
-        F.col("key").alias("child"),
-        F.col("seq").alias("child_seq"),
-        F.explode(F.transform(levels, lambda n: F.call_function("substring_index", F.col("key"), F.lit("."), n))).alias("key"),
+        "child",
+        "child_seq",
+        array=ancestors,
+        value="key",
     )
     pruned = (
         lineage.join(current.select("owner", "key", "seq"), ["owner", "key"])

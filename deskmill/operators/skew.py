@@ -21,6 +21,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def unnest(df: DataFrame, *keep: str, array: Column, value: str, position: str = "_pos") -> DataFrame:
+    """One row per element of an array, with its position unless that goes unnamed.
+
+    A plain ``explode`` makes Spark test the array's size beforehand, and so compute the
+    array twice: costly where it is made from a whole text or in Python. The outer form
+    has no such test; the rows it adds for empty arrays are dropped by their position.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias(position, value)).filter(
+        F.col(position).isNotNull()
+    )
+    return rows.drop("_pos")
+
+
 def top_per_key(
     df: DataFrame,
     keys: list[str],

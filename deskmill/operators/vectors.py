@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from deskmill.functions.embedding import embed
-from deskmill.operators.skew import spread, top_per_key
+from deskmill.operators.skew import spread, top_per_key, unnest
 from deskmill.sources.snapshots import changed_keys
 
 DIGITS = 6
@@ -40,7 +40,7 @@ def build_index(source: DataFrame, keys: list[str], text: str) -> DataFrame:
 def long_form(index: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, bucket, n)`` for every bucket that is not empty."""
     return (
-        index.select(*keys, F.posexplode("vector").alias("bucket", "n"))
+        unnest(index, *keys, array=F.col("vector"), value="n", position="bucket")
         .filter("n <> 0")
         .select(*keys, F.col("bucket").cast("bigint").alias("bucket"), F.col("n").cast("bigint").alias("n"))
     )
@@ -284,7 +284,7 @@ def search_approximately(
     def hashed(df: DataFrame, key: str) -> DataFrame:
         cells = [vector_to_array(F.col("hashes")[i])[0] for i in range(tables * width)]
         buckets = F.array(*[F.xxhash64(*cells[i : i + width]) for i in range(0, len(cells), width)])
-        return model.transform(df).select(key, "vector", F.posexplode(buckets).alias("tab", "bucket"))
+        return unnest(model.transform(df), key, "vector", array=buckets, value="bucket", position="tab")
 
     right, left = hashed(held, "id"), hashed(asked, "query_id")
     # One row per bucket: how many blocks its vectors and its queries need.

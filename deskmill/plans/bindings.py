@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskmill.operators.messages import ITEM_DONE, TEXT_DELTA
+from deskmill.operators.skew import unnest
 from deskmill.session import table
 
 # The day reports are made for, and the day policies were last changed.
@@ -121,9 +122,8 @@ def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sequence(F.lit(0).cast("bigint"), n - 1),
         lambda i: F.substring(F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE)),
     )
-    return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", (n - 1).alias("last_seq"), F.posexplode(cut).alias("seq", "piece")
-    ).select(
+    turns = table(spark, sf_dir, "conversations").withColumn("last_seq", n - 1)
+    return unnest(turns, "conv_id", "turn", "last_seq", array=cut, value="piece", position="seq").select(
         "conv_id",
         "turn",
         F.col("seq").cast("bigint").alias("seq"),

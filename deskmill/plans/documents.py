@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from deskmill.functions import text
 from deskmill.functions.embedding import embed
 from deskmill.operators import containment, evaluation, vectors
-from deskmill.operators.skew import spread
+from deskmill.operators.skew import spread, unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
 from deskmill.plans.tables import AFTER_SQL
-from deskmill.session import table
+from deskmill.session import scratch, table
 from deskmill.streaming import index_refresh
-from deskmill.session import scratch
 
 TOP_K = 10
 
@@ -152,9 +151,8 @@ def retrieve_with_citations(spark, sf_dir):
        FROM l GROUP BY doc_id, pos // 4""",
 )
 def chunk_documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.posexplode(text.line_chunks(F.col("text"))).alias("chunk_no", "chunk")
-    )
+    chunks = text.line_chunks(F.col("text"))
+    return unnest(table(spark, sf_dir, "documents"), "doc_id", array=chunks, value="chunk", position="chunk_no")
 
 
 # HTML headings as markdown headings.
@@ -170,9 +168,8 @@ _HEADING = r"<h([1-6])[^>]*>"
 )
 def chunk_by_heading(spark, sf_dir):
     markdown = F.regexp_replace("html", _HEADING, "\n## ")
-    return table(spark, sf_dir, "pages").select(
-        "page_id", F.posexplode(text.heading_chunks(markdown)).alias("chunk_no", "chunk")
-    )
+    chunks = text.heading_chunks(markdown)
+    return unnest(table(spark, sf_dir, "pages"), "page_id", array=chunks, value="chunk", position="chunk_no")
 
 
 # -- evaluation over documents --------------------------------------------------------------
