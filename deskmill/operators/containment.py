@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.functions.text import let
-from deskmill.operators.skew import spread, unnest
+from deskmill.operators.skew import unnest
+from deskmill.session import materialized
 
 WORDS = 5
 LETTERS = 12
@@ -44,10 +45,10 @@ def passages_in_documents(passages: DataFrame, documents: DataFrame) -> DataFram
     there, and the two meet by the hash of that run. A passage of too few words meets by
     its first letters in the same way. Candidates are then checked by ``contains``.
     """
-    known = spread(passages.filter("passage <> ''").select("passage").distinct())
+    known = passages.filter("passage <> ''").select("passage").distinct()
     words = _words(F.col("passage"))
     long = F.size(words) >= WORDS + 2
-    docs = spread(documents.select("doc_id", "text"))
+    docs = documents.select("doc_id", "text")
 
     anchors = known.filter(long).select("passage", _hash(F.slice(words, 2, WORDS), " ").alias("gram"))
     runs = unnest(docs, "doc_id", array=F.array_distinct(_grams(_words(F.col("text")), WORDS, " ")), value="gram")
@@ -63,11 +64,12 @@ def passages_in_documents(passages: DataFrame, documents: DataFrame) -> DataFram
         runs = unnest(docs, "doc_id", array=letters, value="gram")
         candidates = candidates.unionByName(runs.join(first, "gram").select("passage", "doc_id"))
 
+    # Few documents are candidates; with their number known their texts need no shuffle.
+    checked = materialized(candidates.distinct(), "candidates")
     return (
-        candidates.join(documents.select("doc_id", "text"), "doc_id")
+        checked.join(documents.select("doc_id", "text"), "doc_id")
         .filter(F.col("text").contains(F.col("passage")))
         .select("passage", "doc_id")
-        .distinct()
     )
 
 

@@ -8,19 +8,6 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input of few splits.
-
-    A single small file is one split and would keep one core busy. Inputs of many splits,
-    as on a cluster, are left alone: they would pay for a shuffle and gain nothing.
-    """
-    context = df.sparkSession.sparkContext
-    cores = context.defaultParallelism
-    if df.rdd.getNumPartitions() > cores:
-        return df
-    return df.repartition(cores)
-
-
 def unnest(df: DataFrame, *keep: str, array: Column, value: str, position: str = "_pos") -> DataFrame:
     """One row per element of an array, with its position unless that goes unnamed.
 

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from deskmill.functions.embedding import embed
-from deskmill.operators.skew import spread, top_per_key, unnest
+from deskmill.operators.skew import top_per_key, unnest
+from deskmill.session import materialized
 from deskmill.sources.snapshots import changed_keys
 
 DIGITS = 6
 BROADCAST_QUERIES = 20_000  # 20,000 vectors of 64 doubles are 10 MB
 BLOCK_VECTORS = 100_000
-TASKS_PER_MERGE = 1_000
+MERGE_SALTS = 8
 CELLS = 2_000_000  # similarities held at once by one task, 16 MB
 
 
@@ -33,8 +34,7 @@ CELLS = 2_000_000  # similarities held at once by one task, 16 MB
 
 def build_index(source: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One vector per key. A narrow job: rows stay where they were read."""
-    rows = spread(source.select(*keys, text))
-    return rows.select(*keys, F.sha2(text, 256).alias("content_hash"), embed(F.col(text)).alias("vector"))
+    return source.select(*keys, F.sha2(text, 256).alias("content_hash"), embed(F.col(text)).alias("vector"))
 
 
 def long_form(index: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,7 +51,9 @@ def sync_index(index: DataFrame, before: DataFrame, after: DataFrame, key: str,
 
     Only new and changed texts are embedded; rows of changed and deleted keys leave.
     """
-    changes = changed_keys(before.select(key, text), after.select(key, text), key, [text])
+    changes = materialized(
+        changed_keys(before.select(key, text), after.select(key, text), key, [text]), "changes"
+    )
     kept = index.join(changes, key, "left_anti")
     fresh = after.join(changes.filter("change <> 'delete'"), key, "left_semi")
     return kept.unionByName(build_index(fresh, [key], text))
@@ -158,7 +160,7 @@ def _search_by_broadcast(corpus: DataFrame, queries: DataFrame, k: int) -> DataF
         if best is not None:
             yield from _named(best, query_ids).to_batches()
 
-    return spread(_doubles(corpus, "id")).mapInArrow(best_of_task, schema)
+    return _doubles(corpus, "id").mapInArrow(best_of_task, schema)
 
 
 def _search_by_blocks(corpus: DataFrame, queries: DataFrame, k: int, n_queries: int, n_vectors: int, block: int) -> DataFrame:
@@ -196,12 +198,15 @@ def _best_of_groups(left: DataFrame, right: DataFrame, keys: list[str], k: int,
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best_of_group, schema)
 
 
-def _merged(found: DataFrame, k: int, without_self: bool, parts: int = 1) -> DataFrame:
-    """The best of all tasks. Many tasks first meet in groups of about ``TASKS_PER_MERGE``."""
+def _merged(found: DataFrame, k: int, without_self: bool) -> DataFrame:
+    """The best of all tasks, each of which found ``k`` per query.
+
+    With few queries and very many tasks a query's rows meet in ``MERGE_SALTS`` tasks
+    first, so that merging is not left to as many tasks as there are queries.
+    """
     if without_self:
         found = found.filter("query_id <> id")
-    salts = math.ceil(parts / TASKS_PER_MERGE)
-    return top_per_key(found, ["query_id"], _order(), k, salts=salts, salt_on=("id",))
+    return top_per_key(found, ["query_id"], _order(), k, salts=MERGE_SALTS, salt_on=("id",))
 
 
 def search(
@@ -223,12 +228,9 @@ def search(
     wanted = k + 1 if without_self else k
     if n_queries <= broadcast_queries:
         found = _search_by_broadcast(corpus, queries, wanted)
-        parts = corpus.rdd.getNumPartitions()
     else:
-        n_vectors = corpus.count()
-        found = _search_by_blocks(corpus, queries, wanted, n_queries, n_vectors, block)
-        parts = math.ceil(n_vectors / block)
-    return _merged(found, k, without_self, parts)
+        found = _search_by_blocks(corpus, queries, wanted, n_queries, corpus.count(), block)
+    return _merged(found, k, without_self)
 
 
 def search_self(index: DataFrame, key: str, k: int, **how) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from deskmill.operators.messages import ITEM_DONE, TEXT_DELTA
 from deskmill.operators.skew import unnest
-from deskmill.session import table
+from deskmill.session import spread_table, table
 
 # The day reports are made for, and the day policies were last changed.
 AS_OF = date(2025, 1, 15)
@@ -112,7 +112,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 5, body(role=lit("assistant"), content=lit(""), tool_calls=calls))
         .otherwise(body(id=call_id, status=lit("completed")))
     )
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", message.alias("message"))
+    return spread_table(spark, sf_dir, "conversations").select("conv_id", "turn", message.alias("message"))
 
 
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,7 @@ def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sequence(F.lit(0).cast("bigint"), n - 1),
         lambda i: F.substring(F.col("text"), (i * PIECE + 1).cast("int"), F.lit(PIECE)),
     )
-    turns = table(spark, sf_dir, "conversations").withColumn("last_seq", n - 1)
+    turns = spread_table(spark, sf_dir, "conversations").withColumn("last_seq", n - 1)
     return unnest(turns, "conv_id", "turn", "last_seq", array=cut, value="piece", position="seq").select(
         "conv_id",
         "turn",
@@ -163,7 +163,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     length = F.greatest(F.ceil(F.length("text") / PIECE), F.lit(1))
     tails = (
-        table(spark, sf_dir, "conversations")
+        spread_table(spark, sf_dir, "conversations")
         .filter(kind > 0)
         .select("conv_id", "turn", length.alias("n"), F.posexplode(F.array(*rest)).alias("i", "tool_calls"))
         .select(
@@ -186,7 +186,7 @@ def response_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", "seq", F.lit(TEXT_DELTA).alias("type"), item.alias("item_id"),
         F.col("piece").alias("payload"), custom.alias("custom"),
     )
-    done = table(spark, sf_dir, "conversations").select(
+    done = spread_table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.greatest(F.ceil(F.length("text") / PIECE), F.lit(1)).alias("seq"),
         F.lit(ITEM_DONE).alias("type"), item.alias("item_id"), F.col("text").alias("payload"), custom.alias("custom"),
     )

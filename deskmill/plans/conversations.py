@@ -9,7 +9,7 @@ from deskmill.plans import bindings
 from deskmill.plans.bindings import AS_OF, POLICY_DAY
 from deskmill.plans.documents import blocked_sql, tokens_sql
 from deskmill.plans.registry import query
-from deskmill.session import scratch, table
+from deskmill.session import scratch, spread_table, table
 from deskmill.streaming import chunk_fold, index_refresh
 
 PROMPT = "You are a support assistant."
@@ -78,7 +78,7 @@ def pending_step(spark, sf_dir):
         FROM conversations GROUP BY conv_id HAVING count(*) >= {CAP}""",
 )
 def cap_turns(spark, sf_dir):
-    return messages.cap_turns(table(spark, sf_dir, "conversations"), CAP)
+    return messages.cap_turns(spread_table(spark, sf_dir, "conversations"), CAP)
 
 
 _PIECES_SQL = """
@@ -178,7 +178,7 @@ def _matches_sql(words: tuple[str, ...]) -> str:
         FROM conversations WHERE role = 'user'""",
 )
 def route_questions(spark, sf_dir):
-    asked = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    asked = spread_table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
     return asked.select(
         "conv_id", "turn", tools.route(F.col("text"), STRUCTURED_WORDS, DOCUMENT_WORDS).alias("agent")
     )
@@ -197,7 +197,7 @@ _SENTENCES_SQL = r"len(list_filter(regexp_split_to_array({}, '[.!?]+'), lambda s
 
 @query("score_relevance", f"WITH {_PAIRS_SQL} SELECT conv_id, turn, {_RELEVANCE_SQL} AS relevance FROM pairs")
 def score_relevance(spark, sf_dir):
-    pairs = evaluation.answered_turns(table(spark, sf_dir, "conversations"))
+    pairs = evaluation.answered_turns(spread_table(spark, sf_dir, "conversations"))
     score = evaluation.relevance(F.col("question"), F.col("answer"))
     return pairs.select("conv_id", "turn", score.alias("relevance"))
 
@@ -212,7 +212,7 @@ def score_relevance(spark, sf_dir):
         SELECT * FROM s UNION ALL SELECT NULL, NULL, scorer, round(avg(score), 6) FROM s GROUP BY scorer""",
 )
 def evaluate_answers(spark, sf_dir):
-    return evaluation.evaluate_answers(evaluation.answered_turns(table(spark, sf_dir, "conversations")))
+    return evaluation.evaluate_answers(evaluation.answered_turns(spread_table(spark, sf_dir, "conversations")))
 
 
 @query(
@@ -221,7 +221,7 @@ def evaluate_answers(spark, sf_dir):
                {_SENTENCES_SQL.format('text')} <= 2 AS style_ok FROM conversations""",
 )
 def style_check(spark, sf_dir):
-    return evaluation.style_check(table(spark, sf_dir, "conversations"))
+    return evaluation.style_check(spread_table(spark, sf_dir, "conversations"))
 
 
 @query(

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from deskmill.functions import text
 from deskmill.functions.embedding import embed
 from deskmill.operators import containment, evaluation, vectors
-from deskmill.operators.skew import spread, unnest
+from deskmill.operators.skew import unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
 from deskmill.plans.tables import AFTER_SQL
-from deskmill.session import scratch, table
+from deskmill.session import materialized, scratch, spread_table, table
 from deskmill.streaming import index_refresh
 
 TOP_K = 10
@@ -53,7 +53,7 @@ NEIGHBOURS_SQL = f"""
 
 
 def document_index(spark, sf_dir):
-    return vectors.build_index(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    return vectors.build_index(spread_table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
 def questions(spark, sf_dir):
@@ -62,7 +62,7 @@ def questions(spark, sf_dir):
 
 
 def embeddings(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    return spread_table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
 
 
 @query("embed_index", buckets_sql("documents", "doc_id"))
@@ -87,7 +87,7 @@ def incremental_sync(spark, sf_dir):
 )
 def search_docs_top1(spark, sf_dir):
     corpus = document_index(spark, sf_dir).select(F.col("doc_id").alias("id"), "vector")
-    best = vectors.search(corpus, questions(spark, sf_dir), 1)
+    best = materialized(vectors.search(corpus, questions(spark, sf_dir), 1), "hits")
     documents = table(spark, sf_dir, "documents")
     return best.join(documents, best["id"] == documents["doc_id"]).select(
         F.col("query_id").alias("item_id"),
@@ -129,10 +129,10 @@ _URI_SQL = """SELECT 'knowledge_base://' || doc_id AS id, text FROM documents
         FROM hits""",
 )
 def retrieve_with_citations(spark, sf_dir):
-    knowledge = table(spark, sf_dir, "documents").select(
+    knowledge = spread_table(spark, sf_dir, "documents").select(
         F.concat(F.lit("knowledge_base://"), F.col("doc_id")).alias("uri"), "text"
     )
-    tickets = table(spark, sf_dir, "conversations").select(
+    tickets = spread_table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("tickets://"), F.concat_ws("/", "conv_id", "turn")).alias("uri"), "text"
     )
     indexes = {
@@ -152,7 +152,7 @@ def retrieve_with_citations(spark, sf_dir):
 )
 def chunk_documents(spark, sf_dir):
     chunks = text.line_chunks(F.col("text"))
-    return unnest(table(spark, sf_dir, "documents"), "doc_id", array=chunks, value="chunk", position="chunk_no")
+    return unnest(spread_table(spark, sf_dir, "documents"), "doc_id", array=chunks, value="chunk", position="chunk_no")
 
 
 # HTML headings as markdown headings.
@@ -197,7 +197,9 @@ def retrieval_hit_rate(spark, sf_dir):
        FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY item_id""",
 )
 def groundedness(spark, sf_dir):
-    return containment.groundedness(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+    return containment.groundedness(
+        table(spark, sf_dir, "benchmark"), spread_table(spark, sf_dir, "documents")
+    )
 
 
 def blocked_sql(column: str) -> str:
@@ -212,7 +214,7 @@ def blocked_sql(column: str) -> str:
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY toxic""",
 )
 def score_safety(spark, sf_dir):
-    return evaluation.score_safety(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+    return evaluation.score_safety(spread_table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query(

@@ -9,7 +9,7 @@ from deskmill.operators import lookups, metadata
 from deskmill.plans import bindings
 from deskmill.plans.bindings import AS_OF, POLICY_DAY
 from deskmill.plans.registry import iso_days, query
-from deskmill.session import TABLES, scratch, table, view
+from deskmill.session import TABLES, scratch, spread_table, table, view
 from deskmill.sources import csv_tables, landing, profile, snapshots
 
 # -- sources --------------------------------------------------------------------------------
@@ -22,7 +22,7 @@ def scan_all(spark, sf_dir):
 
 @query("csv_multiline_scan", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_multiline_scan(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     path = scratch(spark, "csv")
     csv_tables.write_csv(documents, path)
     return csv_tables.scan_csv(spark, path, documents.schema)
@@ -30,7 +30,7 @@ def csv_multiline_scan(spark, sf_dir):
 
 @query("idempotent_load", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def idempotent_load(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_table(spark, sf_dir, "documents")
     landed, target = scratch(spark, "landed"), scratch(spark, "loaded")
     csv_tables.write_csv(documents, landed)
     for _ in range(2):  # the second run finds every file loaded
@@ -46,7 +46,7 @@ def overwrite_load(spark, sf_dir):
     path = scratch(spark, "billing")
     name = "billing_" + path.rsplit("-", 1)[1]
     for source in ("customer", "orders"):  # the second load replaces rows and schema
-        rows = table(spark, sf_dir, source)
+        rows = spread_table(spark, sf_dir, source)
         landed = scratch(spark, "landed")
         csv_tables.write_csv(rows, landed)
         csv_tables.overwrite_table(csv_tables.scan_csv(spark, landed, rows.schema), name, path)
@@ -77,7 +77,7 @@ def table_profile(spark, sf_dir):
        FROM documents""",
 )
 def binary_roundtrip(spark, sf_dir):
-    files = table(spark, sf_dir, "documents").select(
+    files = spread_table(spark, sf_dir, "documents").select(
         "doc_id",
         F.concat_ws("/", F.lit("landing"), "source", F.concat(F.col("doc_id"), F.lit(".pdf"))).alias("path"),
         F.col("text").cast("binary").alias("bytes"),
@@ -343,7 +343,7 @@ def login_prefix(spark, sf_dir):
                '[\x00-\x1f\x7f]', '', 'g')), 1, 255) AS safe_name FROM documents""",
 )
 def safe_name(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.safe_name(F.col("text")).alias("safe_name"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", text.safe_name(F.col("text")).alias("safe_name"))
 
 
 @query(
@@ -376,7 +376,7 @@ def name_parts(spark, sf_dir):
 
 def _tagged(spark, sf_dir):
     doc = text.indexed_doc(F.col("lang"), F.col("source"), F.col("doc_id").cast("string"), F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", doc.alias("indexed_doc"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", doc.alias("indexed_doc"))
 
 
 @query(

@@ -40,6 +40,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row, read with every core.
+
+    A single small file is one split and would keep one core busy. Inputs of many splits,
+    as on a cluster, are left as they are: they would pay for a shuffle and gain nothing.
+    """
+    scan = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() > cores else scan.repartition(cores)
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """Write a small intermediate result to the shared folder and go on from there.
+
+    It is computed once however often it is used, survives lost executors, and its size is
+    known to the planner, which broadcasts it only if it is small.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Register a table as a temporary view and return the view's name.
 
@@ -69,7 +91,3 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder path for one run; nothing is created until Spark writes to it."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from deskmill.session import materialized
+
 # Fields may hold newlines, and a quote inside a field is doubled.
 READ_OPTIONS = {
     "header": "true",
@@ -71,7 +73,28 @@ def load_new_files(
     before = table_or_none(spark, target)
     empty = spark.createDataFrame([], f"{SOURCE_FILE} string")
     done = empty if before is None else before.select(SOURCE_FILE).distinct()
+    done = materialized(done, "loaded_files")  # what was loaded before this run
+
+    # Names of new files only, which the reader's own listing holds on the driver as well.
+    new = [row.path for row in files.join(done, SOURCE_FILE, "left_anti").collect()]
+    if new:
+        _append_files(spark, new, target, schema)
+
+    after = table_or_none(spark, target)
+    held = empty if after is None else after.select(SOURCE_FILE).distinct()
+    return (
+        files.select(SOURCE_FILE)
+        .join(done.withColumn("was", F.lit(True)), SOURCE_FILE, "left")
+        .join(held.withColumn("now", F.lit(True)), SOURCE_FILE, "left")
+        .select(
+            SOURCE_FILE,
+            F.when(F.col("was"), "skipped").when(F.col("now"), "loaded").otherwise("failed").alias("status"),
+        )
+    )
 
+
+def _append_files(spark: SparkSession, paths: list[str], target: str, schema: StructType) -> None:
+    """Append the files of which every row fits the schema."""
     bad = "_bad_row"
     rows = (
         spark.read.options(**READ_OPTIONS)
@@ -79,10 +102,8 @@ def load_new_files(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", bad)
         .schema(StructType([*schema.fields, StructField(bad, StringType())]))
-        .option("pathGlobFilter", pattern)
-        .csv(folder)
+        .csv(paths)
         .withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-        .join(done, SOURCE_FILE, "left_anti")
     )
     # Hashing all columns makes the reader parse all of them, so that no bad field hides.
     seen_bad = F.max(F.when(F.col(bad).isNotNull(), F.xxhash64(*schema.names)))
@@ -90,18 +111,6 @@ def load_new_files(
     good = rows.join(failed.select(SOURCE_FILE), SOURCE_FILE, "left_anti").drop(bad)
     good.write.mode("append").parquet(target)
 
-    after = table_or_none(spark, target)
-    held = empty if after is None else after.select(SOURCE_FILE).distinct()
-    return (
-        files.select(SOURCE_FILE)
-        .join(done.withColumn("was", F.lit(True)), SOURCE_FILE, "left")
-        .join(held.withColumn("now", F.lit(True)), SOURCE_FILE, "left")
-        .select(
-            SOURCE_FILE,
-            F.when(F.col("was"), "skipped").when(F.col("now"), "loaded").otherwise("failed").alias("status"),
-        )
-    )
-
 
 def overwrite_table(df: DataFrame, name: str, path: str) -> None:
     """Replace a table, its schema included, by the rows of ``df``."""

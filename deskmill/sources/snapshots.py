@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskmill.session import materialized
+
 
 def row_hash(df: DataFrame, columns: list[str]):
     """SHA-256 over all columns; NULL differs from the empty text."""
@@ -28,9 +30,12 @@ def changed_keys(before: DataFrame, after: DataFrame, key: str, columns: list[st
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """The changed rows with a ``change_type``; an update gives the row before and after."""
+    """The changed rows with a ``change_type``; an update gives the row before and after.
+
+    The keys that changed are found first, from hashes, and only their rows are fetched.
+    """
     columns = [c for c in after.columns if c != key]
-    changes = changed_keys(before, after, key, columns)
+    changes = materialized(changed_keys(before, after, key, columns), "changes")
     old = before.join(changes.filter("change <> 'insert'"), key).withColumn(
         "change_type", F.when(F.col("change") == "update", "update_preimage").otherwise(F.col("change"))
     )

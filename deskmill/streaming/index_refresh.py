@@ -2,7 +2,8 @@
 
 The index is a folder of batches. Each micro-batch writes the vectors of its own rows to
 ``batch_id=N`` and touches nothing else, so a batch costs what its own rows cost. A batch
-that runs again after a failure overwrites its own folder, so no row can appear twice.
+that runs again after a failure overwrites its own folder, so no row can appear twice. A batch moves no
+data between machines.
 Readers take the newest vector per key; :func:`compact` writes that down when batches
 have piled up.
 """
@@ -29,19 +30,13 @@ def read_stream(
     return reader.parquet(folder).withColumn(VERSION, F.col("_metadata.file_modification_time"))
 
 
-def newest_rows(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """One row per key: the newest, and of equally new ones the greatest text."""
-    last = F.max_by(F.struct(text), F.struct(VERSION, text))
-    return rows.groupBy(*keys).agg(last.alias("r"), F.max(VERSION).alias(VERSION)).select(*keys, "r.*", VERSION)
-
-
 def refresh_index(
     stream: DataFrame, keys: list[str], text: str, target: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Start the refresh: once over what is new, or ``every`` interval until stopped."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        index = build_index(newest_rows(batch, keys, text), [*keys, VERSION], text)
+        index = build_index(batch, [*keys, VERSION], text)
         index.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -52,14 +47,14 @@ def refresh_index(
 def current_index(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
     """The newest vector of every key."""
     batches = spark.read.option("basePath", target).parquet(f"{target}/batch_id=*")
-    newest = F.max_by(F.struct("content_hash", "vector"), F.struct("batch_id", VERSION))
+    newest = F.max_by(F.struct("content_hash", "vector"), F.struct("batch_id", VERSION, "content_hash"))
     return batches.groupBy(*keys).agg(newest.alias("r")).select(*keys, "r.*")
 
 
 def compact(spark: SparkSession, target: str, keys: list[str], compacted: str) -> None:
     """Write the current index as one batch of a new folder."""
     batches = spark.read.option("basePath", target).parquet(f"{target}/batch_id=*")
-    last = F.max_by(F.struct("content_hash", "vector", VERSION), F.struct("batch_id", VERSION))
+    last = F.max_by(F.struct("content_hash", "vector", VERSION), F.struct("batch_id", VERSION, "content_hash"))
     batches.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*").write.mode("overwrite").parquet(
         f"{compacted}/batch_id=0"
     )
