@@ -136,7 +136,7 @@ def expected_total_check(answers: DataFrame) -> DataFrame:
     """Do the numbers of an answer add up to the total it states?"""
 
     def number(text: Column) -> Column:
-        return F.replace(text, F.lit(","), F.lit("")).cast("bigint")
+        return F.replace(text, F.lit(","), F.lit("")).try_cast("bigint")
 
     parts = F.regexp_extract_all("answer", F.lit(r"(?m)^([0-9,]+) returns"), F.lit(1))
     added = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc + number(p))

@@ -30,5 +30,5 @@ def land_binary(spark: SparkSession, folder: str, target: str, pattern: str = "*
 
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """One row per file with its base name and whole text."""
-    texts = spark.read.option("pathGlobFilter", pattern).option("wholetext", "true").text(folder)
+    texts = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
     return texts.select(file_name(F.col("_metadata.file_path")).alias("file_name"), F.col("value").alias("text"))
