@@ -12,9 +12,21 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 
-def create_functions(spark: SparkSession, interactions: str, policies: str, as_of: date, prefix: str = "") -> dict[str, str]:
+def _create(temporary: bool) -> str:
+    return "CREATE OR REPLACE TEMPORARY FUNCTION" if temporary else "CREATE OR REPLACE FUNCTION"
+
+
+def create_functions(
+    spark: SparkSession,
+    interactions: str,
+    policies: str,
+    as_of: date,
+    prefix: str = "",
+    temporary: bool = True,
+) -> dict[str, str]:
     """Create the functions over two views or tables and return their names.
 
+    Persistent functions need persistent tables; temporary ones also work over views.
     ``interactions(date_time, issue_category, issue_description, name, email, row_id)`` and
     ``policies(policy, policy_details, last_updated, row_id)``.
     """
@@ -26,25 +38,25 @@ def create_functions(spark: SparkSession, interactions: str, policies: str, as_o
     interaction_columns = """
         RETURNS TABLE (purchase_date DATE, issue_category STRING, issue_description STRING, name STRING)"""
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {names["get_latest_return"]}() {interaction_columns}
+        {_create(temporary)} {names["get_latest_return"]}() {interaction_columns}
         COMMENT 'The newest interaction of all customers'
         RETURN SELECT cast(date_time AS DATE), issue_category, issue_description, name
         FROM {interactions} ORDER BY date_time DESC, row_id DESC LIMIT 1""")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {names["latest_return_of"]}(
+        {_create(temporary)} {names["latest_return_of"]}(
             p_email STRING COMMENT 'Customer to look up') {interaction_columns}
         COMMENT 'The newest interaction of one customer; safe to call laterally'
         RETURN SELECT cast(r.date_time AS DATE), r.issue_category, r.issue_description, r.name
         FROM (SELECT {newest} AS r FROM {interactions} WHERE email = p_email GROUP BY email)""")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {names["get_order_history"]}(
+        {_create(temporary)} {names["get_order_history"]}(
             p_email STRING COMMENT 'Customer to look up')
         RETURNS TABLE (returns_last_12_months INT, issue_category STRING, todays_date DATE)
         COMMENT 'Interactions of one customer per category'
         RETURN SELECT count(*), issue_category, DATE '{as_of.isoformat()}'
         FROM {interactions} WHERE email = p_email GROUP BY issue_category""")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {names["get_return_policy"]}(
+        {_create(temporary)} {names["get_return_policy"]}(
             p_policy STRING COMMENT 'Policy to look up')
         RETURNS TABLE (policy STRING, policy_details STRING, last_updated DATE)
         COMMENT 'The details of one policy'
@@ -54,6 +66,37 @@ def create_functions(spark: SparkSession, interactions: str, policies: str, as_o
     return names
 
 
+def create_search(
+    spark: SparkSession, index: str, documents: str, name: str = "search_product_docs", temporary: bool = True
+) -> str:
+    """A table function that finds the document nearest to a search term.
+
+    ``index(id, bucket, n)`` is a vector index in long form and ``documents(id,
+    product_name, doc)`` what it was made from. The term is embedded like the documents;
+    its few buckets are joined to the index, which is read once. Equal similarities go to
+    the lower id, and where the term shares no bucket with any document there is no row.
+    """
+    spark.sql(f"""
+        {_create(temporary)} {name}(p_search_term STRING COMMENT 'What to look for')
+        RETURNS TABLE
+        COMMENT 'The document nearest to a search term'
+        RETURN
+        WITH term AS (
+            SELECT bucket, count(*) AS n FROM (
+                SELECT cast(conv(substr(md5(token), 1, 8), 16, 10) AS BIGINT) % 64 AS bucket
+                FROM (SELECT explode(split(lower(p_search_term), '[^\\\\p{{L}}\\\\p{{N}}]+')) AS token)
+                WHERE token <> '')
+            GROUP BY bucket),
+        near AS (
+            SELECT i.id, round(sum(i.n * t.n) / (sqrt(sum(i.n * i.n)) * (SELECT sqrt(sum(n * n)) FROM term)), 6) AS similarity
+            FROM (SELECT id, bucket, n FROM {index}) i LEFT JOIN term t ON i.bucket = t.bucket
+            GROUP BY i.id),
+        best AS (SELECT max_by(id, struct(similarity, -id)) AS id, max(similarity) AS similarity
+                 FROM near WHERE similarity IS NOT NULL)
+        SELECT d.product_name, d.doc, b.similarity FROM best b JOIN {documents} d ON d.id = b.id""")
+    return name
+
+
 def set_variable(spark: SparkSession, name: str, kind: str, query: str) -> None:
     """Declare a session variable and fill it from a one-row query."""
     spark.sql(f"DECLARE OR REPLACE VARIABLE {name} {kind}")

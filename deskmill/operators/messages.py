@@ -106,19 +106,19 @@ def normalize_messages(messages: DataFrame) -> DataFrame:
 
 def prepend_system(normalized: DataFrame, prompt: str) -> DataFrame:
     """Every conversation with the system prompt, if not empty, in front; ``position`` from 0."""
-    columns = ["conv_id", "turn", "part", "role", "content"]
-    rows = normalized.select(*columns)
-    if prompt:
-        first = rows.select("conv_id").distinct().select(
-            "conv_id",
-            F.lit(-1).cast("bigint").alias("turn"),
-            F.lit(0).alias("part"),
-            F.lit(SYSTEM).alias("role"),
-            F.lit(prompt).alias("content"),
-        )
-        rows = first.unionByName(rows)
+    rows = normalized.select("conv_id", "turn", "part", "role", "content")
     numbered = number_rows(rows, ["conv_id"], "turn", ["part"], "position")
-    return numbered.select("conv_id", "position", "role", "content")
+    if not prompt:
+        return numbered.select("conv_id", "position", "role", "content")
+
+    def row(position: Column, role: Column, content: Column) -> Column:
+        return F.struct(position.alias("position"), role.alias("role"), content.alias("content"))
+
+    # The first row of a conversation brings the prompt along, so nothing is read again.
+    own = row(F.col("position") + 1, F.col("role"), F.col("content"))
+    system = row(F.lit(0).cast("bigint"), F.lit(SYSTEM), F.lit(prompt))
+    both = F.when(F.col("position") == 0, F.array(system, own)).otherwise(F.array(own))
+    return numbered.select("conv_id", F.explode(both).alias("r")).select("conv_id", "r.*")
 
 
 def pending_step(normalized: DataFrame) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskmill.functions import text
+from deskmill.functions import sql_functions, text
 from deskmill.functions.embedding import embed
 from deskmill.operators import containment, evaluation, vectors
 from deskmill.operators.skew import unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
 from deskmill.plans.tables import AFTER_SQL
-from deskmill.session import materialized, scratch, spread_table, table
+from deskmill.session import materialized, scratch, spread_table, table, view
 from deskmill.streaming import index_refresh
 
 TOP_K = 10
@@ -98,6 +98,22 @@ def search_docs_top1(spark, sf_dir):
     )
 
 
+@query(
+    "search_docs_function",
+    f"""WITH {ranked_sql("SELECT doc_id AS id, text FROM documents", "SELECT 0 AS qid, max(text) AS text FROM benchmark", 1)}
+        SELECT source || '/' || lang AS product_name, text AS doc, similarity FROM hits JOIN documents ON doc_id = id""",
+)
+def search_docs_function(spark, sf_dir):
+    index = vectors.long_form(document_index(spark, sf_dir), ["doc_id"])
+    index.withColumnRenamed("doc_id", "id").createOrReplaceTempView("fn_index")
+    table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.concat_ws("/", "source", "lang").alias("product_name"), F.col("text").alias("doc")
+    ).createOrReplaceTempView("fn_documents")
+    term = f"(SELECT max(text) FROM {view(spark, sf_dir, 'benchmark')})"
+    search = sql_functions.create_search(spark, "fn_index", "fn_documents")
+    return spark.sql(f"SELECT product_name, doc, similarity FROM {search}(p_search_term => {term})")
+
+
 @query(
     "vector_topk",
     f"WITH {NEIGHBOURS_SQL} SELECT query_id AS vec_id, id AS neighbour_id, similarity, CAST(rank AS INTEGER) AS rank FROM nn",

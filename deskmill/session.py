@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
@@ -72,6 +73,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> str:
     return view_name
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="deskmill-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -83,9 +89,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SCRATCH_KEY} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="deskmill-")
-    spark.conf.set(SCRATCH_KEY, root)
-    return root
+    return _local_root()
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -4,7 +4,7 @@ import pytest
 from conftest import plan, rows
 
 from deskmill.functions import sql_functions
-from deskmill.operators import lookups, metadata
+from deskmill.operators import lookups, metadata, vectors
 
 AS_OF = date(2025, 1, 15)
 
@@ -100,6 +100,25 @@ def test_functions_alone_and_laterally(spark, interactions, policies):
     assert rows(each) == [("a@x", "Ann"), ("b@x", "Bob")]
 
 
+def test_persistent_functions_over_tables(spark, interactions, policies):
+    interactions.write.mode("overwrite").saveAsTable("t_kept_interactions")
+    policies.write.mode("overwrite").saveAsTable("t_kept_policies")
+    fn = sql_functions.create_functions(spark, "t_kept_interactions", "t_kept_policies", AS_OF, "kept_", temporary=False)
+    assert rows(spark.sql(f"SELECT * FROM {fn['get_order_history']}('a@x')")) == [(2, "Billing", AS_OF)]
+    assert rows(spark.sql(f"SELECT policy_details FROM {fn['get_return_policy']}('Refund')")) == [("first",)]
+    assert "Customer to look up" in str(spark.sql(f"DESCRIBE FUNCTION EXTENDED {fn['get_order_history']}").collect())
+
+
+def test_search_function(spark):
+    documents = spark.createDataFrame([(1, "a", "red fox"), (2, "b", "blue fox jumps"), (3, "c", "blue fox jumps"), (4, "d", "")], "id long, product_name string, doc string")
+    documents.createOrReplaceTempView("t_docs")
+    vectors.long_form(vectors.build_index(documents, ["id"], "doc"), ["id"]).createOrReplaceTempView("t_index")
+    name = sql_functions.create_search(spark, "t_index", "t_docs", "t_search")
+    assert rows(spark.sql(f"SELECT * FROM {name}('Blue FOX, jumps!')")) == [("b", "blue fox jumps", 1.0)]
+    assert rows(spark.sql(f"SELECT * FROM {name}('')")) == []
+    assert "NestedLoop" not in plan(spark.sql(f"SELECT * FROM {name}('fox')"))
+
+
 def test_named_table_and_variables(spark, policies):
     policies.createOrReplaceTempView("t_named")
     assert sql_functions.scan_named(spark, "t_named", "policy").count() == 4
