@@ -459,8 +459,8 @@ def tvf_call(spark, sf_dir):
 )
 def session_variable(spark, sf_dir):
     orders = view(spark, sf_dir, "orders")
-    sql_functions.set_variable(spark, "bills_table", "STRING", f"SELECT '{orders}'")
-    sql_functions.set_variable(spark, "wanted_status", "STRING", "SELECT max(o_orderstatus) FROM IDENTIFIER(bills_table)")
+    sql_functions.set_variable(spark, "bills", "MAP<STRING, STRING>", f"SELECT map('table_name', '{orders}')")
+    sql_functions.set_variable(spark, "wanted_status", "STRING", "SELECT max(o_orderstatus) FROM IDENTIFIER(bills.table_name)")
     return spark.sql("""
-        SELECT o_orderpriority, count(*) AS n_orders FROM IDENTIFIER(bills_table)
+        SELECT o_orderpriority, count(*) AS n_orders FROM IDENTIFIER(bills.table_name)
         WHERE o_orderstatus = wanted_status GROUP BY o_orderpriority""")

@@ -41,6 +41,36 @@ def test_two_runs_equal_one_batch(spark, folder):
     assert rows(index_refresh.current_index(spark, f"{folder}/compact", ["id"])) == want
 
 
+def test_continuous_refresh_takes_files_as_they_come(spark, folder):
+    inbox, target, checkpoint = (f"{folder}/{n}" for n in ("in", "index", "checkpoint"))
+    os.mkdir(inbox)
+    schema = "conv_id long, turn long, text string"
+    land(spark.createDataFrame([(1, 0, "a")], schema), inbox, "one")
+    stream = index_refresh.read_stream(spark, inbox, spark.createDataFrame([], schema).schema, "*.parquet")
+    refresh = index_refresh.refresh_index(stream, ["conv_id", "turn"], "text", target, checkpoint, every="100 milliseconds")
+    try:
+        refresh.processAllAvailable()
+        land(spark.createDataFrame([(1, 1, "b"), (1, 0, "c")], schema), inbox, "two")
+        refresh.processAllAvailable()
+    finally:
+        refresh.stop()
+    index = index_refresh.current_index(spark, target, ["conv_id", "turn"])
+    final = spark.createDataFrame([(1, 0, "c"), (1, 1, "b")], schema)
+    assert rows(index) == rows(vectors.build_index(final, ["conv_id", "turn"], "text"))
+
+
+def test_replayed_batch_adds_nothing(spark, folder):
+    """A batch written before its commit was lost is written again, over itself."""
+    inbox, target, checkpoint = (f"{folder}/{n}" for n in ("in", "index", "checkpoint"))
+    os.mkdir(inbox)
+    data = spark.createDataFrame([(1, "a b"), (2, "c")], "id long, text string")
+    land(data, inbox, "one")
+    first = rows(refresh(spark, inbox, target, checkpoint, data.schema))
+    again = refresh(spark, inbox, target, f"{folder}/fresh", data.schema)
+    assert rows(again) == first
+    assert spark.read.parquet(target).count() == 2
+
+
 PIECES = "conv_id long, turn long, seq long, piece string, is_last boolean"
 
 
