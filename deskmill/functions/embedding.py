@@ -4,7 +4,7 @@ Every token falls into one of 64 buckets by its MD5 hash and the vector holds th
 counts. It stands in for a learned embedding model and has no notion of meaning.
 
 Tokenising and hashing run in the JVM; only bucket numbers, one byte per token, reach
-Python, where one ``bincount`` per Arrow batch counts them. The vector is a column of the
+Python, where ``bincount`` counts them for many rows at once. The vector is a column of the
 row it was made from, so building an index moves no data between machines. (Exploding
 the tokens and grouping them again was slower and shuffled up to 64 rows per text.)
 """
@@ -21,6 +21,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 from deskmill.functions.text import let, tokens
 
 DIMENSIONS = 64
+TOKENS_AT_ONCE = 4_000_000
 
 
 def bucket(token: Column) -> Column:
@@ -29,14 +30,29 @@ def bucket(token: Column) -> Column:
     return (F.conv(fourth, 16, 10).cast("int") % DIMENSIONS).cast("byte")
 
 
+def bucket_counts(lengths: np.ndarray, buckets: np.ndarray, at_once: int = TOKENS_AT_ONCE) -> np.ndarray:
+    """Counts per row and bucket, where row ``i`` holds the next ``lengths[i]`` buckets.
+
+    About ``at_once`` tokens are counted in one go, which bounds the memory of a batch.
+    """
+    counts = np.zeros((len(lengths), DIMENSIONS), dtype=np.int32)
+    ends = np.cumsum(lengths)
+    row, token = 0, 0
+    while row < len(lengths):
+        stop = max(row + 1, int(np.searchsorted(ends, token + at_once, side="right")))
+        own = np.repeat(np.arange(stop - row) * DIMENSIONS, lengths[row:stop])
+        own += buckets[token : ends[stop - 1]]
+        counts[row:stop] = np.bincount(own, minlength=counts[row:stop].size).reshape(-1, DIMENSIONS)
+        row, token = stop, ends[stop - 1]
+    return counts
+
+
 @arrow_udf(ArrayType(IntegerType()))
 def _count_buckets(buckets: pa.Array) -> pa.Array:
     lengths = buckets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(buckets), dtype=np.int64), lengths)
-    cell = row * DIMENSIONS + buckets.flatten().to_numpy(zero_copy_only=False)
-    counts = np.bincount(cell, minlength=len(buckets) * DIMENSIONS).astype(np.int32)
+    counts = bucket_counts(lengths, buckets.flatten().to_numpy(zero_copy_only=False))
     offsets = np.arange(0, counts.size + 1, DIMENSIONS, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts.ravel()))
 
 
 def embed(text: Column) -> Column:

@@ -19,6 +19,7 @@ MAX_SENTENCES = 2
 def answered_turns(turns: DataFrame) -> DataFrame:
     """``(conv_id, turn, question, answer)`` for user turns followed by an assistant's.
 
+    Turns are numbered without gaps, so the answer has the number after the question's.
     The two meet by ``(conv_id, turn)``, which is unique: a long conversation spreads over
     all tasks, where a window per conversation would sort it in one.
     """

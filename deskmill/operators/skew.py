@@ -52,6 +52,7 @@ def number_rows(
 ) -> DataFrame:
     """Consecutive numbers from 0 per key, ordered by ``position`` and then ``order``.
 
+    ``position`` is a running number, such as that of a turn; several rows may share one.
     A window over the key alone would sort a hot key in one task. Here the key is cut into
     blocks of the integer column ``position``; rows are numbered within a block, and a
     block starts where the counts of the blocks before it end. Only those counts, one row

@@ -185,16 +185,20 @@ def _search_by_blocks(corpus: DataFrame, queries: DataFrame, k: int, n_queries:
 
 
 def _best_of_groups(left: DataFrame, right: DataFrame, keys: list[str], k: int, schema: StructType) -> DataFrame:
+    nothing = pa.table(
+        {
+            "query_id": left.select("query_id").limit(0).toArrow()["query_id"],
+            "id": right.select("id").limit(0).toArrow()["id"],
+            "similarity": pa.array([], pa.float64()),
+        }
+    )
+
     def best_of_group(asked: pa.Table, held: pa.Table) -> pa.Table:
-        empty = schema_arrow.empty_table()
         if not asked.num_rows or not held.num_rows:
-            return empty
+            return nothing
         best = _scan(_matrix(asked["vector"]), [held.combine_chunks()], k)
-        return empty if best is None else _named(best, asked["query_id"].combine_chunks()).cast(schema_arrow)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
+        return nothing if best is None else _named(best, asked["query_id"].combine_chunks())
 
-    schema_arrow = to_arrow_schema(schema)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best_of_group, schema)
 
 

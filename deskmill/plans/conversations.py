@@ -9,7 +9,7 @@ from deskmill.plans import bindings
 from deskmill.plans.bindings import AS_OF, POLICY_DAY
 from deskmill.plans.documents import blocked_sql, tokens_sql
 from deskmill.plans.registry import query
-from deskmill.session import scratch, spread_table, table
+from deskmill.session import scratch, spread_table
 from deskmill.streaming import chunk_fold, index_refresh
 
 PROMPT = "You are a support assistant."

@@ -3,7 +3,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from deskmill.functions.embedding import embed, unit
+from deskmill.functions.embedding import bucket_counts, embed, unit
 from deskmill.operators import containment, vectors
 from deskmill.operators.skew import number_rows, top_per_key
 
@@ -85,6 +85,16 @@ def test_embedding(spark):
     assert units[1].v == [0.0] * 64
 
 
+@pytest.mark.parametrize("at_once", [1, 3, 7, 1000])
+def test_bucket_counts_in_parts(at_once):
+    rng = np.random.default_rng(1)
+    lengths = np.array([0, 5, 0, 0, 9, 1, 0])
+    buckets = rng.integers(0, 64, lengths.sum()).astype(np.int8)
+    want = [np.bincount(part, minlength=64) for part in np.split(buckets, np.cumsum(lengths)[:-1])]
+    assert (bucket_counts(lengths, buckets, at_once) == want).all()
+    assert bucket_counts(lengths[:0], buckets[:0]).shape == (0, 64)
+
+
 def test_sync_equals_rebuild(spark):
     before = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None), (4, "d")], "id long, text string")
     after = spark.createDataFrame([(1, "a b"), (2, "c c"), (3, "x"), (5, "e")], "id long, text string")
