@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from deskmill.functions.embedding import embed
 from deskmill.operators.skew import top_per_key, unnest
@@ -26,7 +26,8 @@ DIGITS = 6
 BROADCAST_QUERIES = 20_000  # 20,000 vectors of 64 doubles are 10 MB
 BLOCK_VECTORS = 100_000
 MERGE_SALTS = 8
-CELLS = 2_000_000  # similarities held at once by one task, 16 MB
+CELLS = 4_000_000  # cosines held at once by one task, 16 MB
+PAIRS = 50_000
 
 
 # -- index ----------------------------------------------------------------------------------
@@ -81,12 +82,33 @@ def _ranked(table: pa.Table, k: int) -> pa.Table:
     return table.filter(pa.array(np.arange(len(q)) - first < k))
 
 
+def _units(matrix: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    return (matrix / np.where(norms > 0, norms, 1.0)[:, None]).astype(np.float32)
+
+
+def _cosines(queries: np.ndarray, q_norms: np.ndarray, vectors: np.ndarray, q: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Rounded cosines of the pairs ``(q[i], d[i])``, computed in double."""
+    d_norms = _norms(vectors)
+    out = np.zeros(len(q))
+    for at in range(0, len(q), PAIRS):
+        i, j = q[at : at + PAIRS], d[at : at + PAIRS]
+        dots = np.einsum("ij,ij->i", queries[i], vectors[j])
+        scale = q_norms[i] * d_norms[j]
+        np.divide(dots, scale, out=out[at : at + PAIRS], where=scale > 0)
+    return np.round(out, DIGITS) + 0.0  # a negative zero would print differently
+
+
 def _scan(queries: np.ndarray, batches: Iterable[pa.RecordBatch | pa.Table], k: int) -> pa.Table | None:
     """The best ``k`` ids per query row over a stream of ``(id, vector)`` batches.
 
-    Memory holds ``CELLS`` similarities and the best so far, whatever the stream's length.
+    Cosines in single precision tell which vectors may reach a query's current best ``k``.
+    The margin is wider than their error and that of rounding, so none is missed; those
+    that may are computed in double. Memory holds ``CELLS`` cosines and the best so far,
+    whatever the stream's length.
     """
     norms = _norms(queries)
+    units = _units(queries, norms)
+    margin = (queries.shape[1] + 8) * 2.0**-23 + 10.0**-DIGITS
     step = max(1, CELLS // max(1, len(queries)))
     best: pa.Table | None = None
     floor = np.full(len(queries), -np.inf)
@@ -94,27 +116,28 @@ def _scan(queries: np.ndarray, batches: Iterable[pa.RecordBatch | pa.Table], k:
         for at in range(0, batch.num_rows, step):
             piece = batch.slice(at, step)
             vectors = _matrix(piece.column("vector"))
-            scale = norms[:, None] * _norms(vectors)[None, :]
-            dots = queries @ vectors.T
-            cosine = np.round(np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0), DIGITS)
-            cosine += 0.0  # a negative zero would sort and print differently
-            if piece.num_rows > k:
-                kth = np.partition(cosine, -k, axis=1)[:, -k]
-                limit = np.maximum(floor, kth)
-            else:
-                limit = floor
-            q, d = np.nonzero(cosine >= limit[:, None])
+            about = units @ _units(vectors, _norms(vectors)).T
+            near = about >= (floor - margin).astype(np.float32)[:, None]
+            if piece.num_rows > k and np.count_nonzero(near) > 8 * k * len(queries):
+                kth = np.partition(about, -k, axis=1)[:, -k]
+                near &= about >= (kth - 2 * margin)[:, None]
+            q, d = np.nonzero(near)
+            cosine = _cosines(queries, norms, vectors, q, d)
+            good = cosine >= floor[q]
+            q, d, cosine = q[good], d[good], cosine[good]
+            if not len(q):
+                continue
             found = pa.table(
                 {
                     "q": pa.array(q.astype(np.int32)),
                     "id": piece.column("id").take(pa.array(d)),
-                    "similarity": pa.array(cosine[q, d]),
+                    "similarity": pa.array(cosine),
                 }
             )
             best = _ranked(found if best is None else pa.concat_tables([best, found]), k)
             rows = best["q"].to_numpy()
-            last = np.flatnonzero(np.append(rows[1:] != rows[:-1], True)) if len(rows) else rows
-            full = np.bincount(rows, minlength=len(queries))[rows[last]] >= k if len(rows) else rows
+            last = np.flatnonzero(np.append(rows[1:] != rows[:-1], True))
+            full = np.bincount(rows, minlength=len(queries))[rows[last]] >= k
             floor[rows[last][full]] = best["similarity"].to_numpy()[last][full]
     return best
 
@@ -143,14 +166,10 @@ def _order():
     return [F.desc("similarity"), F.asc("id")]
 
 
-def _doubles(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, F.col("vector").cast(ArrayType(DoubleType())).alias("vector"))
-
-
 def _search_by_broadcast(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Send the queries to every task; each task returns its own best ``k`` per query."""
     schema = _result_schema(queries, corpus)
-    asked = _doubles(queries, "query_id").toArrow()
+    asked = queries.select("query_id", "vector").toArrow()
     ids = asked["query_id"].combine_chunks()
     shared = queries.sparkSession.sparkContext.broadcast((ids, _matrix(asked["vector"])))
 
@@ -160,7 +179,7 @@ def _search_by_broadcast(corpus: DataFrame, queries: DataFrame, k: int) -> DataF
         if best is not None:
             yield from _named(best, query_ids).to_batches()
 
-    return _doubles(corpus, "id").mapInArrow(best_of_task, schema)
+    return corpus.select("id", "vector").mapInArrow(best_of_task, schema)
 
 
 def _search_by_blocks(corpus: DataFrame, queries: DataFrame, k: int, n_queries: int, n_vectors: int, block: int) -> DataFrame:
@@ -179,11 +198,16 @@ def _search_by_blocks(corpus: DataFrame, queries: DataFrame, k: int, n_queries:
         every = F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint"))
         return numbered.withColumn(other, F.explode(every))
 
-    left = cut(_doubles(queries, "query_id"), "query_id", "qb", q_blocks, "db", d_blocks)
-    right = cut(_doubles(corpus, "id"), "id", "db", d_blocks, "qb", q_blocks)
+    left = cut(_side(queries, "query_id", "asked"), "query_id", "qb", q_blocks, "db", d_blocks)
+    right = cut(_side(corpus, "id", "held"), "id", "db", d_blocks, "qb", q_blocks)
     return _best_of_groups(left, right, ["qb", "db"], k, schema)
 
 
+def _side(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """One side of a cogroup under names of its own: both may come from the same table."""
+    return df.select(key, F.col("vector").alias(vector))
+
+
 def _best_of_groups(left: DataFrame, right: DataFrame, keys: list[str], k: int, schema: StructType) -> DataFrame:
     nothing = pa.table(
         {
@@ -193,11 +217,12 @@ def _best_of_groups(left: DataFrame, right: DataFrame, keys: list[str], k: int,
         }
     )
 
-    def best_of_group(asked: pa.Table, held: pa.Table) -> pa.Table:
-        if not asked.num_rows or not held.num_rows:
+    def best_of_group(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        if not queries.num_rows or not vectors.num_rows:
             return nothing
-        best = _scan(_matrix(asked["vector"]), [held.combine_chunks()], k)
-        return nothing if best is None else _named(best, asked["query_id"].combine_chunks())
+        held = vectors.select(["id", "held"]).rename_columns(["id", "vector"]).combine_chunks()
+        best = _scan(_matrix(queries["asked"]), [held], k)
+        return nothing if best is None else _named(best, queries["query_id"].combine_chunks())
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best_of_group, schema)
 
@@ -272,12 +297,11 @@ def search_approximately(
 
     schema = _result_schema(queries, corpus)
 
-    def dense(df: DataFrame, key: str) -> DataFrame:
-        return df.select(key, unit(F.col("vector")).alias("vector")).withColumn(
-            "features", array_to_vector("vector")
-        )
+    def dense(df: DataFrame, key: str, vector: str) -> DataFrame:
+        features = array_to_vector(unit(F.col(vector)))
+        return _side(df, key, vector).withColumn("features", features)
 
-    held, asked = dense(corpus, "id"), dense(queries, "query_id")
+    held, asked = dense(corpus, "id", "held"), dense(queries, "query_id", "asked")
     lsh = BucketedRandomProjectionLSH(
         inputCol="features",
         outputCol="hashes",
@@ -287,12 +311,12 @@ def search_approximately(
     )
     model = lsh.fit(held)
 
-    def hashed(df: DataFrame, key: str) -> DataFrame:
+    def hashed(df: DataFrame, key: str, vector: str) -> DataFrame:
         cells = [vector_to_array(F.col("hashes")[i])[0] for i in range(tables * width)]
         buckets = F.array(*[F.xxhash64(*cells[i : i + width]) for i in range(0, len(cells), width)])
-        return unnest(model.transform(df), key, "vector", array=buckets, value="bucket", position="tab")
+        return unnest(model.transform(df), key, vector, array=buckets, value="bucket", position="tab")
 
-    right, left = hashed(held, "id"), hashed(asked, "query_id")
+    right, left = hashed(held, "id", "held"), hashed(asked, "query_id", "asked")
     # One row per bucket: how many blocks its vectors and its queries need.
     sizes = (
         right.groupBy("tab", "bucket")
