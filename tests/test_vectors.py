@@ -42,6 +42,16 @@ def test_search_is_exact_with_copies_ties_and_zeros(spark, data, how, without_se
     assert rows(got) == sorted(brute_force(data, data, 7, without_self))
 
 
+@pytest.mark.parametrize("how", [{}, {"broadcast_queries": 0, "block": 50}])
+def test_vectors_closer_than_single_precision_tells(spark, how):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=16)
+    close = base + rng.normal(size=(200, 16)) * np.array([1e-7, 1e-5, 1e-3, 1e-2])[rng.integers(0, 4, 200), None]
+    index = frame(spark, close, "id")
+    got = vectors.search(index, index.withColumnRenamed("id", "query_id"), 9, **how)  # one table on both sides
+    assert rows(got) == sorted(brute_force(close, close, 9))
+
+
 def test_fewer_vectors_than_wanted(spark, data):
     got = vectors.search(frame(spark, data[:3], "id"), frame(spark, data[:2], "query_id"), 10)
     assert rows(got) == sorted(brute_force(data[:3], data[:2], 10))
