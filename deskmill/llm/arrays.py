@@ -107,6 +107,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _UP, _DOWN = _powers(_BLOCK + 1)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n + 1`` powers of the multiplier and of its inverse."""
+    return (_UP, _DOWN) if n <= _BLOCK else _powers(n + 1)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span's bytes; equal bytes give equal hashes everywhere.
 
@@ -118,7 +123,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
         low = starts[i]
         j = max(i + 1, int(np.searchsorted(stops, low + _BLOCK, side="right")))
         width = int(stops[j - 1] - low)
-        up, down = (_UP, _DOWN) if width <= _BLOCK else _powers(width + 1)
+        up, down = powers(width)
         sums = np.zeros(width + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data[low : low + width]] * up[:width], out=sums[1:])
         at = starts[i:j] - low

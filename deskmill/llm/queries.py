@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from deskmill.llm import huffman
 from deskmill.llm.near_dedup import near_duplicates
+from deskmill.llm.packing import pack, tokenizer_path
 from deskmill.session import spread_table
 
 QUERIES: dict = {}
@@ -47,3 +49,13 @@ def query(name: str, check: str | None = None):
 )
 def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(spread_table(spark, sf_dir, "documents"), words=2)
+
+
+@query("op6_nnls_packing")
+def op6_nnls_packing(spark, sf_dir):
+    return pack(spread_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op9_huffman_token_ids")
+def op9_huffman_token_ids(spark, sf_dir):
+    return huffman.round_trip(spread_table(spark, sf_dir, "documents"), tokenizer_path())
