@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from deskmill.llm import huffman
+from deskmill.llm.decontaminate import contamination
 from deskmill.llm.near_dedup import near_duplicates
 from deskmill.llm.packing import pack, tokenizer_path
-from deskmill.session import spread_table
+from deskmill.session import spread_table, table
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -59,3 +60,36 @@ def op6_nnls_packing(spark, sf_dir):
 @query("op9_huffman_token_ids")
 def op9_huffman_token_ids(spark, sf_dir):
     return huffman.round_trip(spread_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query(
+    "op8_winnowing_decontamination",
+    r"""WITH lowered(kind, id, text) AS (
+          SELECT 'd', doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM documents
+          UNION ALL
+          SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+        words AS (SELECT kind, id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+        item_windows AS (
+          SELECT DISTINCT id AS item_id, least(10, len(w)) AS size,
+                 unnest(list_transform(range(1, greatest(2, len(w) - 8)), lambda i: array_to_string(w[i:i + 9], ' '))) AS g
+          FROM words WHERE kind = 'b' AND len(w) > 0),
+        sizes AS (SELECT DISTINCT size FROM item_windows),
+        doc_windows AS (
+          SELECT id AS doc_id, size, unnest(range(1, CAST(len(w) AS BIGINT) - size + 2)) AS i, w
+          FROM words, sizes WHERE kind = 'd' AND len(w) >= size),
+        found AS (
+          SELECT d.doc_id, d.size, d.i, b.item_id
+          FROM doc_windows d JOIN item_windows b
+            ON d.size = b.size AND array_to_string(d.w[d.i:d.i + d.size - 1], ' ') = b.g),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+        named AS (
+          SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+          FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+        SELECT t.id AS doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+               coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.items, '')) AS items_sha256,
+               coalesce(h.n_hit, 0) > 0 AS contaminated
+        FROM words t LEFT JOIN hit h ON h.doc_id = t.id LEFT JOIN named n ON n.doc_id = t.id
+        WHERE t.kind = 'd'""",
+)
+def op8_winnowing_decontamination(spark, sf_dir):
+    return contamination(spread_table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
