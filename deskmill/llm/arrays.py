@@ -139,3 +139,41 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out = mixed(out * np.uint64(0x9FB21C651E98DF25) + words[k : k + count])
     return out
+
+
+def rows_with(data: np.ndarray, offsets: np.ndarray, *needles: bytes) -> np.ndarray:
+    """For each row, whether it holds one of the needles. A row is told once, and then skipped."""
+    found = np.zeros(len(offsets) - 1, bool)
+    text = data.tobytes()
+    for needle in needles:
+        at = text.find(needle)
+        while at >= 0:
+            row = int(np.searchsorted(offsets, at, side="right")) - 1
+            if at + len(needle) <= offsets[row + 1]:
+                found[row] = True
+                at = text.find(needle, int(offsets[row + 1]))
+            else:  # it reaches over the end of a row
+                at = text.find(needle, at + 1)
+    return found
+
+
+def rows_with_byte(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """For each row, whether it holds a byte for which the table is true."""
+    counts = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(table[data], out=counts[1:])
+    return counts[offsets[1:]] > counts[offsets[:-1]]
+
+
+def rows_with_run(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, length: int) -> np.ndarray:
+    """For each row, whether it holds that many bytes in a row for which the table is true."""
+    starts, stops, first = spans(data, offsets, ~table)
+    long = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(stops - starts >= length, out=long[1:])
+    return long[first[1:]] > long[first[:-1]]
+
+
+def byte_table(chars: str) -> np.ndarray:
+    """True for these ASCII characters."""
+    table = np.zeros(256, bool)
+    table[list(chars.encode())] = True
+    return table

@@ -6,6 +6,7 @@ from deskmill.llm import huffman
 from deskmill.llm.decontaminate import contamination
 from deskmill.llm.near_dedup import near_duplicates
 from deskmill.llm.packing import pack, tokenizer_path
+from deskmill.llm.secrets import secrets
 from deskmill.session import spread_table, table
 
 QUERIES: dict = {}
@@ -93,3 +94,8 @@ def op9_huffman_token_ids(spark, sf_dir):
 )
 def op8_winnowing_decontamination(spark, sf_dir):
     return contamination(spread_table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_secret_ownership")
+def op10_secret_ownership(spark, sf_dir):
+    return secrets(spread_table(spark, sf_dir, "documents"))
