@@ -6,6 +6,7 @@ from deskmill.llm import huffman
 from deskmill.llm.decontaminate import contamination
 from deskmill.llm.near_dedup import near_duplicates
 from deskmill.llm.packing import pack, tokenizer_path
+from deskmill.llm.pii import personal_data
 from deskmill.llm.secrets import secrets
 from deskmill.session import spread_table, table
 
@@ -99,3 +100,8 @@ def op8_winnowing_decontamination(spark, sf_dir):
 @query("op10_secret_ownership")
 def op10_secret_ownership(spark, sf_dir):
     return secrets(spread_table(spark, sf_dir, "documents"))
+
+
+@query("op5_weakly_supervised_pii")
+def op5_weakly_supervised_pii(spark, sf_dir):
+    return personal_data(spread_table(spark, sf_dir, "documents"))
