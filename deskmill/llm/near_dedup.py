@@ -6,10 +6,12 @@ shifted by k along the ring, gives coordinate k as the least value met. Bands of
 bring candidates together, and every link is confirmed on the full sets.
 
 Copies with equal sets are one node. In a band's bucket, members first meet the one with the
-lowest id; only members that end in different components meet further ones, a block of them
-at a time, until no two of a bucket's members from different components are left unmet. So
-a group of thousands of near copies needs a few links a document and not all its pairs, and
-yet no link between different components goes unseen.
+lowest id alone. That settles most buckets: their members end in one component. The buckets
+that hold several are put together where they share members, and in such a group every
+document outside its largest component meets all others of the group, in cells of bounded
+size that give back only the links which join two components. So a group of thousands of
+near copies needs a few links a document and never all its pairs, and yet no link between
+different components goes unseen.
 
 Defined results: empty or NULL text has an empty set, links with nothing and is kept. Rows
 with one id are one document. A row without an id has no component and is kept.
@@ -22,19 +24,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
 from deskmill.operators.skew import unnest
 from deskmill.session import materialized
 
-#: 32 bands of 4 coordinates: a pair of similarity 0.8 has no band in common once in 20 million times.
-BANDS, ROWS = 32, 4
-#: Members of a bucket that meet all others of it in one round, after the first.
-LEADERS = 64
+#: 52 bands of 7 coordinates: a pair of similarity 0.8 has no band in common 5 times in a million.
+BANDS, ROWS = 52, 7
+#: Bytes of text on either side of a cell, about.
+CELL_BYTES = 4 << 20
+#: Standard deviations below the wanted similarity at which signatures rule a pair out.
+SLACK = 6.0
 
-_SIGNED = "doc_id long, n_shingles long, set_id string, bands array<long>"
+_SIGNED = "doc_id long, n_shingles long, set_id string, signature binary"
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -73,38 +77,47 @@ def signatures(sets: list[np.ndarray], k: int) -> np.ndarray:
     return out
 
 
-def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key for every band; equal keys of different bands are different."""
-    cut = coordinates.reshape(len(coordinates), bands, rows).astype(np.uint64)
-    keys = np.arange(bands, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
-    for r in range(rows):
-        keys = arrays.mixed(keys * np.uint64(0x9FB21C651E98DF25) + cut[:, :, r])
-    return keys.view(np.int64)
+def ruled_out_below(k: int, percent: int) -> float:
+    """Equal coordinates, of ``k`` cut to a byte, that a pair similar enough falls short of once in 10**9."""
+    share = percent / 100
+    return k * share - SLACK * np.sqrt(k * share * (1 - share))
 
 
-def _sign(words: int, bands: int, rows: int):
+def _sign(words: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.slices(batches, "text", 1 << 19):
             sets = shingle_sets(batch.column("text"), words)
             filled = [i for i, s in enumerate(sets) if len(s)]
-            keys: list[np.ndarray | None] = [None] * len(sets)
+            cut: list[bytes | None] = [None] * len(sets)
             if filled:
-                made = band_keys(signatures([sets[i] for i in filled], bands * rows), bands, rows)
+                # A byte of each coordinate is enough: others meet by chance once in 256 times.
+                made = signatures([sets[i] for i in filled], k).astype(np.uint8)
                 for i, row in zip(filled, made, strict=True):
-                    keys[i] = row
+                    cut[i] = row.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
-                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(cut, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_id", "bands"],
+                ["doc_id", "n_shingles", "set_id", "signature"],
             )
 
     return run
 
 
+def _alike(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in ("sig_a", "sig_b"))
+            if batch.num_rows:
+                equal = (one == other).reshape(batch.num_rows, -1).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(equal >= least))
+
+    return run
+
+
 def _confirm(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -119,6 +132,43 @@ def _confirm(words: int, percent: int):
     return run
 
 
+def _meet(words: int, percent: int, least: float):
+    def similar(one: np.ndarray, other: np.ndarray) -> bool:
+        shared = np.intersect1d(one, other, assume_unique=True).size
+        return 100 * shared >= percent * (one.size + other.size - shared)
+
+    def run(cell: pa.Table) -> pa.Table:
+        """Links that join components: each row of side 0 meets each of side 1, the most alike first."""
+        nodes = cell.column("node").to_numpy()
+        labels = cell.column("component").to_numpy()
+        size = cell.column("n_shingles").to_numpy()
+        text = cell.column("text").combine_chunks()
+        signs = np.frombuffer(b"".join(cell.column("signature").to_pylist()), np.uint8).reshape(len(nodes), -1)
+        side = cell.column("side").to_numpy()
+        ours, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets(text.slice(i, 1), words)[0]
+            return sets[i]
+
+        labels = labels.copy()
+        links = []
+        for i in ours:
+            fit = (labels[others] != labels[i]) & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))
+            near = others[fit]
+            equal = (signs[near] == signs[i]).sum(axis=1)
+            near = near[equal >= least][np.argsort(-equal[equal >= least], kind="stable")]
+            for j in near:
+                if labels[i] != labels[j] and similar(shingles(i), shingles(j)):
+                    links.append((int(nodes[i]), int(nodes[j])))
+                    labels[labels == labels[j]] = labels[i]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return run
+
+
 def components(links: DataFrame) -> DataFrame:
     """Every node of ``links(a, b)`` with the lowest node that it can reach, as ``node, component``.
 
@@ -147,7 +197,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = ROWS,
-    leaders: int = LEADERS,
+    cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
 
@@ -155,12 +205,13 @@ def near_duplicates(
     holds all that links reach, is named by its lowest id, and keeps that document alone.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialized(docs.mapInArrow(_sign(words, bands, rows), _SIGNED), "signed")
+    signed = materialized(docs.mapInArrow(_sign(words, bands * rows), _SIGNED), "signed")
     nodes = materialized(
         signed.filter("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("node")), "nodes"
     )  # one row for each distinct set
     one_each = signed.join(nodes, "set_id").filter("doc_id = node")
-    in_bands = unnest(one_each, "node", "n_shingles", array=F.col("bands"), value="bucket")
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * rows + 1, F.lit(rows))))
+    in_bands = unnest(one_each, "node", "n_shingles", array=keys, value="bucket")
     shared = in_bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
     meeting = materialized(in_bands.join(shared, "bucket").select("bucket", "node", "n_shingles", "leader").distinct(), "buckets")
     # Texts of documents that share a bucket with another: all that later rounds read.
@@ -168,8 +219,13 @@ def near_duplicates(
         docs.join(meeting.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts"
     )
 
+    signs = one_each.select("node", "signature")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         one, other = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+        sig_a, sig_b = (signs.select(F.col("node").alias(x), F.col("signature").alias(f"sig_{x}")) for x in "ab")
+        pairs = pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")
+        pairs = materialized(pairs.mapInArrow(_alike(ruled_out_below(bands * rows, percent)), "a long, b long"), "pairs")
         found = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
         return materialized(found.mapInArrow(_confirm(words, percent), "a long, b long"), "confirmed")
 
@@ -182,27 +238,34 @@ def near_duplicates(
     links = confirmed(likely(first.join(sizes, "leader").withColumnRenamed("leader", "b")))
     found = components(links)
     # The leaders have met everyone in their buckets.
-    open_rows = meeting.filter("node <> leader").select("bucket", "node", "n_shingles")
-    while True:
-        labelled = open_rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        members = materialized(labelled.join(mixed, "bucket").select("bucket", "node", "n_shingles", "component"), "unmet")
-        if members.isEmpty():
-            break
-        # Small components first: once their members have met all others, the rest is one component.
-        weight = members.groupBy("bucket", "component").agg(F.count("*").alias("weight"))
-        salted = members.join(weight, ["bucket", "component"]).withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(16)))
-        order = [F.col("weight"), F.col("component"), F.col("node")]
-        near = salted.withColumn("_n", F.row_number().over(Window.partitionBy("bucket", "_salt").orderBy(*order))).filter(F.col("_n") <= leaders)
-        near = near.withColumn("_n", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).filter(F.col("_n") <= leaders)
-        near = materialized(near.select("bucket", "node", "n_shingles", "component"), "leaders")
-        a = members.select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-        b = near.select("bucket", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-        pairs = a.join(b, "bucket").filter("c_a <> c_b").withColumns({"a": F.greatest("a", "b"), "b": F.least("a", "b")})
-        links = confirmed(likely(pairs))
-        if not links.isEmpty():
-            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links))
-        open_rows = members.join(near.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "n_shingles")
+    labelled = meeting.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    unsettled = materialized(labelled.join(mixed, "bucket").select("node", "leader", "n_shingles", "component").distinct(), "unsettled")
+    if not unsettled.isEmpty():
+        groups = components(unsettled.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+        groups = groups.select("node", F.col("component").alias("group"))
+        groups = groups.unionAll(groups.select(F.col("group").alias("node"), "group")).distinct()
+        members = unsettled.select("node", "n_shingles", "component").distinct().join(groups, "node")
+        members = members.join(signs, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+        members = materialized(members, "members")
+        cells = members.groupBy("group", "component").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+        cells = cells.groupBy("group").agg(
+            F.max_by("component", F.struct("n", "component")).alias("largest"),
+            F.ceil(F.sum("bytes") / cell_bytes).cast("int").alias("n_others"),
+            F.ceil((F.sum("bytes") - F.max_by("bytes", F.struct("n", "component"))) / cell_bytes).cast("int").alias("n_ours"),
+        )
+        placed = members.join(cells, "group")
+        own = placed.filter("component <> largest").select(
+            "*", F.lit(0).alias("side"), F.pmod(F.xxhash64("node"), "n_ours").alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_others") - 1)).alias("j")
+        )
+        other = placed.select(
+            "*", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("n_ours") - 1)).alias("i"), F.pmod(F.xxhash64("node"), "n_others").alias("j")
+        )
+        rows_of = ["group", "i", "j", "side", "node", "component", "n_shingles", "signature", "text"]
+        both = own.select(*rows_of).unionByName(other.select(*rows_of))
+        meet = _meet(words, percent, ruled_out_below(bands * rows, percent))
+        joined = materialized(both.groupBy("group", "i", "j").applyInArrow(meet, "a long, b long"), "joined")
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(joined))
 
     named = nodes.join(found, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     whole = signed.join(named, "set_id", "left")

@@ -6,6 +6,7 @@ from deskmill.llm import huffman
 from deskmill.llm.decontaminate import contamination
 from deskmill.llm.near_dedup import near_duplicates
 from deskmill.llm.packing import pack, tokenizer_path
+from deskmill.llm.pages import main_text
 from deskmill.llm.pii import personal_data
 from deskmill.llm.secrets import secrets
 from deskmill.session import spread_table, table
@@ -105,3 +106,8 @@ def op10_secret_ownership(spark, sf_dir):
 @query("op5_weakly_supervised_pii")
 def op5_weakly_supervised_pii(spark, sf_dir):
     return personal_data(spread_table(spark, sf_dir, "documents"))
+
+
+@query("op7_dom_tree_main_text")
+def op7_dom_tree_main_text(spark, sf_dir):
+    return main_text(spread_table(spark, sf_dir, "pages"))
