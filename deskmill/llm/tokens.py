@@ -26,13 +26,18 @@ ENDINGS_OF_TWO = ["re", "ve", "ll"]
 
 #: Pre-tokens that a worker keeps; it starts anew beyond them.
 KEPT = 400_000
+#: Slots of the table they are looked up in; free ones end a search.
+SLOTS = 1 << 20
 
 SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
 
 
 @functools.cache
-def _character_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-case form, class and hash value of every code point; ODD where one may not stay one."""
+def character_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case form, class and hash value of every code point.
+
+    Classes are of the lowered point, and ODD where normalisation may change it.
+    """
     import regex
 
     from deskmill.llm import arrays
@@ -40,7 +45,7 @@ def _character_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lower = np.arange(0x110000, dtype=np.uint32)
     kind = np.full(0x110000, OTHER, np.uint8)
     chars = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for pattern, value in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"[\p{White_Space}]", SPACE), (r"\p{Cn}", ODD)):
+    for pattern, value in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"[\p{White_Space}]", SPACE)):
         found = "".join(regex.findall(pattern, chars))
         kind[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = value
     odd = []
@@ -55,7 +60,7 @@ def _character_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             odd += [chr(int(x, 16)) for x in unicodedata.decomposition(char).split()[1:]]
             if not unicodedata.is_normalized("NFC", char):
                 odd.append(char)
-        if unicodedata.combining(char):
+        if unicodedata.combining(char) or unicodedata.category(char) == "Cn":
             odd.append(char)
     plain = kind[lower]  # the text is lowered first
     plain[0x1100:0x1200] = ODD
@@ -64,6 +69,24 @@ def _character_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return lower, plain, arrays.mixed(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x632BE59BD9B4E019))
 
 
+@functools.cache
+def letter_table() -> np.ndarray:
+    """True for every code point that is a letter."""
+    import regex
+
+    table = np.zeros(0x110000, bool)
+    chars = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    table[np.frombuffer("".join(regex.findall(r"\p{L}", chars)).encode("utf-32-le"), np.uint32)] = True
+    return table
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of joined UTF-8 texts, and where each text's begin."""
+    leads = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=leads[1:])
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), leads[offsets]
+
+
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All positions of the ranges ``starts[i] .. starts[i] + lengths[i]``, one after the other."""
     ends = np.cumsum(lengths)
@@ -91,23 +114,40 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.begin = np.zeros(KEPT + 1, np.int64)
-
-    def _learn(self, keys: list[int], words: list[str]) -> None:
-        if len(self.place) + len(keys) > KEPT:
-            self._clear()
-        if len(keys) > KEPT:
-            self.begin = np.zeros(len(keys) + 1, np.int64)
-        for key, made in zip(keys, self.part.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            n = len(self.place)
-            start, ids = self.begin[n], made.ids
-            if start + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
-            self.flat[start : start + len(ids)] = ids
-            self.begin[n + 1] = start + len(ids)
-            self.place[key] = n
+        self.known = 0
+        self.keys = np.zeros(SLOTS, np.uint64)  # 0: free
+        self.begin = np.zeros(SLOTS, np.int64)
+        self.length = np.zeros(SLOTS, np.int64)
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or the free one where it would go."""
+        slot = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+        there = self.keys[slot]
+        open_ = np.flatnonzero((there != keys) & (there != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (SLOTS - 1)
+            there = self.keys[slot[open_]]
+            open_ = open_[(there != keys[open_]) & (there != 0)]
+        return slot
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Keep the ids of distinct new pre-tokens."""
+        made = [np.array(e.ids, np.uint32) for e in self.part.encode_batch_fast(words, add_special_tokens=False)]
+        length = np.array([len(m) for m in made], np.int64)
+        begin = self.used + np.cumsum(length) - length
+        while self.used + length.sum() > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + length.sum()] = np.concatenate(made)
+        self.used += int(length.sum())
+        self.known += len(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            slot = self._slots(keys[left])
+            self.keys[slot] = keys[left]  # of those that want one slot, one gets it
+            got = self.keys[slot] == keys[left]
+            self.begin[slot[got]], self.length[slot[got]] = begin[left[got]], length[left[got]]
+            left = left[~got]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the offsets at which each text's begin."""
@@ -116,29 +156,30 @@ class Encoder:
         data, offsets = arrays.utf8(texts)
         if not self.by_parts:
             return self._encode_whole([data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-        lower, kinds, values = _character_tables()
-        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        leads = np.zeros(len(data) + 1, np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=leads[1:])
-        rows = leads[offsets]
+        lower, kinds, values = character_tables()
+        points, rows = code_points(data, offsets)
         points, kind = lower[points], kinds[points]
         odd_rows = self._odd_rows(data, offsets, kind, rows)
         starts, stops = self._parts(points, kind, rows)
-        keys = _point_hashes(values[points], starts, stops)
-        distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        listed = distinct.tolist()
-        new = [i for i, key in enumerate(listed) if key not in self.place]
-        if new:
-            if len(self.place) + len(new) > KEPT:
+        keys = point_hashes(values[points], starts, stops)
+        slot = self._slots(keys)
+        new = np.flatnonzero(self.keys[slot] != keys)
+        if len(new):
+            distinct, first = np.unique(keys[new], return_index=True)
+            if self.known + len(distinct) > KEPT:
                 self._clear()
-                new = range(len(listed))
-            words = [points[starts[first[i]] : stops[first[i]]].tobytes().decode("utf-32-le") for i in new]
-            self._learn([listed[i] for i in new], words)
-        places = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))
-        begin, length = self.begin[places], self.begin[places + 1] - self.begin[places]
-        per_part = length[which]
-        ids = self.flat[_ragged(begin[which], per_part)] if len(which) else np.zeros(0, np.uint32)
-        counted = np.zeros(len(which) + 1, np.int64)
+                distinct, first = np.unique(keys, return_index=True)
+                new = np.arange(len(keys))
+            for cut in range(0, len(distinct), KEPT):  # more than that only in a text of tens of megabytes
+                some = new[first[cut : cut + KEPT]]
+                if self.known + len(some) > SLOTS // 2:
+                    return self._encode_whole([data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+                words = [points[starts[i] : stops[i]].tobytes().decode("utf-32-le") for i in some]
+                self._learn(distinct[cut : cut + KEPT], words)
+            slot = self._slots(keys)
+        per_part = self.length[slot]
+        ids = self.flat[_ragged(self.begin[slot], per_part)] if len(slot) else np.zeros(0, np.uint32)
+        counted = np.zeros(len(slot) + 1, np.int64)
         np.cumsum(per_part, out=counted[1:])
         ends = counted[np.searchsorted(starts, rows)]
         if not len(odd_rows):
@@ -192,8 +233,8 @@ class Encoder:
         return edges[solid], stops[solid]
 
 
-def _point_hashes(values, starts, stops) -> np.ndarray:
-    """64-bit hashes of spans of code points, from the hash values of the points."""
+def point_hashes(values, starts, stops) -> np.ndarray:
+    """64-bit hashes, never 0, of spans of code points, from the hash values of the points."""
     from deskmill.llm import arrays
 
     out = np.empty(len(starts), np.uint64)
@@ -208,7 +249,9 @@ def _point_hashes(values, starts, stops) -> np.ndarray:
         at = starts[i:j] - low
         out[i:j] = (sums[stops[i:j] - low] - sums[at]) * down[at]
         i = j
-    return arrays.mixed(out + (stops - starts).astype(np.uint64))
+    out = arrays.mixed(out + (stops - starts).astype(np.uint64))
+    out[out == 0] = 1
+    return out
 
 
 @functools.cache
