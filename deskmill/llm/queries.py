@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from deskmill.llm import huffman
 from deskmill.llm.decontaminate import contamination
+from deskmill.llm.language import languages
+from deskmill.llm.lm_scores import entropy_difference
 from deskmill.llm.near_dedup import near_duplicates
 from deskmill.llm.packing import pack, tokenizer_path
 from deskmill.llm.pages import main_text
 from deskmill.llm.pii import personal_data
+from deskmill.llm.quality import quality
 from deskmill.llm.secrets import secrets
 from deskmill.session import spread_table, table
 
@@ -111,3 +114,19 @@ def op5_weakly_supervised_pii(spark, sf_dir):
 @query("op7_dom_tree_main_text")
 def op7_dom_tree_main_text(spark, sf_dir):
     return main_text(spread_table(spark, sf_dir, "pages"))
+
+
+@query("op2_crf_language_id")
+def op2_crf_language_id(spark, sf_dir):
+    return languages(spread_table(spark, sf_dir, "documents"))
+
+
+@query("op3_kneser_ney_quality")
+def op3_kneser_ney_quality(spark, sf_dir):
+    return quality(spread_table(spark, sf_dir, "documents"))
+
+
+@query("op4_cross_entropy_difference")
+def op4_cross_entropy_difference(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
+    return entropy_difference(spread_table(spark, sf_dir, "documents"), good)
