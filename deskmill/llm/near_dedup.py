@@ -276,3 +276,14 @@ def near_duplicates(
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"),
     )
+
+
+def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component.
+
+    Rows without an id stay; of several rows with one id, one stays.
+    """
+    found = near_duplicates(docs, words, percent)
+    dropped = materialized(found.filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+    known = docs.filter(F.col("doc_id").isNotNull()).join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    return known.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
