@@ -172,22 +172,22 @@ def _parts(benchmark: DataFrame, part_bytes: int) -> Iterator[Items]:
 _SO_FAR = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
-def _pass(shared, last: bool, keep_clean: bool):
-    """One part's hits, joined to those of the parts before (columns _ranges and _names)."""
+def _pass(shared, last: bool, keep_clean: bool, so_far: tuple[str, str]):
+    """One part's hits, joined to those of the parts before (columns ``so_far``: ranges and names)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.slices(batches, "text"):
             n_words, ranges, names = hits(batch.column("text"), shared.value)
-            if "_ranges" in batch.schema.names:
-                before = zip(batch.column("_ranges").to_pylist(), batch.column("_names").to_pylist(), strict=True)
+            if so_far[0] in batch.schema.names:
+                before = zip(*(batch.column(c).to_pylist() for c in so_far), strict=True)
                 for i, (old, named) in enumerate(before):
                     ranges[i] += [(r["a"], r["b"]) for r in old]
                     names[i] |= set(named)
-                batch = batch.drop_columns(["_ranges", "_names"])
+                batch = batch.drop_columns(list(so_far))
             if not last:
                 ranges = [[{"a": a, "b": b} for a, b in own] for own in ranges]
                 made = [pa.array(ranges, _SO_FAR), pa.array([sorted(s) for s in names], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "_ranges", "_names"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *so_far])
             elif keep_clean:
                 yield batch.filter(pa.array([not own for own in ranges], pa.bool_()))
             else:
@@ -213,9 +213,12 @@ def _covered(ranges: list[tuple[int, int]]) -> int:
 def _passes(docs: DataFrame, benchmark: DataFrame, result: str, keep_clean: bool, part_bytes: int) -> DataFrame:
     parts = list(_parts_shared(docs, benchmark, part_bytes))
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    free = "_" * (1 + max(map(len, docs.columns)))  # no column has such a name
+    so_far = (f"{free}ranges", f"{free}names")
     for shared in parts[:-1]:
-        docs = docs.mapInArrow(_pass(shared, False, keep_clean), f"{fields}, _ranges array<struct<a: long, b: long>>, _names array<string>")
-    return docs.mapInArrow(_pass(parts[-1], True, keep_clean), result or fields)
+        more = f"{so_far[0]} array<struct<a: long, b: long>>, {so_far[1]} array<string>"
+        docs = docs.mapInArrow(_pass(shared, False, keep_clean, so_far), f"{fields}, {more}")
+    return docs.mapInArrow(_pass(parts[-1], True, keep_clean, so_far), result or fields)
 
 
 def _parts_shared(docs: DataFrame, benchmark: DataFrame, part_bytes: int):
