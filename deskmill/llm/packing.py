@@ -4,7 +4,7 @@ A document longer than the window fills whole windows first; what is left, its t
 length below the window. Tails of one length are alike, so packing is planned on the
 histogram of lengths alone: shallow combinations of lengths that fill the window exactly are
 the columns of a least-squares problem, and their repeat counts, not negative, should use up
-the histogram. Counts are rounded down, and what is left is packed greedily, longest first.
+the histogram. Counts are rounded, and what is left is packed greedily, longest first.
 The plan has a bounded number of lines, whatever the number of documents: it gives ranges of
 each length's tails a range of sequences. Spark numbers the tails of each length and looks
 the numbers up in the plan; no document is cut but at whole windows.
@@ -130,11 +130,13 @@ def plan(counts: np.ndarray) -> np.ndarray:
         sequence += times
 
     rows = combinations(left)
-    times = np.floor(repeat_counts(rows, left)).astype(np.int64)
-    for row, wanted in zip(rows, times, strict=True):
+    exact = repeat_counts(rows, left)
+    whole = np.floor(exact)
+    # Whole counts first; then those that round up once more, the largest remainders first.
+    by_rest = np.argsort(whole - exact, kind="stable")
+    for row, wanted in [*zip(rows, whole, strict=True), *((rows[i], 1) for i in by_rest if exact[i] - whole[i] >= 0.5)]:
         lengths = [int(v) for v in row if v]
-        need = {v: lengths.count(v) for v in lengths}
-        n = min([int(wanted), *(int(left[v]) // k for v, k in need.items())])
+        n = min([int(wanted), *(int(left[v]) // lengths.count(v) for v in lengths)])
         if n > 0:
             # A length that comes twice takes one range of ranks after the other.
             use(lengths, n)
