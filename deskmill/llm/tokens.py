@@ -25,9 +25,9 @@ ENDINGS_OF_ONE = "stmd"
 ENDINGS_OF_TWO = ["re", "ve", "ll"]
 
 #: Pre-tokens that a worker keeps; it starts anew beyond them.
-KEPT = 400_000
+KEPT = 900_000
 #: Slots of the table they are looked up in; free ones end a search.
-SLOTS = 1 << 20
+SLOTS = 1 << 21
 
 SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
 
@@ -116,8 +116,8 @@ class Encoder:
     def _clear(self) -> None:
         self.known = 0
         self.keys = np.zeros(SLOTS, np.uint64)  # 0: free
-        self.begin = np.zeros(SLOTS, np.int64)
-        self.length = np.zeros(SLOTS, np.int64)
+        self.begin = np.zeros(SLOTS, np.int32)
+        self.length = np.zeros(SLOTS, np.int32)
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
@@ -177,7 +177,7 @@ class Encoder:
                 words = [points[starts[i] : stops[i]].tobytes().decode("utf-32-le") for i in some]
                 self._learn(distinct[cut : cut + KEPT], words)
             slot = self._slots(keys)
-        per_part = self.length[slot]
+        per_part = self.length[slot].astype(np.int64)
         ids = self.flat[_ragged(self.begin[slot], per_part)] if len(slot) else np.zeros(0, np.uint32)
         counted = np.zeros(len(slot) + 1, np.int64)
         np.cumsum(per_part, out=counted[1:])
