@@ -66,34 +66,43 @@ def create_functions(
     return names
 
 
+#: Rows that one call of a search function gives at most.
+MAX_RESULTS = 100
+
+
 def create_search(
     spark: SparkSession, index: str, documents: str, name: str = "search_product_docs", temporary: bool = True
 ) -> str:
-    """A table function that finds the document nearest to a search term.
+    """A table function that finds the documents nearest to a search term.
 
-    ``index(id, bucket, n)`` is a vector index in long form and ``documents(id,
-    product_name, doc)`` what it was made from. The term is embedded like the documents;
-    its few buckets are joined to the index, which is read once. Equal similarities go to
-    the lower id, and where the term shares no bucket with any document there is no row.
+    ``index(id, vector)`` is a stored vector index and ``documents(id, product_name, doc)``
+    what it was made from. The term alone is embedded; the index is read once and not
+    shuffled. ``p_num_results`` rows come back, the best first, at most ``MAX_RESULTS``. A
+    zero vector has similarity 0, so there is an answer whatever the term; equal
+    similarities go to the lower id.
     """
     spark.sql(f"""
-        {_create(temporary)} {name}(p_search_term STRING COMMENT 'What to look for')
+        {_create(temporary)} {name}(
+            p_search_term STRING COMMENT 'What to look for',
+            p_num_results INT DEFAULT 1 COMMENT 'How many documents')
         RETURNS TABLE
-        COMMENT 'The document nearest to a search term'
+        COMMENT 'The documents nearest to a search term'
         RETURN
-        WITH term AS (
-            SELECT bucket, count(*) AS n FROM (
-                SELECT cast(conv(substr(md5(token), 1, 8), 16, 10) AS BIGINT) % 64 AS bucket
-                FROM (SELECT explode(split(lower(p_search_term), '[^\\\\p{{L}}\\\\p{{N}}]+')) AS token)
-                WHERE token <> '')
-            GROUP BY bucket),
-        near AS (
-            SELECT i.id, round(sum(i.n * t.n) / (sqrt(sum(i.n * i.n)) * (SELECT sqrt(sum(n * n)) FROM term)), 6) AS similarity
-            FROM (SELECT id, bucket, n FROM {index}) i LEFT JOIN term t ON i.bucket = t.bucket
-            GROUP BY i.id),
-        best AS (SELECT max_by(id, struct(similarity, -id)) AS id, max(similarity) AS similarity
-                 FROM near WHERE similarity IS NOT NULL)
-        SELECT d.product_name, d.doc, b.similarity FROM best b JOIN {documents} d ON d.id = b.id""")
+        WITH found AS (
+            SELECT transform(filter(split(lower(p_search_term), '[^\\\\p{{L}}\\\\p{{N}}]+'), t -> t <> ''),
+                             t -> cast(conv(substr(md5(t), 1, 8), 16, 10) AS BIGINT) % 64) AS buckets),
+        term AS (
+            SELECT transform(sequence(0, 63), b -> cast(size(filter(buckets, x -> x = b)) AS DOUBLE)) AS asked FROM found),
+        held AS (SELECT id, vector, (SELECT asked FROM term) AS asked FROM {index} WHERE vector IS NOT NULL),
+        scored AS (
+            SELECT id, sqrt(aggregate(asked, 0D, (acc, x) -> acc + x * x) * aggregate(vector, 0D, (acc, x) -> acc + x * x)) AS norm,
+                   aggregate(zip_with(vector, asked, (x, y) -> x * y), 0D, (acc, x) -> acc + x) AS dot FROM held),
+        best AS (
+            SELECT id, CASE WHEN norm > 0 THEN round(dot / norm, 6) ELSE 0D END AS similarity
+            FROM scored ORDER BY similarity DESC, id LIMIT {MAX_RESULTS}),
+        ranked AS (SELECT id, similarity, row_number() OVER (ORDER BY similarity DESC, id) AS rank FROM best)
+        SELECT d.product_name, d.doc, b.similarity, b.rank
+        FROM ranked b JOIN {documents} d ON d.id = b.id WHERE b.rank <= p_num_results""")
     return name
 
 

@@ -43,9 +43,11 @@ def passages_in_documents(passages: DataFrame, documents: DataFrame) -> DataFram
     document. The words inside a passage, all but its first and last, are whole words of
     any document that contains it; so the first ``WORDS`` of them must be a run of words
     there, and the two meet by the hash of that run. A passage of too few words meets by
-    its first letters in the same way. Candidates are then checked by ``contains``.
+    its first letters in the same way. Candidates are then checked by ``contains``. The
+    empty passage is in every document that has a text.
     """
-    known = passages.filter("passage <> ''").select("passage").distinct()
+    every = passages.filter("passage IS NOT NULL").select("passage").distinct()
+    known = every.filter("passage <> ''")
     words = _words(F.col("passage"))
     long = F.size(words) >= WORDS + 2
     docs = documents.select("doc_id", "text")
@@ -66,11 +68,15 @@ def passages_in_documents(passages: DataFrame, documents: DataFrame) -> DataFram
 
     # Few documents are candidates; with their number known their texts need no shuffle.
     checked = materialized(candidates.distinct(), "candidates")
-    return (
+    found = (
         checked.join(documents.select("doc_id", "text"), "doc_id")
         .filter(F.col("text").contains(F.col("passage")))
         .select("passage", "doc_id")
     )
+    if every.filter("passage = ''").isEmpty():
+        return found
+    # The empty passage is in every text.
+    return found.unionByName(docs.filter("text IS NOT NULL").select(F.lit("").alias("passage"), "doc_id"))
 
 
 def groundedness(items: DataFrame, documents: DataFrame) -> DataFrame:

@@ -10,24 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.functions.text import sentences, term_matches, tokens
+from deskmill.operators.skew import with_next
+from deskmill.session import materialized
 
 # Words an answer must not hold.
 BLOCKED_TERMS = ("idiot", "clown", "worthless", "stupid", "moron")
 MAX_SENTENCES = 2
 
 
-def answered_turns(turns: DataFrame) -> DataFrame:
-    """``(conv_id, turn, question, answer)`` for user turns followed by an assistant's.
+def answered_turns(turns: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """``(conv_id, turn, question, answer)`` for user turns that an assistant's follows.
 
-    Turns are numbered without gaps, so the answer has the number after the question's.
-    The two meet by ``(conv_id, turn)``, which is unique: a long conversation spreads over
-    all tasks, where a window per conversation would sort it in one.
+    The next turn is the next there is, whatever its number; ``order`` names columns that
+    order rows of one turn. A long conversation is gone through in blocks of its turns.
     """
-    asked = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
-    given = turns.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
+    ways = [*order, "role", "text"]
+    found = with_next(turns, ["conv_id"], "turn", ways, F.struct("role", "text"), "next")
+    return found.filter((F.col("role") == "user") & (F.col("next.role") == "assistant")).select(
+        "conv_id", "turn", F.col("text").alias("question"), F.col("next.text").alias("answer")
     )
-    return asked.join(given, ["conv_id", "turn"])
 
 
 def relevance(question: Column, answer: Column) -> Column:
@@ -59,8 +60,8 @@ def score_safety(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def evaluate_answers(pairs: DataFrame) -> DataFrame:
     """Every pair under every scorer, and a row with the mean per scorer.
 
-    ``(conv_id, turn, scorer, score)``; the means have NULL ids. The long table and the
-    means come from one grouping, so texts are scored once.
+    ``(conv_id, turn, scorer, score)``; the means have NULL ids. Texts are scored once, and
+    the scores, a few numbers a pair, written; rows that share their ids stay rows.
     """
     scored = pairs.select(
         "conv_id",
@@ -69,12 +70,11 @@ def evaluate_answers(pairs: DataFrame) -> DataFrame:
         (~is_flagged(F.col("answer"))).cast("double").alias("safety"),
         style_ok(F.col("answer")).cast("double").alias("style"),
     )
+    scored = materialized(scored, "scores")
     long = scored.unpivot(["conv_id", "turn"], ["relevance", "safety", "style"], "scorer", "score")
-    return (
-        long.groupingSets([["scorer", "conv_id", "turn"], ["scorer"]], "scorer", "conv_id", "turn")
-        .agg(F.round(F.avg("score"), 6).alias("score"))
-        .select("conv_id", "turn", "scorer", "score")
-    )
+    means = long.groupBy("scorer").agg(F.round(F.avg("score"), 6).alias("score"))
+    none = [F.lit(None).cast(long.schema[c].dataType).alias(c) for c in ("conv_id", "turn")]
+    return long.unionByName(means.select(*none, "scorer", "score"))
 
 
 def retrieval_hit_rate(found: DataFrame, labels: DataFrame, k: int) -> DataFrame:
@@ -120,7 +120,7 @@ def style_check(turns: DataFrame, most: int = MAX_SENTENCES) -> DataFrame:
 def history_answers(history: DataFrame) -> DataFrame:
     """One sentence per category and one with the total, as text, per customer."""
     line = F.concat(
-        F.format_number("n", 0), F.lit(" returns related to "), F.col("issue_category")
+        F.format_number("n", 0), F.lit(" contacts about "), F.col("issue_category")
     ).alias("line")
     body = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("issue_category", line))), lambda s: s["line"]),
@@ -129,7 +129,7 @@ def history_answers(history: DataFrame) -> DataFrame:
     rows = history.withColumn("n", F.col("returns_last_12_months").cast("bigint"))
     total = F.format_number(F.sum("n"), 0)
     return rows.groupBy("email").agg(
-        F.concat(body, F.lit("\nThis shows a total of "), total, F.lit(" returns")).alias("answer")
+        F.concat(body, F.lit("\nIn all, a total of "), total, F.lit(" contacts")).alias("answer")
     )
 
 
@@ -139,7 +139,7 @@ def expected_total_check(answers: DataFrame) -> DataFrame:
     def number(text: Column) -> Column:
         return F.replace(text, F.lit(","), F.lit("")).try_cast("bigint")
 
-    parts = F.regexp_extract_all("answer", F.lit(r"(?m)^([0-9,]+) returns"), F.lit(1))
+    parts = F.regexp_extract_all("answer", F.lit(r"(?m)^([0-9,]+) \w+"), F.lit(1))
     added = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc + number(p))
     stated = number(F.regexp_extract("answer", r"total of ([0-9,]+)", 1))
     return answers.select(

@@ -128,8 +128,8 @@ def average_bill(bills: DataFrame, customers: DataFrame, customer: str, segment:
     return (
         per_customer.join(customers.select(customer, segment), customer)
         .rollup(segment)
-        .agg(bill_count.alias("bills"), F.round(total / bill_count, 2).alias("average_bill"))
-        .select(F.coalesce(segment, F.lit("ALL")).alias("segment"), "bills", "average_bill")
+        .agg(bill_count.alias("bills"), F.round(total / bill_count, 2).alias("average_bill"), F.grouping_id().alias("_all"))
+        .select(F.when(F.col("_all") > 0, F.lit("ALL")).otherwise(F.col(segment)).alias("segment"), "bills", "average_bill")
     )
 
 

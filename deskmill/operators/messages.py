@@ -34,6 +34,9 @@ def _field(name: str, kind: str = "string") -> Column:
     return F.try_variant_get(F.col("_m"), f"$.{name}", kind)
 
 
+ERROR, NOT_JSON = "error", "message is not JSON"
+
+
 def _row(role: Column, content: Column, name=None, tool_calls=None, tool_call_id=None) -> Column:
     def text(value) -> Column:
         return (F.lit(None) if value is None else value).cast("string")
@@ -51,8 +54,8 @@ def normalize_messages(messages: DataFrame) -> DataFrame:
     """Bring every kind of message into one shape: none, one or several rows per message.
 
     ``(conv_id, turn, part, role, content, name, tool_calls, tool_call_id)``; ``tool_calls``
-    is JSON. A message with none of the kept keys gives no row. Everything happens within
-    the message's own row.
+    is JSON. A message with none of the kept keys gives no row, one that is not JSON a row
+    with the role ``error``. Everything happens within the message's own row.
     """
     kind = _field("type")
     raw_content = _field("content", "variant")
@@ -90,10 +93,11 @@ def normalize_messages(messages: DataFrame) -> DataFrame:
             one(_row(F.lit(TOOL), _field("output"), tool_call_id=_field("call_id"))),
         )
         .when(known, one(plain))
+        .when(F.col("message").isNotNull() & F.col("_m").isNull(), one(_row(F.lit(ERROR), F.lit(NOT_JSON))))
     )
     return (
         unnest(
-            messages.withColumn("_m", F.parse_json("message")),
+            messages.withColumn("_m", F.try_parse_json("message")),
             "conv_id",
             "turn",
             array=rows,

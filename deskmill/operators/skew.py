@@ -47,6 +47,31 @@ def top_per_key(
     return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
+def join_null_safe(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by keys of which NULL equals NULL; the keys come once, from the left side."""
+    renamed = other.withColumnsRenamed({key: f"_other_{key}" for key in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_other_{key}"))
+    return df.join(renamed, same, how).drop(*[f"_other_{key}" for key in keys])
+
+
+def with_next(df: DataFrame, keys: list[str], position: str, order: list[str], value: Column, name: str, block: int = BLOCK) -> DataFrame:
+    """The ``value`` of the row that follows within its keys, by ``position`` and then ``order``.
+
+    As :func:`number_rows`, it works in blocks of ``position``, so that no key is sorted in
+    one task: the last row of a block is followed by the first of the next block there is.
+    """
+    blocks = df.withColumns({"_block": F.floor(F.col(position) / block), "_value": value})
+    cut = [*keys, "_block"]
+    heads = blocks.groupBy(*cut).agg(F.min_by("_value", F.struct(position, *order)).alias("_head"))
+    after = F.lead("_head").over(Window.partitionBy(*keys).orderBy("_block"))
+    heads = heads.withColumn("_after", after).drop("_head")
+    inside = Window.partitionBy(*cut).orderBy(position, *order)
+    found = join_null_safe(blocks.withColumn("_follows", F.lead("_value").over(inside)), heads, cut)
+    return found.withColumn(name, F.coalesce("_follows", "_after")).drop("_block", "_value", "_follows", "_after")
+
+
 def number_rows(
     df: DataFrame, keys: list[str], position: str, order: list[str], name: str, block: int = BLOCK
 ) -> DataFrame:
@@ -70,12 +95,8 @@ def number_rows(
         .drop("count")
     )
     inside = Window.partitionBy(*cut).orderBy(position, *order)
-    return (
-        blocks.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, cut)
-        .withColumn(name, F.col("_start") + F.col("_inside") - 1)
-        .drop("_block", "_start", "_inside")
-    )
+    numbered = join_null_safe(blocks.withColumn("_inside", F.row_number().over(inside)), starts, cut)
+    return numbered.withColumn(name, F.col("_start") + F.col("_inside") - 1).drop("_block", "_start", "_inside")
 
 
 def joined_in_order(seq: str, text: Column) -> Column:

@@ -2,7 +2,8 @@
 
 An index is a table ``(id, content_hash, vector)``; a vector is an array of numbers of one
 length. Similarity is the cosine, rounded to six digits, and 0 where a vector is all
-zeros. Results are ordered by similarity, then by id, so every result is unique.
+zeros. Results are ordered by similarity, then by id, so every result is unique. Rows
+without a vector are left out of a search; vectors of several lengths end it with an error.
 """
 
 from __future__ import annotations
@@ -20,11 +21,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from deskmill.functions.embedding import embed
 from deskmill.operators.skew import top_per_key, unnest
 from deskmill.session import materialized
-from deskmill.sources.snapshots import changed_keys
 
 DIGITS = 6
-BROADCAST_QUERIES = 20_000  # 20,000 vectors of 64 doubles are 10 MB
-BLOCK_VECTORS = 100_000
+BROADCAST_BYTES = 16 << 20  # of query vectors in doubles; with copies a task takes twice that
+BLOCK_BYTES = 64 << 20  # of the vectors of a block
 MERGE_SALTS = 8
 CELLS = 4_000_000  # cosines held at once by one task, 16 MB
 PAIRS = 50_000
@@ -47,14 +47,21 @@ def long_form(index: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def sync_index(index: DataFrame, before: DataFrame, after: DataFrame, key: str, text: str) -> DataFrame:
-    """The index of ``after``, made from that of ``before``.
+def sync_index(index: DataFrame, after: DataFrame, key: str, text: str) -> DataFrame:
+    """The index of ``after``, made from the index of an earlier state.
 
+    The index holds the hash of each text it was made from, so the old texts are not read.
     Only new and changed texts are embedded; rows of changed and deleted keys leave.
     """
-    changes = materialized(
-        changed_keys(before.select(key, text), after.select(key, text), key, [text]), "changes"
+    old = index.select(key, F.col("content_hash").alias("_old"), F.lit(True).alias("_was"))
+    new = after.select(key, F.sha2(text, 256).alias("_new"), F.lit(True).alias("_is"))
+    change = (
+        F.when(F.col("_was").isNull(), "insert")
+        .when(F.col("_is").isNull(), "delete")
+        .when(~F.col("_old").eqNullSafe(F.col("_new")), "update")
     )
+    met = old.join(new, key, "full_outer").select(key, change.alias("change"))
+    changes = materialized(met.filter("change is not null"), "changes")
     kept = index.join(changes, key, "left_anti")
     fresh = after.join(changes.filter("change <> 'delete'"), key, "left_semi")
     return kept.unionByName(build_index(fresh, [key], text))
@@ -66,6 +73,9 @@ def sync_index(index: DataFrame, before: DataFrame, after: DataFrame, key: str,
 def _matrix(vectors: pa.Array) -> np.ndarray:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
+    lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if len(lengths) > 1 or None in lengths:
+        raise ValueError(f"vectors of one length are wanted, not of lengths {lengths}")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(vectors), -1) if len(vectors) else flat.reshape(0, 0)
 
@@ -243,19 +253,22 @@ def search(
     queries: DataFrame,
     k: int,
     without_self: bool = False,
-    broadcast_queries: int = BROADCAST_QUERIES,
-    block: int = BLOCK_VECTORS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    block: int | None = None,
 ) -> DataFrame:
     """Exact best ``k``: ``corpus(id, vector)``, ``queries(query_id, vector)``.
 
     Returns ``(query_id, id, similarity, rank)``, on request without the query's own id. Up
-    to ``broadcast_queries`` queries go to every task and the corpus is read once and never
-    shuffled. Beyond that both sides are cut into blocks. The work is queries times vectors
+    to ``broadcast_bytes`` of query vectors go to every task and the corpus is read once and
+    never shuffled. Beyond that both sides are cut into blocks. The work is queries times vectors
     either way; where that is too much, :func:`search_approximately` trades recall for it.
     """
-    n_queries = queries.count()
+    corpus, queries = corpus.filter("vector IS NOT NULL"), queries.filter("vector IS NOT NULL")
+    n_queries, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    width = max(1, width or 1)
+    block = block or max(1, BLOCK_BYTES // (8 * width))
     wanted = k + 1 if without_self else k
-    if n_queries <= broadcast_queries:
+    if 8 * width * n_queries <= broadcast_bytes:
         found = _search_by_broadcast(corpus, queries, wanted)
     else:
         found = _search_by_blocks(corpus, queries, wanted, n_queries, corpus.count(), block)
@@ -281,13 +294,13 @@ def search_approximately(
     tables: int = 8,
     width: int = 2,
     seed: int = 7,
-    block: int = BLOCK_VECTORS,
+    block: int | None = None,
 ) -> DataFrame:
     """Best ``k`` among the vectors that share a bucket with the query in any table.
 
     A bucket is made of ``width`` random projections: more of them make smaller buckets,
-    more tables find more. A bucket of more than ``block`` vectors or queries is cut into
-    blocks of that size. Within a block a task returns ``k`` rows per query, never the
+    more tables find more. A bucket of more than ``block`` vectors or queries, by default of
+    more than ``BLOCK_BYTES``, is cut into blocks of that size. Within a block a task returns ``k`` rows per query, never the
     pairs of a bucket.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
@@ -296,6 +309,10 @@ def search_approximately(
     from deskmill.functions.embedding import unit
 
     schema = _result_schema(queries, corpus)
+    corpus, queries = corpus.filter("vector IS NOT NULL"), queries.filter("vector IS NOT NULL")
+    if block is None:
+        length = queries.select(F.size("vector")).first()
+        block = max(1, BLOCK_BYTES // (8 * max(1, length[0] if length else 1)))
 
     def dense(df: DataFrame, key: str, vector: str) -> DataFrame:
         features = array_to_vector(unit(F.col(vector)))

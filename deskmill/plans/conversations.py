@@ -187,10 +187,11 @@ def route_questions(spark, sf_dir):
 # -- evaluation -----------------------------------------------------------------------------
 
 _PAIRS_SQL = f"""
-    pairs AS (SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer,
-                     list_distinct({tokens_sql('q.text')}) AS wanted, {tokens_sql('a.text')} AS given
-              FROM conversations q JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
-              WHERE q.role = 'user' AND a.role = 'assistant')"""
+    turns AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS answer
+              FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+    pairs AS (SELECT conv_id, turn, text AS question, answer,
+                     list_distinct({tokens_sql('text')}) AS wanted, {tokens_sql('answer')} AS given
+              FROM turns WHERE role = 'user' AND next_role = 'assistant')"""
 _RELEVANCE_SQL = "CASE WHEN len(wanted) = 0 THEN 0 ELSE round(len(list_intersect(wanted, given)) / len(wanted), 6) END"
 _SENTENCES_SQL = r"len(list_filter(regexp_split_to_array({}, '[.!?]+'), lambda s: regexp_replace(s, '\s+', '', 'g') <> ''))"
 
@@ -202,6 +203,22 @@ def score_relevance(spark, sf_dir):
     return pairs.select("conv_id", "turn", score.alias("relevance"))
 
 
+@query(
+    "score_relevance_normalized",
+    f"""WITH {NORMAL_SQL},
+        n AS (SELECT conv_id, turn, role, content AS question,
+                     lead(role) OVER w AS next_role, lead(content) OVER w AS answer
+              FROM norm WINDOW w AS (PARTITION BY conv_id ORDER BY turn, part)),
+        pairs AS (SELECT conv_id, turn, list_distinct({tokens_sql('question')}) AS wanted, {tokens_sql('answer')} AS given
+                  FROM n WHERE role = 'user' AND next_role = 'assistant')
+        SELECT conv_id, turn, {_RELEVANCE_SQL} AS relevance FROM pairs""",
+)
+def score_relevance_normalized(spark, sf_dir):
+    turns = _normal(spark, sf_dir).select("conv_id", "turn", "part", "role", F.col("content").alias("text"))
+    pairs = evaluation.answered_turns(turns, order=("part",))
+    return pairs.select("conv_id", "turn", evaluation.relevance(F.col("question"), F.col("answer")).alias("relevance"))
+
+
 @query(
     "evaluate_answers",
     f"""WITH {_PAIRS_SQL},
@@ -228,8 +245,8 @@ def style_check(spark, sf_dir):
     "expected_total_check",
     """WITH h AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
        SELECT CAST(user_id AS VARCHAR) AS email,
-              string_agg(format('{:,}', n) || ' returns related to ' || event_type, chr(10) ORDER BY event_type)
-                  || chr(10) || 'This shows a total of ' || format('{:,}', CAST(sum(n) AS BIGINT)) || ' returns' AS answer,
+              string_agg(format('{:,}', n) || ' contacts about ' || event_type, chr(10) ORDER BY event_type)
+                  || chr(10) || 'In all, a total of ' || format('{:,}', CAST(sum(n) AS BIGINT)) || ' contacts' AS answer,
               CAST(sum(n) AS BIGINT) AS added, CAST(sum(n) AS BIGINT) AS stated, true AS consistent
        FROM h GROUP BY user_id""",
 )

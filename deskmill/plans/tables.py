@@ -132,6 +132,19 @@ def change_feed(spark, sf_dir):
     )
 
 
+@query(
+    "change_feed_events",
+    """SELECT event_id, 'update_preimage' AS change_type, ts, user_id, event_type, value, props FROM events WHERE event_id % 11 = 0
+       UNION ALL
+       SELECT event_id, 'update_postimage', ts + INTERVAL 1 MICROSECOND, user_id, event_type, value, props
+       FROM events WHERE event_id % 11 = 0""",
+)
+def change_feed_events(spark, sf_dir):
+    before = table(spark, sf_dir, "events")
+    later = F.expr("CASE WHEN event_id % 11 = 0 THEN ts + INTERVAL '0.000001' SECOND ELSE ts END")
+    return snapshots.change_feed(before, before.withColumn("ts", later), "event_id")
+
+
 # -- lookups and summaries ------------------------------------------------------------------
 
 

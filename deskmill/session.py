@@ -14,6 +14,9 @@ TABLES = (
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
+#: Splits up to which a table is dealt out over the cores; one is 128 MB by default.
+FEW_SPLITS = 8
+
 SCRATCH_KEY = "spark.checkpoint.dir"
 
 
@@ -44,12 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table for work that is heavy per row, read with every core.
 
-    A single small file is one split and would keep one core busy. Inputs of many splits,
-    as on a cluster, are left as they are: they would pay for a shuffle and gain nothing.
+    A small file is one split and would keep one core busy. An input of more than a few
+    splits, and so of more than ``FEW_SPLITS`` times a split's size at most, is left as it is,
+    however many cores there are: it would pay for a shuffle.
     """
     scan = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() > cores else scan.repartition(cores)
+    few = min(FEW_SPLITS, spark.sparkContext.defaultParallelism)
+    return scan if scan.rdd.getNumPartitions() > few else scan.repartition(spark.sparkContext.defaultParallelism)
 
 
 def materialized(df: DataFrame, label: str) -> DataFrame:

@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from deskmill.session import materialized
 
 
+# Without these formats times would be written to the millisecond.
+JSON_OPTIONS = {
+    "ignoreNullFields": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def row_hash(df: DataFrame, columns: list[str]):
-    """SHA-256 over all columns; NULL differs from the empty text."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "true"}), 256)
+    """SHA-256 over all columns; NULL differs from the empty text, and every microsecond counts."""
+    return F.sha2(F.to_json(F.struct(*columns), JSON_OPTIONS), 256)
 
 
 def changed_keys(before: DataFrame, after: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -1,8 +1,9 @@
 """Putting streamed text pieces together as they arrive.
 
 A message is emitted once, when its last piece and all pieces before it are there; until
-then its state holds the text so far and the pieces that came early. Then the state goes,
-so what is kept is what is unfinished. No piece is dropped for coming late.
+then its state holds the text so far and the pieces that came early. Then only a mark stays,
+so that a piece that comes again, before or after the end, changes nothing. Marks, a few
+bytes a message, and messages that were never finished stay in the state.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ STATE = "next_seq long, text string, early string, last_seq long"
 
 def _absorb(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     next_seq, text, early, last_seq = state.get if state.exists else (0, "", "{}", -1)
+    finished = 0 <= last_seq < next_seq
     waiting = {int(seq): piece for seq, piece in json.loads(early).items()}
     for batch in batches:
-        waiting.update(zip(batch["seq"], batch["piece"], strict=True))
+        for seq, piece in zip(batch["seq"], batch["piece"], strict=True):
+            if seq >= next_seq and not finished:
+                waiting.setdefault(int(seq), piece)
         ends = batch.loc[batch["is_last"], "seq"]
         last_seq = max(last_seq, *ends) if len(ends) else last_seq
     ready = [text]
@@ -30,9 +34,10 @@ def _absorb(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.D
         ready.append(waiting.pop(next_seq) or "")
         next_seq += 1
     text = "".join(ready)
-    if 0 <= last_seq < next_seq:
-        if state.exists:
-            state.remove()
+    if finished:
+        state.update((int(next_seq), "", "{}", int(last_seq)))
+    elif 0 <= last_seq < next_seq:
+        state.update((int(next_seq), "", "{}", int(last_seq)))
         yield pd.DataFrame({"conv_id": [key[0]], "turn": [key[1]], "text": [text]})
     else:
         early = json.dumps({str(seq): piece for seq, piece in waiting.items()})

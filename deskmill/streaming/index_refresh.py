@@ -5,7 +5,7 @@ The index is a folder of batches. Each micro-batch writes the vectors of its own
 that runs again after a failure overwrites its own folder, so no row can appear twice. A batch moves no
 data between machines.
 Readers take the newest vector per key; :func:`compact` writes that down when batches
-have piled up.
+have piled up, under a number that no stream uses. A row without a text takes its key out.
 """
 
 from __future__ import annotations
@@ -48,13 +48,17 @@ def current_index(spark: SparkSession, target: str, keys: list[str]) -> DataFram
     """The newest vector of every key."""
     batches = spark.read.option("basePath", target).parquet(f"{target}/batch_id=*")
     newest = F.max_by(F.struct("content_hash", "vector"), F.struct("batch_id", VERSION, "content_hash"))
-    return batches.groupBy(*keys).agg(newest.alias("r")).select(*keys, "r.*")
+    return batches.groupBy(*keys).agg(newest.alias("r")).select(*keys, "r.*").filter("content_hash IS NOT NULL")
 
 
 def compact(spark: SparkSession, target: str, keys: list[str], compacted: str) -> None:
-    """Write the current index as one batch of a new folder."""
+    """Write the current index as one batch of a new folder.
+
+    Streams number their batches from 0, so a refresh of the new folder, under whatever
+    checkpoint, adds to batch -1 and never overwrites it.
+    """
     batches = spark.read.option("basePath", target).parquet(f"{target}/batch_id=*")
     last = F.max_by(F.struct("content_hash", "vector", VERSION), F.struct("batch_id", VERSION, "content_hash"))
-    batches.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*").write.mode("overwrite").parquet(
-        f"{compacted}/batch_id=0"
-    )
+    batches.groupBy(*keys).agg(last.alias("r")).select(*keys, "r.*").filter("content_hash IS NOT NULL").write.mode(
+        "overwrite"
+    ).parquet(f"{compacted}/batch_id=-1")

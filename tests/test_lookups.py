@@ -112,10 +112,14 @@ def test_persistent_functions_over_tables(spark, interactions, policies):
 def test_search_function(spark):
     documents = spark.createDataFrame([(1, "a", "red fox"), (2, "b", "blue fox jumps"), (3, "c", "blue fox jumps"), (4, "d", "")], "id long, product_name string, doc string")
     documents.createOrReplaceTempView("t_docs")
-    vectors.long_form(vectors.build_index(documents, ["id"], "doc"), ["id"]).createOrReplaceTempView("t_index")
+    vectors.build_index(documents, ["id"], "doc").createOrReplaceTempView("t_index")
     name = sql_functions.create_search(spark, "t_index", "t_docs", "t_search")
-    assert rows(spark.sql(f"SELECT * FROM {name}('Blue FOX, jumps!')")) == [("b", "blue fox jumps", 1.0)]
-    assert rows(spark.sql(f"SELECT * FROM {name}('')")) == []
+    assert rows(spark.sql(f"SELECT * FROM {name}('Blue FOX, jumps!')")) == [("b", "blue fox jumps", 1.0, 1)]
+    assert rows(spark.sql(f"SELECT * FROM {name}('')")) == [("a", "red fox", 0.0, 1)]  # the lowest id
+    two = spark.sql(f"SELECT product_name, rank FROM {name}('blue fox jumps', p_num_results => 2)")
+    assert rows(two) == [("b", 1), ("c", 2)]
+    searching = plan(spark.sql(f"SELECT * FROM {name}('fox', 5)"))
+    assert "hashpartitioning(id" not in searching
     assert "NestedLoop" not in plan(spark.sql(f"SELECT * FROM {name}('fox')"))
 
 
@@ -141,19 +145,10 @@ def test_assignment_prunes_children_only(spark):
     assert [r[1:] for r in rows(metadata.apply_assignments(df))] == [("a.b", 3, "4"), ("a.b.d", 4, "5"), ("a.bc", 2, "3")]
 
 
-def test_assignments_match_a_plain_dictionary(spark):
-    import random
-
-    rng = random.Random(3)
-    keys = ["a", "a.b", "a.b.c", "a.b.c.d", "ab", "a.bc", "b", "b.a", "b.a.a"]
-    log = [(rng.choice(keys), str(i)) for i in range(60)]
-    held = {}
-    for key, value in log:
-        held[key] = value
-        for other in [k for k in held if k.startswith(key + ".")]:
-            del held[other]
-    got = {r.key: r.value for r in metadata.apply_assignments(settings(spark, *log)).collect()}
-    assert got == held
+def test_assignments_at_several_depths(spark):
+    df = settings(spark, ("a.b.c.d", "0"), ("ab", "1"), ("a", "2"), ("a.b.c", "3"), ("b.a.a", "4"), ("b.a", "5"), ("a.b", "6"), ("a.b.c.d", "7"), ("ab", "8"))
+    got = {r.key: r.value for r in metadata.apply_assignments(df).collect()}
+    assert got == {"a": "2", "a.b": "6", "a.b.c.d": "7", "ab": "8", "b.a": "5"}
 
 
 def test_prefix_and_names(spark):
@@ -163,3 +158,10 @@ def test_prefix_and_names(spark):
     assert rows(metadata.catalog_and_schema(named)) == [("o", None, None)]
     named = settings(spark, ("schema_name", "s"), ("catalog_name", "c"))
     assert rows(metadata.catalog_and_schema(named)) == [("o", "c", "s")]
+
+
+def test_totals_row_is_one_even_with_a_missing_segment(spark):
+    bills = spark.createDataFrame([(1, 10.0), (2, 20.0)], "c long, amount double")
+    customers = spark.createDataFrame([(1, "x"), (2, None)], "c long, segment string")
+    got = lookups.average_bill(bills, customers, "c", "segment", "amount")
+    assert rows(got.select("segment", "bills", "average_bill")) == [(None, 1, 20.0), ("ALL", 2, 15.0), ("x", 1, 10.0)]

@@ -53,22 +53,6 @@ def test_system_prompt_and_pending_step(spark):
     assert messages.pending_step(quiet).first().step == "done"
 
 
-def fold_one(found):
-    """The folding rule on one response, chunk by chunk."""
-    text, kept, last = "", [], None
-    for chunk_id, content, calls in found:
-        last = chunk_id
-        if calls:
-            if kept:
-                kept[0][2] += calls[0][2]
-            else:
-                kept = [list(c) for c in calls]
-        elif content is not None:
-            text += content
-    items = [("message", last, None, text)] if text else []
-    return items + [("function_call", *c) for c in kept]
-
-
 def test_folding_with_two_tools_and_any_block_size(spark):
     two = [("c1", "f", '{"a"'), ("c2", "g", "{}")]
     responses = [
@@ -78,7 +62,13 @@ def test_folding_with_two_tools_and_any_block_size(spark):
         [("m0", "only text", None)],
     ]
     data = [(1, t, s, *chunk) for t, found in enumerate(responses) for s, chunk in enumerate(found)]
-    want = [(1, t, i, *item) for t, found in enumerate(responses) for i, item in enumerate(fold_one(found))]
+    want = [
+        (1, 0, 0, "message", "m5", None, "Hello!"),
+        (1, 0, 1, "function_call", "c1", "f", '{"a":1}'),
+        (1, 0, 2, "function_call", "c2", "g", "{}"),
+        (1, 2, 0, "function_call", "c", "f", "xy"),
+        (1, 3, 0, "message", "m0", None, "only text"),
+    ]
     for block in (1, 2, 4096):
         df = spark.createDataFrame(data, CHUNK).repartition(7)
         assert rows(messages.fold_chunks(df, block)) == sorted(want, key=lambda r: [(v is not None, v) for v in r])
@@ -147,11 +137,37 @@ def test_scores(spark):
 
 
 def test_totals_in_answers(spark):
-    counts = {"Technical Support": 193, "Account Management": 205, "Billing": 213, "Feedback": 187, "Returns": 23, "Product Inquiry": 202}
+    counts = {"Parcels": 400, "Opening hours": 350, "Invoices": 271, "Repairs": 4}
     history = spark.createDataFrame([("n@x", c, n) for c, n in counts.items()], "email string, issue_category string, returns_last_12_months int")
     [row] = evaluation.expected_total_check(evaluation.history_answers(history)).collect()
-    assert (row.added, row.stated, row.consistent) == (1023, 1023, True)
-    assert "total of 1,023 returns" in row.answer
+    assert (row.added, row.stated, row.consistent) == (1025, 1025, True)
+    assert "total of 1,025 contacts" in row.answer
     wrong = spark.createDataFrame([("e", "1,000 returns related to A\n2 returns related to B\nThis shows a total of 1,003 returns"), ("f", "no numbers")], "email string, answer string")
     got = {r.email: (r.added, r.stated, r.consistent) for r in evaluation.expected_total_check(wrong).collect()}
     assert got["e"] == (1002, 1003, False) and got["f"][2] is False
+
+
+def test_one_broken_message_gives_an_error_row(spark):
+    df = spark.createDataFrame([(1, 0, "{broken"), (1, 1, '{"role": "user", "content": "q"}'), (1, 2, None)], "conv_id long, turn long, message string")
+    got = messages.normalize_messages(df).select("turn", "role", "content")
+    assert rows(got) == [(0, "error", "message is not JSON"), (1, "user", "q")]
+
+
+def test_rows_without_ids_are_numbered_too(spark):
+    data = [(1, 0, 0, "user", "a"), (None, 0, 0, "user", "b"), (None, None, 0, "user", "c"), (1, None, 0, "user", "d")]
+    df = spark.createDataFrame(data, "conv_id long, turn long, part int, role string, content string")
+    got = messages.prepend_system(df, "")
+    assert rows(got.select("conv_id", "position", "content")) == [(None, 0, "c"), (None, 1, "b"), (1, 0, "d"), (1, 1, "a")]
+
+
+def test_the_next_turn_is_the_next_there_is(spark):
+    data = [(1, 0, "user", "q0"), (1, 2, "assistant", "a2"), (1, 5, "user", "q5"), (1, 9000, "assistant", "a9000"), (1, 9001, "user", "last"), (None, 1, "user", "n"), (None, 7, "assistant", "m")]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    got = evaluation.answered_turns(df)
+    assert rows(got) == [(None, 1, "n", "m"), (1, 0, "q0", "a2"), (1, 5, "q5", "a9000")]
+
+
+def test_pairs_that_share_their_ids_stay_rows(spark):
+    df = spark.createDataFrame([(1, 0, "red fox", "red"), (1, 0, "red fox", "red fox")], "conv_id long, turn long, question string, answer string")
+    got = evaluation.evaluate_answers(df).filter("scorer = 'relevance'").select("conv_id", "score")
+    assert rows(got) == [(None, 0.75), (1, 0.5), (1, 1.0)]

@@ -116,3 +116,11 @@ def test_profile_and_readiness(spark):
         ("twice", True, False, True, False),
     ]
     assert profile.readiness({"good": (good, ["id"], ["v"])}).filter("table_name = '*'").first().ready
+
+
+def test_changes_of_a_microsecond_are_seen(spark):
+    for kind in ("timestamp", "timestamp_ntz"):
+        before = spark.sql(f"SELECT 1 AS id, CAST('2024-01-01 00:00:00.123456' AS {kind}) AS ts")
+        after = spark.sql(f"SELECT 1 AS id, CAST('2024-01-01 00:00:00.123457' AS {kind}) AS ts")
+        assert snapshots.change_feed(before, after, "id").count() == 2
+        assert snapshots.change_feed(before, before, "id").count() == 0

@@ -34,7 +34,7 @@ def data():
     return corpus
 
 
-@pytest.mark.parametrize("how", [{}, {"broadcast_queries": 0, "block": 37}])
+@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0, "block": 37}])
 @pytest.mark.parametrize("without_self", [False, True])
 def test_search_is_exact_with_copies_ties_and_zeros(spark, data, how, without_self):
     corpus, queries = frame(spark, data, "id").repartition(5), frame(spark, data, "query_id")
@@ -42,7 +42,7 @@ def test_search_is_exact_with_copies_ties_and_zeros(spark, data, how, without_se
     assert rows(got) == sorted(brute_force(data, data, 7, without_self))
 
 
-@pytest.mark.parametrize("how", [{}, {"broadcast_queries": 0, "block": 50}])
+@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0, "block": 50}])
 def test_vectors_closer_than_single_precision_tells(spark, how):
     rng = np.random.default_rng(8)
     base = rng.normal(size=16)
@@ -109,7 +109,7 @@ def test_sync_equals_rebuild(spark):
     before = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None), (4, "d")], "id long, text string")
     after = spark.createDataFrame([(1, "a b"), (2, "c c"), (3, "x"), (5, "e")], "id long, text string")
     index = vectors.build_index(before, ["id"], "text")
-    synced = vectors.sync_index(index, before, after, "id", "text")
+    synced = vectors.sync_index(index, after, "id", "text")
     assert rows(synced.select("id", "content_hash")) == rows(vectors.build_index(after, ["id"], "text").select("id", "content_hash"))
     assert rows(vectors.long_form(synced, ["id"])) == rows(vectors.long_form(vectors.build_index(after, ["id"], "text"), ["id"]))
 
@@ -157,3 +157,25 @@ def test_containment_against_brute_force(spark):
     assert rows(containment.passages_in_documents(asked, docs)) == want
     items = spark.createDataFrame([(1, "short"), (2, "absent words"), (3, "short")], "item_id int, text string")
     assert rows(containment.groundedness(items, docs)) == [(1, 2, True), (2, 0, False), (3, 2, True)]
+
+
+def test_rows_without_a_vector_are_left_out(spark):
+    data = [(1, [1.0, 0.0]), (2, None), (3, [0.9, 0.1]), (4, [0.0, 1.0])]
+    df = spark.createDataFrame(data, "id long, vector array<double>")
+    got = vectors.search_self(df, "id", 1).select("query_id", "id")
+    assert sorted(map(tuple, got.collect())) == [(1, 3), (3, 1), (4, 3)]
+
+
+def test_vectors_of_two_lengths_are_refused(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "id long, vector array<double>").coalesce(1)
+    with pytest.raises(Exception, match="vectors of one length"):
+        vectors.search_self(df, "id", 1).collect()
+
+
+def test_sync_reads_no_old_text(spark, folder):
+    old = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "d")], "id long, text string")
+    new = spark.createDataFrame([(1, "a b"), (2, "c changed"), (4, "e")], "id long, text string")
+    vectors.build_index(old, ["id"], "text").write.parquet(f"{folder}/index")
+    synced = vectors.sync_index(spark.read.parquet(f"{folder}/index"), new, "id", "text")
+    want = vectors.build_index(new, ["id"], "text")
+    assert sorted(map(str, synced.collect())) == sorted(map(str, want.collect()))
