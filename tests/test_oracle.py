@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import canonical
+from deskmill import plans
 from deskmill.session import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -28,8 +29,8 @@ def test_query_matches_sql(spark, db, name):
     assert got.equals(want)
 
 
-def test_only_recall_has_no_sql():
-    assert set(QUERIES) - set(CHECKS) == {"ann_recall"}
+def test_every_job_of_the_library_has_sql():
+    assert set(plans.JOBS) == set(plans.CHECKS) and set(plans.JOBS) <= set(QUERIES)
 
 
 def test_entry_has_rows_and_schema(spark):
