@@ -264,7 +264,9 @@ def near_duplicates(
         rows_of = ["group", "i", "j", "side", "node", "component", "n_shingles", "signature", "text"]
         both = own.select(*rows_of).unionByName(other.select(*rows_of))
         meet = _meet(words, percent, ruled_out_below(bands * rows, percent))
-        joined = materialized(both.groupBy("group", "i", "j").applyInArrow(meet, "a long, b long"), "joined")
+        # By a hash of its own, else all cells of a group would stay where the group was joined.
+        both = both.withColumn("cell", F.xxhash64("group", "i", "j"))
+        joined = materialized(both.groupBy("cell").applyInArrow(meet, "a long, b long"), "joined")
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(joined))
 
     named = nodes.join(found, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
