@@ -128,7 +128,8 @@ def entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     """Losses and score for every row of ``docs(doc_id, text)``; ``target(doc_id)`` names the good ones."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     good = target.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("good", F.lit(True))
-    marked = docs.join(good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    # Labels grow with the corpus: they are merged and never broadcast, at any size.
+    marked = docs.join(good.hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     sums = marked.mapInArrow(_count, _COUNTS).groupBy("slot").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
     rows = sums.toArrow()  # a row for each slot at most
     models = Pair(*(rows.column(c).to_numpy() for c in ("slot", "target", "every")))
