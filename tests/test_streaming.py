@@ -101,3 +101,27 @@ def test_one_file_with_a_long_message(spark, folder):
     chunk_fold.run_fold(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     [row] = spark.read.parquet(f"{folder}/out").collect()
     assert row.text == "".join(f"{i};" for i in range(n))
+
+
+def test_repeated_pieces_change_nothing(spark, folder):
+    inbox, target, checkpoint = (f"{folder}/{n}" for n in ("in", "out", "checkpoint"))
+    os.mkdir(inbox)
+    first, last = (1, 0, 0, "a", False), (1, 0, 1, "b", True)
+    for run, found in enumerate([[first, first], [first, last], [last], [first, last]]):
+        land(spark.createDataFrame(found, PIECES), inbox, f"f{run}")
+        stream = spark.readStream.schema(PIECES).option("pathGlobFilter", "*.parquet").parquet(inbox)
+        chunk_fold.run_fold(stream, target, checkpoint).awaitTermination()
+    assert rows(spark.read.schema("conv_id long, turn long, text string").parquet(target)) == [(1, 0, "ab")]
+
+
+def test_refresh_after_compaction_keeps_the_index_and_takes_keys_out(spark, folder):
+    data = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "d")], "id long, text string")
+    later = spark.createDataFrame([(4, "e"), (2, None)], "id long, text string")
+    for name, rows_ in (("in", data), ("later", later)):
+        os.mkdir(f"{folder}/{name}")
+        land(rows_, f"{folder}/{name}", "one")
+    refresh(spark, f"{folder}/in", f"{folder}/index", f"{folder}/c1", data.schema)
+    index_refresh.compact(spark, f"{folder}/index", ["id"], f"{folder}/compact")
+    index = refresh(spark, f"{folder}/later", f"{folder}/compact", f"{folder}/c2", data.schema)
+    final = spark.createDataFrame([(1, "a b"), (3, "d"), (4, "e")], "id long, text string")
+    assert rows(index) == rows(vectors.build_index(final, ["id"], "text"))
