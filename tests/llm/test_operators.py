@@ -523,6 +523,43 @@ def test_scores_favour_the_target(spark, odd, nothing):
     assert lm_scores.entropy_difference(nothing, target).count() == 0
 
 
+def plain_scores(rows, good):
+    """Both models counted in full, by word and by pair."""
+    split = {i: WORDS.findall(plain_lower(t or "")) for i, (_, t, *_) in enumerate(rows)}
+    counts = [(collections.Counter(), collections.Counter()) for _ in range(2)]
+    for i, (doc_id, *_) in enumerate(rows):
+        for k in (0, 1) if doc_id in good else (1,):
+            counts[k][0].update(split[i])
+            counts[k][1].update(zip(split[i], split[i][1:]))
+    n, total = len(counts[1][0]), counts[0][0].total()
+    out = []
+    for i, (doc_id, *_) in enumerate(rows):
+        loss = [0.0, 0.0]
+        for k, scale in ((0, 1.0), (1, total / counts[1][0].total())):
+            single, pair = counts[k]
+            for before, word in zip([None, *split[i]], split[i]):
+                alone = (single[word] * scale + lm_scores.ADDED) / (total + lm_scores.ADDED * n)
+                weight = lm_scores.PAIR_WEIGHT if before is not None and single[before] else 0.0
+                loss[k] -= np.log(weight * pair[before, word] / max(single[before], 1) + (1 - weight) * alone)
+        m = max(1, len(split[i]))
+        out.append((doc_id, len(split[i]), loss[0] / m, loss[1] / m))
+    return out
+
+
+@pytest.mark.parametrize("ranges", [lm_scores.RANGES, 4096])
+def test_scores_tell_all_words_and_pairs_apart(spark, monkeypatch, ranges):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"W{int(rng.paretovariate(0.5)) % 40_000}" for _ in range(rng.randrange(200))), "en", "s") for i in range(600)]
+    rows += [(7, "W1 w2", "en", "s"), (1000, None, "en", "s"), (1001, "", "en", "s"), (1002, "w1 " * 5000, "en", "s"), (1003, "once é", "en", "s")]
+    monkeypatch.setattr(lm_scores, "RANGES", ranges)
+    good = {d for d, *_ in rows if d % 3 == 0}
+    target = spark.createDataFrame([(d,) for d in good] * 2, "doc_id long")
+    got = lm_scores.entropy_difference(docs_of(spark, rows).repartition(5), target).collect()
+    key = lambda r: (r[0], r[1])
+    for r, wanted in zip(sorted(map(tuple, got), key=key), sorted(plain_scores(rows, good), key=key), strict=True):
+        assert r[:2] == wanted[:2] and np.allclose(r[2:], [*wanted[2:], wanted[2] - wanted[3]], atol=1e-9), wanted
+
+
 def test_hashes_do_not_depend_on_the_batch():
     words = ["alpha", "é", "x" * 300_000, "alpha"]
     data, offsets = arrays.utf8(pa.array([" ".join(words), "alpha", None, ""]))
