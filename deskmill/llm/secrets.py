@@ -2,9 +2,10 @@
 
 Spans of fixed forms (an assignment to a password-like name, an access key, a long
 hexadecimal run) always stay. Beside them, any long token of mixed signs and high entropy is a
-candidate. The hash of each candidate's value is counted over the whole corpus by distinct
-repositories and owners: a value that many owners hold is an example that was copied around,
-one that stays with few owners looks live and adds a span.
+candidate. The hash of each candidate's value, the fixed forms' included, is counted over the
+whole corpus by distinct repositories and owners. A value that many owners hold, or that lies in
+many repositories for each of its owners, is an example that was copied around; any other
+belongs to its owners, and such a token looks live and adds a span.
 
 Counting goes by (value, repository, owner), then by value, each combined before it is
 shuffled, so a value copied into a third of all documents costs its tasks one row each.
@@ -43,6 +44,10 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
 TOKEN_LEAST, TOKEN_DIGITS, TOKEN_BITS = 20, 3, 3.2
 #: A value that so many owners hold is an example.
 EXAMPLE_OWNERS = 4
+#: So is one in so many repositories for each of its owners.
+EXAMPLE_REPOS = 10
+#: Verdicts on a candidate.
+COPIED, OWNED = "copied", "owned"
 
 _HEX_BYTES = arrays.byte_table("0123456789abcdef")
 _TOKEN_BYTES = arrays.byte_table("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
@@ -131,11 +136,13 @@ def _value(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """Spans of every row of ``docs(doc_id, text, ...)``; ``repo`` and ``owner`` name its columns.
 
     ``spans`` holds the fixed forms and the live-looking tokens as ``kind:start:end``;
-    ``n_live`` counts the latter and ``n_examples`` the values that many owners hold.
+    ``n_live`` counts the latter and ``n_examples`` the copied values. ``candidates`` lists every
+    candidate as ``kind:start:end:verdict:n_repos:n_owners``; there ``live`` is any token beside
+    the fixed forms, whatever its verdict.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -148,11 +155,13 @@ def secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", exampl
     held = each.groupBy("value", "repo", "owner").agg(F.lit(1).alias("one"))
     by_owner = held.groupBy("value", "owner").agg(F.count("*").alias("repos"))
     known = by_owner.groupBy("value").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
-    judged = each.join(known, "value").withColumn("example", F.col("n_owners") >= example_owners)
+    example = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos * F.col("n_owners"))
+    judged = each.join(known, "value").withColumn("example", example)
     live = KINDS.index("live")
     per_row = judged.groupBy("row").agg(
         F.sum(F.col("example").cast("long")).alias("n_examples"),
         F.collect_list(F.when((F.col("kind") == live) & ~F.col("example"), F.struct("kind", "start", "end"))).alias("added"),
+        F.sort_array(F.collect_list(F.struct("start", "kind", "end", "example", "n_repos", "n_owners"))).alias("judged"),
     )
     whole = found.join(per_row, "row", "left")
     empty = F.array().cast("array<struct<kind: int, start: bigint, end: bigint>>")
@@ -164,9 +173,12 @@ def secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", exampl
     )
     names = F.array(*map(F.lit, KINDS))
     written = F.transform(every, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"]))
+    verdict = lambda s: F.when(s["example"], COPIED).otherwise(OWNED)
+    told = F.transform("judged", lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"], verdict(s), s["n_repos"], s["n_owners"]))
     return whole.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
         F.array_join(written, ",").alias("spans"),
         F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
+        F.coalesce(F.array_join(told, ","), F.lit("")).alias("candidates"),
     )
