@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
+from deskmill.operators.skew import join_null_safe
 
 #: Pages that the model is trained on, before they are rebuilt.
 SAMPLE = 240
@@ -44,6 +45,7 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT_TAGS = frozenset("head script style noscript template title textarea svg math iframe object canvas audio video select button".split())
 RAW_TAGS = frozenset("script style textarea title iframe noscript".split())
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_P = BLOCK_TAGS - {"body", "html", "option", "tbody", "td", "tfoot", "th", "thead", "tr"}
 CLOSED_BY_OWN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
@@ -107,6 +109,8 @@ class Tree:
                 text = m[0]
                 if text[0] == "<" and len(text) > 1:
                     continue  # a comment or a declaration
+                if self.tag[stack[-1]] == "head" and not text.isspace():
+                    close_top()
                 if not silent:
                     pending.append(text)
                     if link:
@@ -124,6 +128,8 @@ class Tree:
                 continue
             if tag == "html":
                 continue
+            if self.tag[stack[-1]] == "head" and tag not in HEAD_TAGS:
+                close_top()  # its end tag may be left out
             if tag == "br":
                 pending.append(" ")
             if tag in CLOSES_P:
@@ -379,12 +385,20 @@ def _extract(shared):
     return run
 
 
+def _articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages that mark one article, the only ones to learn from."""
+    for batch in batches:
+        one = [sum(1 for _ in _ARTICLE.finditer(source or "")) == 1 for source in batch.column("html").to_pylist()]
+        yield batch.filter(pa.array(one, pa.bool_()))
+
+
 def main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     order = F.xxhash64("page_id", "url")
-    keys = pages.select("page_id", "url").orderBy(order, "page_id", "url").limit(sample)
-    marked = pages.join(F.broadcast(keys.distinct()), ["page_id", "url"], "left_semi").limit(2 * sample)
+    found = pages.mapInArrow(_articles, pages.schema)
+    keys = found.select("page_id", "url").orderBy(order, "page_id", "url").limit(sample)
+    marked = join_null_safe(found, F.broadcast(keys.distinct()), ["page_id", "url"], "left_semi").limit(2 * sample)
     sources = sorted(r["html"] for r in marked.select("html").collect() if r["html"])
     shared = pages.sparkSession.sparkContext.broadcast(train(sources))  # of fixed size
     return pages.mapInArrow(_extract(shared), _RESULT)

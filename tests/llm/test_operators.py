@@ -402,6 +402,19 @@ def test_main_text_of_pages(spark):
     assert pages.main_text(frame.limit(0)).count() == 0
 
 
+def test_main_text_without_the_end_of_the_head_and_from_few_marked_pages(spark):
+    text = lambda source: pages.Tree(source).text(np.ones(1000, bool))
+    assert text("<head><title>T</title><meta charset=x><body><p>a</p></body>") == "a"
+    assert text("<head><style>p{}</style>\n<template><p>no</p></template><link rel=x><p>a<p>b") == "a\nb"
+    assert text("<head><title>T</title> words <b>of</b> the body") == "words of the body"
+    bare = PAGE.replace("<article>", "<div>").replace("</article>", "</div>")
+    rows = [(i, None if i % 2 else f"http://x/{i}", bare % i) for i in range(3000)]
+    rows += [(5000 + i, None if i % 2 else "u", (PAGE % i).replace("</head>", "")) for i in range(40)]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), sample=20).collect()
+    body = "First & line, it goes on.\nSecond one, which is longer. It has words."
+    assert len(got) == len(rows) and all(body in r.text for r in got)
+
+
 def test_marginals_match_enumeration():
     tree = pages.Tree("<div><p>one</p><ul><li>a<li>b</ul></div><p>two</p>")
     forest = pages.Forest([tree])
