@@ -66,10 +66,6 @@ def create_functions(
     return names
 
 
-#: Rows that one call of a search function gives at most.
-MAX_RESULTS = 100
-
-
 def create_search(
     spark: SparkSession, index: str, documents: str, name: str = "search_product_docs", temporary: bool = True
 ) -> str:
@@ -77,7 +73,7 @@ def create_search(
 
     ``index(id, vector)`` is a stored vector index and ``documents(id, product_name, doc)``
     what it was made from. The term alone is embedded; the index is read once and not
-    shuffled. ``p_num_results`` rows come back, the best first, at most ``MAX_RESULTS``. A
+    shuffled. ``p_num_results`` rows come back, the best first, or all if there are fewer. A
     zero vector has similarity 0, so there is an answer whatever the term; equal
     similarities go to the lower id.
     """
@@ -99,7 +95,7 @@ def create_search(
                    aggregate(zip_with(vector, asked, (x, y) -> x * y), 0D, (acc, x) -> acc + x) AS dot FROM held),
         best AS (
             SELECT id, CASE WHEN norm > 0 THEN round(dot / norm, 6) ELSE 0D END AS similarity
-            FROM scored ORDER BY similarity DESC, id LIMIT {MAX_RESULTS}),
+            FROM scored),
         ranked AS (SELECT id, similarity, row_number() OVER (ORDER BY similarity DESC, id) AS rank FROM best)
         SELECT d.product_name, d.doc, b.similarity, b.rank
         FROM ranked b JOIN {documents} d ON d.id = b.id WHERE b.rank <= p_num_results""")

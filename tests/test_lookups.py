@@ -165,3 +165,14 @@ def test_totals_row_is_one_even_with_a_missing_segment(spark):
     customers = spark.createDataFrame([(1, "x"), (2, None)], "c long, segment string")
     got = lookups.average_bill(bills, customers, "c", "segment", "amount")
     assert rows(got.select("segment", "bills", "average_bill")) == [(None, 1, 20.0), ("ALL", 2, 15.0), ("x", 1, 10.0)]
+
+
+def test_search_gives_as_many_rows_as_asked(spark):
+    spark.range(250).selectExpr("id", "transform(sequence(0, 63), b -> cast((id * b) % 7 AS DOUBLE)) AS vector").createOrReplaceTempView("m_index")
+    spark.range(250).selectExpr("id", "concat('p', id) AS product_name", "'d' AS doc").createOrReplaceTempView("m_docs")
+    name = sql_functions.create_search(spark, "m_index", "m_docs", "m_search")
+    for asked, given in ((2, 2), (180, 180), (9999, 250)):
+        found = spark.sql(f"SELECT rank FROM {name}('hello world', {asked})")
+        assert sorted(r.rank for r in found.collect()) == list(range(1, given + 1))
+        if asked < 250:  # each task hands on only what is asked for
+            assert "TakeOrdered" in plan(found)
