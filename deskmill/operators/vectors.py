@@ -3,7 +3,7 @@
 An index is a table ``(id, content_hash, vector)``; a vector is an array of numbers of one
 length. Similarity is the cosine, rounded to six digits, and 0 where a vector is all
 zeros. Results are ordered by similarity, then by id, so every result is unique. Rows
-without a vector are left out of a search; vectors of several lengths end it with an error.
+without a vector, or with one of another length than most queries have, are left out of a search.
 """
 
 from __future__ import annotations
@@ -263,9 +263,10 @@ def search(
     never shuffled. Beyond that both sides are cut into blocks. The work is queries times vectors
     either way; where that is too much, :func:`search_approximately` trades recall for it.
     """
-    corpus, queries = corpus.filter("vector IS NOT NULL"), queries.filter("vector IS NOT NULL")
-    n_queries, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    queries = queries.filter("vector IS NOT NULL")
+    n_queries, width = queries.agg(F.count(F.lit(1)), F.mode(F.size("vector"), True)).first()
     width = max(1, width or 1)
+    corpus, queries = (df.filter(F.size("vector") == width) for df in (corpus, queries))
     block = block or max(1, BLOCK_BYTES // (8 * width))
     wanted = k + 1 if without_self else k
     if 8 * width * n_queries <= broadcast_bytes:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from deskmill.functions import sql_functions, text
 from deskmill.functions.embedding import embed
-from deskmill.operators import containment, evaluation, vectors
+from deskmill.operators import containment, evaluation, served, vectors
 from deskmill.operators.skew import unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
 from deskmill.plans.tables import AFTER_SQL
 from deskmill.session import materialized, scratch, spread_table, table, view
+from deskmill.sources.snapshots import change_feed
 from deskmill.streaming import index_refresh
 
 TOP_K = 10
@@ -139,21 +142,72 @@ def vector_topk(spark, sf_dir):
     )
 
 
-RECALL_FLOOR = 0.9
+#: Share of the cells that a search probes. The given vectors hardly cluster, so it is high.
+PROBED = 0.7
+
+
+def centres_sql(rounds: int) -> str:
+    """CTEs from ``u(id, e)``, unit vectors, to ``c<rounds>(cell, centre)``."""
+    ctes = ["c0 AS (SELECT * FROM (SELECT row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS cell, e AS centre FROM u) WHERE cell < (SELECT ceil(sqrt(count(*))) FROM u))"]
+    for i in range(rounds):
+        ctes.append(f"""
+        a{i} AS (SELECT id, cell, e FROM (SELECT id, cell, e, row_number() OVER (PARTITION BY id ORDER BY list_dot_product(e, centre) DESC, cell) AS r
+                 FROM u CROSS JOIN c{i}) WHERE r = 1),
+        s{i} AS (SELECT cell, list(x ORDER BY d) AS v FROM (SELECT cell, d, sum(x) AS x FROM
+                 (SELECT cell, unnest(e) AS x, generate_subscripts(e, 1) AS d FROM a{i}) GROUP BY cell, d) GROUP BY cell),
+        c{i + 1} AS (SELECT c.cell, CASE WHEN sqrt(list_dot_product(v, v)) > 0
+                     THEN list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) ELSE centre END AS centre
+                     FROM c{i} c LEFT JOIN s{i} s ON s.cell = c.cell)""")
+    return ",".join(ctes)
+
+
+_LAST = f"c{served.ROUNDS}"
 
 
 @query(
     "ann_recall",
-    f"""SELECT count(*) AS n_queries, count(*) * least({TOP_K}, count(*) - 1) AS expected, true AS recall_reached
-        FROM embeddings""",
+    f"""WITH {NEIGHBOURS_SQL},
+        u AS (SELECT vec_id AS id, list_transform(e, lambda x: x / greatest(sqrt(list_dot_product(e, e)), 1e-300)) AS e FROM v),
+        {centres_sql(served.ROUNDS)},
+        near AS (SELECT id, cell, row_number() OVER (PARTITION BY id ORDER BY list_dot_product(e, centre) DESC, cell) AS r
+                 FROM u CROSS JOIN {_LAST}),
+        met AS (SELECT nn.query_id, p.r <= ceil({PROBED} * (SELECT count(*) FROM {_LAST})) AS found
+                FROM nn JOIN near h ON h.id = nn.id AND h.r = 1 JOIN near p ON p.id = nn.query_id AND p.cell = h.cell)
+        SELECT count(DISTINCT query_id) AS n_queries, count(*) AS expected, count(*) FILTER (WHERE found) AS found,
+               round(count(*) FILTER (WHERE found) / count(*), 6) AS recall FROM met""",
 )
 def ann_recall(spark, sf_dir):
-    index = embeddings(spark, sf_dir)
-    corpus = index.select(F.col("vec_id").alias("id"), "vector")
-    queries = index.select(F.col("vec_id").alias("query_id"), "vector")
-    near = vectors.search_approximately(corpus, queries, TOP_K, without_self=True)
-    found = vectors.recall(near, vectors.search_self(index, "vec_id", TOP_K))
-    return found.select("n_queries", "expected", (F.col("recall") >= RECALL_FLOOR).alias("recall_reached"))
+    index = materialized(embeddings(spark, sf_dir).select(F.col("vec_id").alias("id"), "vector"), "vectors")
+    held = served.create(index, scratch(spark, "served"))
+    queries = index.withColumnRenamed("id", "query_id")
+    near = served.search(held, queries, TOP_K, math.ceil(PROBED * len(held.model.centres)), without_self=True)
+    return vectors.recall(near, vectors.search(index, queries, TOP_K, without_self=True))
+
+
+# Vectors before and after: some ids go, some come, some turn around.
+_AFTER_VECTORS = """SELECT vec_id, CAST(CASE WHEN vec_id % 11 = 0 THEN list_reverse(embedding) ELSE embedding END AS DOUBLE[]) AS e
+                    FROM embeddings WHERE vec_id % 7 <> 0"""
+
+
+@query(
+    "served_index_topk",
+    f"""WITH v AS ({_AFTER_VECTORS}),
+        s AS (SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_cosine_similarity(a.e, b.e), 6) AS similarity
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id)
+        SELECT vec_id, neighbour_id, similarity, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbour_id) AS rank FROM s)
+        WHERE rank <= {TOP_K}""",
+)
+def served_index_topk(spark, sf_dir):
+    """An index brought up to date by a change feed, searched in all of its cells."""
+    index = materialized(embeddings(spark, sf_dir).select(F.col("vec_id").alias("id"), "vector"), "vectors")
+    before = index.filter("id % 10 <> 0")
+    after = index.filter("id % 7 <> 0").withColumn("vector", F.when(F.col("id") % 11 == 0, F.reverse("vector")).otherwise(F.col("vector")))
+    held = served.create(before, scratch(spark, "served"))
+    held = served.apply_changes(held, change_feed(before, after, "id"))
+    queries = held.rows().select(F.col("id").alias("query_id"), "vector")
+    found = served.search(held, queries, TOP_K, len(held.model.centres), shortlist=500, without_self=True)
+    return found.select(F.col("query_id").alias("vec_id"), F.col("id").alias("neighbour_id"), "similarity", "rank")
 
 
 _URI_SQL = """SELECT 'knowledge_base://' || doc_id AS id, text FROM documents
