@@ -267,4 +267,4 @@ def stream_fold_deltas(spark, sf_dir):
     pieces.repartition(files, F.xxhash64("conv_id", "turn", "seq")).write.parquet(landed)
     stream = index_refresh.read_stream(spark, landed, pieces.schema, "*.parquet", max(1, files // 2))
     chunk_fold.run_fold(stream, target, checkpoint).awaitTermination()
-    return spark.read.parquet(target)
+    return chunk_fold.folded(spark, target)

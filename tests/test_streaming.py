@@ -2,7 +2,7 @@ import os
 import time
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from deskmill.operators import vectors
@@ -84,7 +84,7 @@ def test_pieces_in_any_order_over_runs(spark, folder, order):
         land(spark.createDataFrame([pieces[i], *extra], PIECES), inbox, f"f{run}")
         stream = spark.readStream.schema(PIECES).option("pathGlobFilter", "*.parquet").parquet(inbox)
         chunk_fold.run_fold(stream, target, checkpoint).awaitTermination()
-        done = rows(spark.read.schema("conv_id long, turn long, text string").parquet(target))
+        done = rows(chunk_fold.folded(spark, target))
         whole = [(1, 0, "<0><1><2><3>")] if run == 3 else []
         assert done == [*whole, (2, 0, "whole")]
 
@@ -99,7 +99,7 @@ def test_one_file_with_a_long_message(spark, folder):
     land(df.orderBy(F.hash("seq")), f"{folder}/in", "all")
     stream = spark.readStream.schema(df.schema).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/in")
     chunk_fold.run_fold(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    [row] = spark.read.parquet(f"{folder}/out").collect()
+    [row] = chunk_fold.folded(spark, f"{folder}/out").collect()
     assert row.text == "".join(f"{i};" for i in range(n))
 
 
@@ -111,7 +111,59 @@ def test_repeated_pieces_change_nothing(spark, folder):
         land(spark.createDataFrame(found, PIECES), inbox, f"f{run}")
         stream = spark.readStream.schema(PIECES).option("pathGlobFilter", "*.parquet").parquet(inbox)
         chunk_fold.run_fold(stream, target, checkpoint).awaitTermination()
-    assert rows(spark.read.schema("conv_id long, turn long, text string").parquet(target)) == [(1, 0, "ab")]
+    assert rows(chunk_fold.folded(spark, target)) == [(1, 0, "ab")]
+
+
+def fold_all(spark, batches, target, patience=chunk_fold.PATIENCE):
+    for n, batch in enumerate(batches):
+        chunk_fold.fold_batch(spark.createDataFrame(batch, PIECES), n, target, patience)
+
+
+def test_state_holds_only_what_may_still_be_completed(spark, folder):
+    fold_all(spark, [[(1, 0, 0, "a", False), (2, 0, 0, "x", True)], [(1, 0, 1, "b", False), (3, 0, 1, "z", True)], [(1, 0, 2, None, True)]], folder)
+    assert rows(chunk_fold.waiting(spark, folder)) == [(3, 0, 1, "z", True, 1)]
+    assert rows(chunk_fold.folded(spark, folder)) == [(1, 0, "ab"), (2, 0, "x")]
+    assert not os.path.exists(f"{folder}/batch_id=0/kind=open") and os.path.exists(f"{folder}/batch_id=1/kind=open")
+
+
+def test_a_message_is_given_up_after_batches_without_a_piece(spark, folder):
+    quiet = [(9, 9, 0, "other", True)]
+    batches = [[(1, 0, 0, "a", False), (2, 0, 0, "b", False)], quiet, [(2, 0, 1, "c", False)], quiet, [(1, 0, 1, "late", True)], [(2, 0, 2, "d", True)]]
+    fold_all(spark, batches, folder, patience=3)
+    assert rows(chunk_fold.given_up(spark, folder)) == [(1, 0, 1, 3)]
+    assert rows(chunk_fold.folded(spark, folder))[:1] == [(2, 0, "bcd")]
+    assert rows(chunk_fold.waiting(spark, folder)) == [(1, 0, 1, "late", True, 4)]
+
+
+def test_a_replayed_batch_gives_the_same_state(spark, folder):
+    batches = [[(1, 0, 0, "a", False), (2, 0, 1, "y", True)], [(1, 0, 1, "b", True), (3, 0, 0, "q", False)], [(2, 0, 0, "x", False)]]
+    for n, batch in enumerate(batches):
+        chunk_fold.fold_batch(spark.createDataFrame(batch, PIECES), n, folder)
+        once = rows(spark.read.parquet(f"{folder}/batch_id={n}"))
+        # The work of the batch was done, but not noted.
+        chunk_fold.fold_batch(spark.createDataFrame(batch, PIECES), n, folder)
+        assert rows(spark.read.parquet(f"{folder}/batch_id={n}")) == once
+    assert rows(chunk_fold.folded(spark, folder)) == [(1, 0, "ab"), (2, 0, "xy")]
+
+
+def test_odd_pieces(spark, folder):
+    odd = [(None, 0, 0, "x", True), (1, None, 0, "x", True), (1, 0, None, "x", True), (1, 0, 0, "b", None), (1, 0, 0, "a", False), (1, 0, -1, "n", False), (1, 0, 2, "d", True), (1, 0, 1, "c", False)]
+    fold_all(spark, [odd, []], folder)
+    assert rows(chunk_fold.folded(spark, folder)) == [(1, 0, "acd")]
+    assert rows(chunk_fold.waiting(spark, folder)) == []
+
+
+def test_folding_stays_in_the_jvm(spark, folder):
+    fold_all(spark, [[(1, 0, 0, "a", False)]], folder)
+    plans = []
+    batch = spark.createDataFrame([(1, 0, 1, "b", True)], PIECES).repartition(2)
+    write, writer = type(batch.write).parquet, type(batch.write)
+    try:
+        writer.parquet = lambda self, path, **how: plans.append(plan(self._df)) or write(self, path, **how)
+        chunk_fold.fold_batch(batch, 1, folder)
+    finally:
+        writer.parquet = write
+    assert len(plans) == 1 and "Python" not in plans[0] and "InPandas" not in plans[0]
 
 
 def test_refresh_after_compaction_keeps_the_index_and_takes_keys_out(spark, folder):
