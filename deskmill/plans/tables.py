@@ -35,7 +35,25 @@ def idempotent_load(spark, sf_dir):
     csv_tables.write_csv(documents, landed)
     for _ in range(2):  # the second run finds every file loaded
         csv_tables.load_new_files(spark, landed, target, documents.schema)
-    return spark.read.parquet(target).drop(csv_tables.SOURCE_FILE)
+    return csv_tables.loaded_rows(spark, target, documents.schema).drop(csv_tables.SOURCE_FILE)
+
+
+@query(
+    "load_report",
+    """SELECT 'skipped' AS status, CAST(count(*) AS BIGINT) AS n_rows FROM orders WHERE o_orderkey % 10 <> 0
+       UNION ALL SELECT 'loaded', count(*) FROM orders WHERE o_orderkey % 10 = 0
+       UNION ALL SELECT 'failed', 0""",
+)
+def load_report(spark, sf_dir):
+    """Two loads: most orders, then the rest with their columns the other way round, and other tables."""
+    orders, customers = (spread_table(spark, sf_dir, name) for name in ("orders", "customer"))
+    landed, target = scratch(spark, "landed"), scratch(spark, "loaded")
+    csv_tables.write_csv(orders.filter("o_orderkey % 10 <> 0"), landed)
+    csv_tables.write_csv(customers, landed, "append")
+    csv_tables.load_new_files(spark, landed, target, orders.schema)
+    csv_tables.write_csv(orders.filter("o_orderkey % 10 = 0").select(*reversed(orders.columns)), landed, "append")
+    report = csv_tables.load_new_files(spark, landed, target, orders.schema)
+    return report.groupBy("status").agg(F.sum("rows").alias("n_rows"))
 
 
 @query(

@@ -1,7 +1,7 @@
 import os
 from datetime import date
 
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
@@ -42,24 +42,85 @@ def test_csv_round_trip_keeps_spaces_quotes_and_backslashes(spark, folder):
     assert rows(csv_tables.scan_csv(spark, f"{folder}/out", SCHEMA)) == rows(df)
 
 
+def load(spark, folder):
+    """Files and what became of them."""
+    report = csv_tables.load_new_files(spark, f"{folder}/in", f"{folder}/out", SCHEMA)
+    return rows(report.select("source_file", "status", "rows"))
+
+
+def loaded(spark, folder):
+    return rows(csv_tables.loaded_rows(spark, f"{folder}/out", SCHEMA).drop("source_file"))
+
+
 def test_load_twice_changes_nothing_and_bad_file_stays_out(spark, folder):
-    inbox, target = f"{folder}/in", f"{folder}/out"
-    os.mkdir(inbox)
-    put(f"{inbox}/good.csv", QUOTES)
-    put(f"{inbox}/bad.csv", "id,name,body,day\n3,c,y,2024-01-03\nnot a number,d,z,\n")
-    first = csv_tables.load_new_files(spark, inbox, target, SCHEMA)
-    assert rows(first) == [("bad.csv", "failed"), ("good.csv", "loaded")]
-    put(f"{inbox}/new.csv", "id,name,body,day\n4,e,w,2024-01-04\n")
-    second = csv_tables.load_new_files(spark, inbox, target, SCHEMA)
-    assert rows(second) == [("bad.csv", "failed"), ("good.csv", "skipped"), ("new.csv", "loaded")]
-    third = csv_tables.load_new_files(spark, inbox, target, SCHEMA)
-    assert rows(third) == [("bad.csv", "failed"), ("good.csv", "skipped"), ("new.csv", "skipped")]
-    assert rows(spark.read.parquet(target).select("id")) == [(1,), (2,), (4,)]
+    os.mkdir(f"{folder}/in")
+    put(f"{folder}/in/good.csv", QUOTES)
+    put(f"{folder}/in/bad.csv", "id,name,body,day\n3,c,y,2024-01-03\nnot a number,d,z,\n")
+    assert load(spark, folder) == [("bad.csv", "failed", 0), ("good.csv", "loaded", 2)]
+    put(f"{folder}/in/new.csv", "id,name,body,day\n4,e,w,2024-01-04\n")
+    assert load(spark, folder) == [("bad.csv", "failed", 0), ("good.csv", "skipped", 2), ("new.csv", "loaded", 1)]
+    assert load(spark, folder) == [("bad.csv", "failed", 0), ("good.csv", "skipped", 2), ("new.csv", "skipped", 1)]
+    assert [r[0] for r in loaded(spark, folder)] == [1, 2, 4]
+    assert loaded(spark, folder)[0] == (1, 'A, "q"', "line1\nline2", date(2024, 1, 2))
+
+
+def test_columns_go_by_the_header(spark, folder):
+    os.mkdir(f"{folder}/in")
+    put(f"{folder}/in/turned.csv", 'day,body,id,name\n2024-01-02,"x\ny",1,A\n')
+    put(f"{folder}/in/only.csv", "id,name,body,day\n")
+    put(f"{folder}/in/other.csv", "id,name,body,night\n1,a,b,2024-01-02\n")
+    put(f"{folder}/in/more.csv", "id,name,body,day,extra\n1,a,b,2024-01-02,z\n")
+    put(f"{folder}/in/short.csv", "id,name,body,day\n1,a\n")
+    put(f"{folder}/in/nothing.csv", "\n")
+    want = [("more.csv", "failed", 0), ("nothing.csv", "empty", 0), ("only.csv", "loaded", 0), ("other.csv", "failed", 0), ("short.csv", "failed", 0), ("turned.csv", "loaded", 1)]
+    assert load(spark, folder) == want
+    assert loaded(spark, folder) == [(1, "A", "x\ny", date(2024, 1, 2))]
+    faults = dict(rows(csv_tables.ledger(spark, f"{folder}/out").filter("fault is not null").select("source_file", "fault")))
+    assert set(faults) == {"more.csv", "other.csv", "short.csv"} and "header" in faults["other.csv"] and "fields" in faults["short.csv"]
+
+
+def test_files_of_one_name_in_two_folders_are_two_files(spark, folder):
+    for name in ("in", "in/day=1", "in/day=2"):
+        os.mkdir(f"{folder}/{name}")
+    for day in (1, 2):
+        put(f"{folder}/in/day={day}/a b.csv", f"id,name,body,day\n{day},a,b,2024-01-02\n")
+    inbox = f"{folder}/in/day=*"
+    report = csv_tables.load_new_files(spark, inbox, f"{folder}/out", SCHEMA)
+    assert rows(report.select("source_file", "status", "rows")) == [("a b.csv", "loaded", 1)] * 2
+    assert [r[0] for r in loaded(spark, folder)] == [1, 2]
+
+
+def test_many_files_in_one_task_keep_their_headers(spark, folder):
+    os.mkdir(f"{folder}/in")
+    for i in range(40):
+        head, row = ("id,name,body,day", f"{i},n{i},b,") if i % 2 else ("day,body,name,id", f",b,n{i},{i}")
+        put(f"{folder}/in/f{i}.csv", f"{head}\n{row}\n{row}\n")
+    assert {r[1:] for r in load(spark, folder)} == {("loaded", 2)}
+    assert loaded(spark, folder) == sorted([(i, f"n{i}", "b", None) for i in range(40)] * 2)
+
+
+def test_a_replayed_load_batch_counts_once(spark, folder):
+    os.mkdir(f"{folder}/in")
+    put(f"{folder}/in/a.csv", QUOTES)
+    load(spark, folder)
+    # The batch was written, but not noted by the stream: it runs again.
+    for name in os.listdir(f"{folder}/out/checkpoint/commits"):
+        os.unlink(f"{folder}/out/checkpoint/commits/{name}")
+    load(spark, folder)
+    assert len(loaded(spark, folder)) == 2
+
+
+def test_loading_shuffles_no_rows(spark, folder):
+    os.mkdir(f"{folder}/in")
+    put(f"{folder}/in/a.csv", QUOTES)
+    load(spark, folder)
+    read = plan(csv_tables.loaded_rows(spark, f"{folder}/out", SCHEMA))
+    assert "BroadcastHashJoin" in read and "SortMergeJoin" not in read
 
 
 def test_load_of_an_empty_folder(spark, folder):
     os.mkdir(f"{folder}/in")
-    assert rows(csv_tables.load_new_files(spark, f"{folder}/in", f"{folder}/out", SCHEMA)) == []
+    assert load(spark, folder) == [] and loaded(spark, folder) == []
 
 
 def test_overwrite_replaces_rows_and_schema(spark, folder):

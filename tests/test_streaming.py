@@ -156,7 +156,7 @@ def test_odd_pieces(spark, folder):
 def test_folding_stays_in_the_jvm(spark, folder):
     fold_all(spark, [[(1, 0, 0, "a", False)]], folder)
     plans = []
-    batch = spark.createDataFrame([(1, 0, 1, "b", True)], PIECES).repartition(2)
+    batch = spark.sql("SELECT 1L AS conv_id, 0L AS turn, 1L AS seq, 'b' AS piece, true AS is_last").repartition(2)
     write, writer = type(batch.write).parquet, type(batch.write)
     try:
         writer.parquet = lambda self, path, **how: plans.append(plan(self._df)) or write(self, path, **how)
