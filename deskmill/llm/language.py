@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
 from deskmill.llm.tokens import character_tables, code_points, letter_table, point_hashes
+from deskmill.session import materialized
 
 #: The sample for training: texts of each language, words of each text.
 TEXTS, WINDOW = 200, 60
+#: Languages that are learned, and characters of a text of the sample.
+LANGUAGES, LONGEST = 200, 200_000
 #: Weights are kept by hash in a table of this many rows.
 FEATURES = 1 << 16
 #: A word is in a language's lexicon if the sample has it so often, and this share of it there.
@@ -298,16 +301,24 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def languages(docs: DataFrame, texts: int = TEXTS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, n_words`` for every row of ``docs(doc_id, text, lang)``.
 
-    Learns from rows that have a language and an id and are not held out.
+    Learns from rows that have a language and an id and are not held out: ``texts`` different texts
+    of each of the ``LANGUAGES`` languages with most of them, shorter ones than ``LONGEST`` if there
+    are, and no more than that of any. Copies of a text, and repeated rows, count as one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     docs = docs.withColumn("held_out", held_out())
-    known = docs.filter("NOT held_out AND doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 20").select("doc_id", "lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    keys = known.withColumn("_n", rank).filter(F.col("_n") <= texts).select("doc_id", "lang")
-    # At most ``texts`` rows a language.
-    rows = docs.join(F.broadcast(keys.distinct()), ["doc_id", "lang"], "left_semi").filter("NOT held_out").select("doc_id", "lang", "text").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))
+    known = docs.filter("NOT held_out AND doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 20")
+    # Copies of a text count once, so that the sample is of different texts.
+    hashed = known.select("lang", F.xxhash64("text").alias("hash"), (F.length("text") > LONGEST).alias("long"), "doc_id")
+    texts_of = materialized(hashed.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id"), F.bool_or("long").alias("long")), "texts")
+    most = texts_of.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    order = ["long", F.xxhash64("doc_id", "hash"), "doc_id", "hash"]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    keys = texts_of.join(F.broadcast(most), "lang").withColumn("_n", rank).filter(F.col("_n") <= texts).select("lang", "hash", "doc_id")
+    keys = materialized(keys, "sample")  # at most LANGUAGES times ``texts`` rows
+    found = known.withColumn("hash", F.xxhash64("text")).join(F.broadcast(keys), ["lang", "hash", "doc_id"])
+    rows = found.groupBy("lang", "hash", "doc_id").agg(F.min(F.left("text", F.lit(LONGEST))).alias("text")).collect()
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["lang"]))
     field = train([r["text"] for r in rows], [r["lang"] for r in rows])
     shared = docs.sparkSession.sparkContext.broadcast(field)
     return docs.select("doc_id", "text", "held_out").mapInArrow(_predict(shared), _RESULT)

@@ -12,7 +12,8 @@ tags, with and without telling names, and with sidebars, notices, forms, adverts
 comments put in, whose labels are known because they were put in.
 
 Defined results: NULL and empty html, and pages without content, give an empty text; broken
-markup is read as far as it goes; repeated rows give the same text.
+markup is read as far as it goes, in linear time: after a value whose quotes never end any ``>``
+ends a tag, and a tag that never ends ends the page; repeated rows give the same text.
 """
 
 from __future__ import annotations
@@ -49,9 +50,12 @@ HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script
 CLOSES_P = BLOCK_TAGS - {"body", "html", "option", "tbody", "td", "tfoot", "th", "thead", "tr"}
 CLOSED_BY_OWN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-_TOKEN = re.compile(
-    r"""<!--(?:.*?--!?>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*?)(/?)>|[^<]+|<""", re.DOTALL
-)
+_PLAIN = r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)%s>|[^<]+|<"
+#: A quoted value may hold ``>``. Nothing is tried in two ways, so the time is linear.
+_TOKEN = re.compile(_PLAIN % r"""((?>[^>=]++|=\s*+"[^"]*"|=\s*+'[^']*'|=)*+)""", re.DOTALL)
+#: For what follows a tag whose quotes never end: any ``>`` ends a tag.
+_LOOSE = re.compile(_PLAIN % r"([^>]*)", re.DOTALL)
+_TAG_START = re.compile(r"</?[a-zA-Z]")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _LABEL = re.compile(r'data-content="([01])"')
 _WORD = re.compile(r"[a-zA-Z]+")
@@ -81,10 +85,17 @@ class Tree:
         return len(self.parent) - 1
 
     def _read(self, source: str) -> None:
+        """Read the page once. Where each tag is open is kept, so that no step searches the stack."""
         stack = [self._open("html", "", -1)]
+        open_at: dict[str, list[int]] = {"html": [0]}  # depths, by tag
+        blocks = [0]  # depths of open blocks
         at, silent, link = 0, 0, 0
         pending: list[str] = []
         owner = 0
+        token = _TOKEN
+
+        def deepest(tag: str) -> int:
+            return open_at[tag][-1] if open_at.get(tag) else 0
 
         def flush() -> None:
             if pending:
@@ -93,24 +104,32 @@ class Tree:
                     self.blocks.append((owner, text))
                 pending.clear()
 
-        def close_top() -> None:
+        def close_to(depth: int) -> None:
             nonlocal silent, link, owner
-            tag = self.tag[stack.pop()]
-            silent -= tag in SILENT_TAGS
-            link -= tag == "a"
-            if tag in BLOCK_TAGS:
-                flush()
-                owner = next(n for n in reversed(stack) if self.tag[n] in BLOCK_TAGS)
+            while len(stack) > depth:
+                tag = self.tag[stack.pop()]
+                open_at[tag].pop()
+                silent -= tag in SILENT_TAGS
+                link -= tag == "a"
+                if tag in BLOCK_TAGS:
+                    flush()
+                    blocks.pop()
+                    owner = stack[blocks[-1]]
 
         while at < len(source):
-            m = _TOKEN.match(source, at)
+            m = token.match(source, at)
+            if m[0] == "<" and _TAG_START.match(source, at):  # its quotes never end, or there is no > to come
+                token = _LOOSE
+                m = token.match(source, at)
+                if m[0] == "<":
+                    break  # the page ends inside a tag
             at = m.end()
             if m[2] is None:
                 text = m[0]
                 if text[0] == "<" and len(text) > 1:
                     continue  # a comment or a declaration
                 if self.tag[stack[-1]] == "head" and not text.isspace():
-                    close_top()
+                    close_to(len(stack) - 1)
                 if not silent:
                     pending.append(text)
                     if link:
@@ -118,45 +137,34 @@ class Tree:
                 continue
             tag = m[2].lower()
             if m[1]:  # an end tag
-                if tag in ("html", "body"):
-                    continue
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if self.tag[stack[d]] == tag), 0)
-                inner = {self.tag[n] for n in stack[depth + 1 :]}
-                if depth and (tag in BLOCK_TAGS or not inner & BLOCK_TAGS):
-                    while len(stack) > depth:
-                        close_top()
+                depth = 0 if tag in ("html", "body") else deepest(tag)
+                if depth and (tag in BLOCK_TAGS or depth > blocks[-1]):
+                    close_to(depth)
                 continue
             if tag == "html":
+                mark = _LABEL.search(m[3])
+                self.label[0] = int(mark[1]) if mark else 0
                 continue
             if self.tag[stack[-1]] == "head" and tag not in HEAD_TAGS:
-                close_top()  # its end tag may be left out
+                close_to(len(stack) - 1)  # its end tag may be left out
             if tag == "br":
                 pending.append(" ")
-            if tag in CLOSES_P:
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if self.tag[stack[d]] in BLOCK_TAGS), 0)
-                if self.tag[stack[depth]] == "p":
-                    while len(stack) > depth:
-                        close_top()
-            if tag in CLOSED_BY_OWN:
-                for d in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[d]] == tag:
-                        while len(stack) > d:
-                            close_top()
-                        break
-                    if self.tag[stack[d]] in CLOSED_BY_OWN[tag]:
-                        break
+            if tag in CLOSES_P and self.tag[stack[blocks[-1]]] == "p":
+                close_to(blocks[-1])
+            if tag in CLOSED_BY_OWN and deepest(tag) > max(deepest(t) for t in CLOSED_BY_OWN[tag]):
+                close_to(deepest(tag))
             if tag in BLOCK_TAGS:
                 flush()
             node = self._open(tag, m[3], stack[-1])
-            if tag in BLOCK_TAGS:
-                owner = node
-            if tag in VOID_TAGS or m[4]:
-                if tag in BLOCK_TAGS:
-                    owner = next(n for n in reversed(stack) if self.tag[n] in BLOCK_TAGS)
+            if tag in VOID_TAGS or m[3].endswith("/"):
                 continue
             if tag in RAW_TAGS:
                 end = re.compile(f"</{tag}", re.IGNORECASE).search(source, at)
                 at = end.start() if end else len(source)
+            open_at.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK_TAGS:
+                blocks.append(len(stack))
+                owner = node
             stack.append(node)
             silent += tag in SILENT_TAGS
             link += tag == "a"
@@ -279,6 +287,11 @@ def marginals(forest: Forest, weights: np.ndarray, edges: np.ndarray) -> tuple[n
 _ARTICLE = re.compile(r"<(article|main)\b([^>]*)>(.*?)</\1>", re.DOTALL | re.IGNORECASE)
 _NAV = re.compile(r"<(nav|footer|header|aside)\b([^>]*)>(.*?)</\1>", re.DOTALL | re.IGNORECASE)
 
+_PARAGRAPH = re.compile(r"<p>([^<]*)</p>", re.IGNORECASE)
+
+#: What a paragraph may be in place of ``<p>``.
+OTHER_BLOCKS = ["<pre>{}</pre>", "<blockquote><p>{}</p></blockquote>", "<ul><li>{}</li></ul>", "<table><tr><td>{}</td></tr></table>", "<div>{}</div>", "<h2>{}</h2>"]
+
 #: Names of classes in rebuilt pages, plainly, by what they stand for.
 CONTENT_NAMES = "post content entry story article main body text".split()
 OTHER_NAMES = {
@@ -296,8 +309,9 @@ FORM_NAMES = "newsletter subscribe search signup form".split()
 def rebuilt(source: str, form: int, other: str, pick: np.random.Generator) -> str | None:
     """A labelled page: ``data-content`` tells the label of an element and all below it.
 
-    Form 0 keeps the page; 1 uses telling names in place of tags; 2 leaves out names of the
-    content; from 1 on, other parts are put in around and inside. ``other`` is foreign text.
+    Form 0 keeps the page, with parts put into its article; 1 uses telling names in place of tags;
+    2 leaves out names of the content; 3 leaves the content's blocks in the body; from 1 on, other
+    parts are put in around and inside. ``other`` is foreign text.
     """
     found = list(_ARTICLE.finditer(source))
     if len(found) != 1:
@@ -310,10 +324,13 @@ def rebuilt(source: str, form: int, other: str, pick: np.random.Generator) -> st
         if pick.random() < 0.5:  # nor in long paragraphs
             each = int(pick.integers(1, 8))
             inside = re.sub(r"((?:[^\s<>]+ ){%d}[^\s<>]+) (?=[^<>]*</p>)" % each, r"\1</p><p>", inside)
-    if form == 0:
-        return f'{before}<{m[1]}{m[2]} data-content="1">{inside}</{m[1]}>{after}'
+    if form and pick.random() < 0.4:  # nor long
+        inside = "".join(p[0] for p in list(_PARAGRAPH.finditer(inside))[: int(pick.integers(1, 4))]) or inside
+    if form and pick.random() < 0.5:  # nor in paragraphs only
+        inside = _PARAGRAPH.sub(lambda p: str(pick.choice(OTHER_BLOCKS)).format(p[1]) if pick.random() < 0.3 else p[0], inside)
     rename = lambda k: f'<div class="{choose(OTHER_NAMES[k[1].lower()])}" data-content="0">{k[3]}</div>'
-    before, after = _NAV.sub(rename, before), _NAV.sub(rename, after)
+    if form:
+        before, after = _NAV.sub(rename, before), _NAV.sub(rename, after)
     words = other.split()
     some = lambda n: html.escape(" ".join(words[(at := int(pick.integers(0, max(1, len(words) - n)))) : at + n]))
     linked = "".join(f'<li><a href="/x">{some(2)}</a></li>' for _ in range(int(pick.integers(3, 7))))
@@ -329,8 +346,19 @@ def rebuilt(source: str, form: int, other: str, pick: np.random.Generator) -> st
     kind = choose(["div", "section", "main"]) if form == 1 else choose(["article", "div"])
     if pick.random() < 0.5:
         inside = re.sub(r"(<h1.*?</h1>)", r"<header>\1</header>", inside, count=1, flags=re.DOTALL)
-    parts = [p for p in (advert, asked, comments) if pick.random() < 0.4]
+    bare = f'<aside data-content="0">{some(int(pick.integers(1, 12)))}</aside>'
+    form_only = f'<form data-content="0">{some(int(pick.integers(1, 6)))}</form>'
+    first_said = f'<{tag} class="{choose(COMMENT_NAMES)}" data-content="0">{some(int(pick.integers(1, 6)))}</{tag}>'
+    parts = [p for p in (advert, asked, comments, bare, form_only, first_said) if pick.random() < 0.4]
+    if form == 0:
+        return f'{before}<{m[1]}{m[2]} data-content="1">{inside}{"".join(parts)}</{m[1]}>{after}'
     outside = [p for p in (side, notice, advert, asked, comments) if pick.random() < 0.6]
+    if form == 3:
+        if pick.random() < 0.3:  # nor in blocks at all
+            return f'<html data-content="1">{re.sub(r"<[^>]*>", " ", inside)}'
+        lone = [head, notice, *outside] if pick.random() < 0.5 else []
+        cut = len(lone) // 2
+        return f'<html><body data-content="1">{"".join(lone[:cut])}{inside}{"".join(lone[cut:])}</body></html>'
     return f'{before}{head}{notice}<{kind}{name} data-content="1">{inside}{"".join(parts)}</{kind}>{"".join(outside)}{after}'
 
 
@@ -339,9 +367,9 @@ def train(pages: list[str], seed: int = 7, rounds: int = 120) -> tuple[np.ndarra
     pick = np.random.default_rng(seed)
     made = []
     plain = [_SPACE.sub(" ", re.sub(r"<[^>]*>", " ", p)) for p in pages]
-    for i, page in enumerate(pages):
-        for form in (0, 1, 2):
-            made.append(rebuilt(page, form, plain[(i + form) % len(pages)], pick))
+    for i in range(max(SAMPLE, len(pages)) if pages else 0):  # few pages are rebuilt more than once
+        for form in range(4):
+            made.append(rebuilt(pages[i % len(pages)], form, plain[(i + form) % len(pages)], pick))
     trees = [Tree(p) for p in made if p]
     weights, edges = np.zeros(FEATURES), np.zeros((KINDS, 2, 2))
     edges[:, 0, 0] = edges[:, 1, 1] = 1.0  # a child is like its parent, if nothing speaks against it
