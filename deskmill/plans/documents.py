@@ -317,20 +317,38 @@ def feedback_summary(spark, sf_dir):
 # -- streams of texts -----------------------------------------------------------------------
 
 
-def _refreshed(spark, sf_dir, name, keys):
-    target, checkpoint = scratch(spark, "index"), scratch(spark, "checkpoint")
-    schema = table(spark, sf_dir, name).schema
-    stream = index_refresh.read_stream(spark, sf_dir, schema, f"{name}.parquet")
-    refresh = index_refresh.refresh_index(stream, keys, "text", target, checkpoint)
-    refresh.awaitTermination()
+def _refreshed(spark, loads, keys):
+    """The index after several loads into one folder, each of several files and batches."""
+    inbox, target, checkpoint = (scratch(spark, name) for name in ("inbox", "index", "checkpoint"))
+    for files, rows in loads:
+        rows.repartition(files).write.mode("append").parquet(inbox)
+        stream = index_refresh.read_stream(spark, inbox, rows.schema, "*.parquet", 2)
+        index_refresh.refresh_index(stream, keys, "text", target, checkpoint).awaitTermination()
+        index_refresh.merge_runs(spark, target, keys, fanout=3)
     return vectors.long_form(index_refresh.current_index(spark, target, keys), keys)
 
 
-@query("stream_triggered_index", buckets_sql("documents", "doc_id"))
+@query("stream_triggered_index", buckets_sql(f"({AFTER_SQL})", "doc_id"))
 def stream_triggered_index(spark, sf_dir):
-    return _refreshed(spark, sf_dir, "documents", ["doc_id"])
+    """All documents, and then what a change feed says: new, changed and deleted ones."""
+    documents = table(spark, sf_dir, "documents")
+    feed = change_feed(documents, bindings.documents_after(spark, sf_dir), "doc_id")
+    changes = index_refresh.changes_to_rows(feed, "text").select(documents.columns)
+    return _refreshed(spark, [(4, documents), (2, changes)], ["doc_id"])
 
 
-@query("stream_ticket_index", buckets_sql("conversations", "conv_id, turn"))
+@query(
+    "stream_ticket_index",
+    buckets_sql(
+        """(SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 11 = 0 THEN text || ' again' ELSE text END AS text
+            FROM conversations WHERE (conv_id + turn) % 13 <> 0)""",
+        "conv_id, turn",
+    ),
+)
 def stream_ticket_index(spark, sf_dir):
-    return _refreshed(spark, sf_dir, "conversations", ["conv_id", "turn"])
+    """All tickets, and then some that were changed and some that were taken back."""
+    tickets = table(spark, sf_dir, "conversations")
+    gone, changed = ((F.col("conv_id") + F.col("turn")) % n == 0 for n in (13, 11))
+    text = F.when(~gone, F.concat("text", F.lit(" again")))
+    later = tickets.filter(gone | changed).withColumn("text", text)
+    return _refreshed(spark, [(4, tickets), (2, later)], ["conv_id", "turn"])

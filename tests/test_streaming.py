@@ -71,6 +71,71 @@ def test_replayed_batch_adds_nothing(spark, folder):
     assert spark.read.parquet(target).count() == 2
 
 
+def batches_of(spark, folder, batches):
+    """Write each batch as a refresh does; a text of None is a tombstone."""
+    for n, batch in enumerate(batches):
+        rows_ = spark.createDataFrame(batch, "id long, text string").withColumn("version", F.lit(n).cast("timestamp"))
+        vectors.build_index(rows_, ["id", "version"], "text").write.mode("overwrite").parquet(f"{folder}/batch_id={n}")
+
+
+def states(batches):
+    """The texts after each batch."""
+    state, out = {}, []
+    for batch in batches:
+        state = {k: v for k, v in (state | dict(batch)).items() if v is not None}
+        out.append(sorted(state.items()))
+    return out
+
+
+BATCHES = [[(1, "a"), (2, "b")], [(2, None), (3, "c")], [(1, "a a")], [(2, "d"), (3, None)], [(4, "e")], [(1, None)], [(5, "f"), (4, "g")]]
+
+
+def index_of(spark, texts):
+    return rows(vectors.build_index(spark.createDataFrame(texts, "id long, text string"), ["id"], "text"))
+
+
+def test_index_as_of_each_batch(spark, folder):
+    batches_of(spark, folder, BATCHES)
+    for n, state in enumerate(states(BATCHES)):
+        assert rows(index_refresh.current_index(spark, folder, ["id"], as_of=n)) == index_of(spark, state)
+    with pytest.raises(ValueError, match="no batch"):
+        index_refresh.current_index(spark, folder, ["id"], as_of=-1)
+
+
+def test_merged_runs_give_the_same_index(spark, folder):
+    batches_of(spark, folder, BATCHES)
+    want = [index_of(spark, state) for state in states(BATCHES)]
+    assert index_refresh.merge_runs(spark, folder, ["id"], fanout=2) > 2
+    held, left = index_refresh.runs(spark, folder)
+    assert (held, left) == ([(0, 3), (4, 5)], [6])
+    assert rows(index_refresh.current_index(spark, folder, ["id"])) == want[-1]
+    for n in (3, 5):
+        assert rows(index_refresh.current_index(spark, folder, ["id"], as_of=n)) == want[n]
+    with pytest.raises(ValueError, match="merged into the run of batches 0 to 3"):
+        index_refresh.current_index(spark, folder, ["id"], as_of=2)
+    # A tombstone stays in a run that has older ones, and goes from the oldest.
+    assert spark.read.parquet(f"{folder}/merged/run=4_5").filter("content_hash IS NULL").count() == 1
+    assert spark.read.parquet(f"{folder}/merged/run=0_3").filter("content_hash IS NULL").count() == 0
+    assert index_refresh.merge_runs(spark, folder, ["id"], fanout=2) == 0
+    index_refresh.compact(spark, folder, ["id"], f"{folder}/compact")
+    assert rows(index_refresh.current_index(spark, f"{folder}/compact", ["id"])) == want[-1]
+
+
+def test_a_merge_that_broke_off_is_done_again(spark, folder):
+    batches_of(spark, folder, BATCHES)
+    index_refresh.merge_runs(spark, folder, ["id"], fanout=7)
+    os.unlink(f"{folder}/runs/step=0/_SUCCESS")  # the run was written, but not noted
+    assert index_refresh.runs(spark, folder) == ([], list(range(7)))
+    assert index_refresh.merge_runs(spark, folder, ["id"], fanout=7) == 1
+    assert index_refresh.runs(spark, folder) == ([(0, 6)], [])
+    assert rows(index_refresh.current_index(spark, folder, ["id"])) == index_of(spark, states(BATCHES)[-1])
+
+
+def test_rows_of_a_change_feed(spark):
+    feed = spark.createDataFrame([(1, "insert", "a"), (2, "update_preimage", "b"), (2, "update_postimage", "c"), (3, "delete", "d")], "id long, change_type string, text string")
+    assert rows(index_refresh.changes_to_rows(feed, "text")) == [(1, "a"), (2, "c"), (3, None)]
+
+
 PIECES = "conv_id long, turn long, seq long, piece string, is_last boolean"
 
 
