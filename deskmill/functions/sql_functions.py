@@ -89,7 +89,7 @@ def create_search(
                              t -> cast(conv(substr(md5(t), 1, 8), 16, 10) AS BIGINT) % 64) AS buckets),
         term AS (
             SELECT transform(sequence(0, 63), b -> cast(size(filter(buckets, x -> x = b)) AS DOUBLE)) AS asked FROM found),
-        held AS (SELECT id, vector, (SELECT asked FROM term) AS asked FROM {index} WHERE vector IS NOT NULL),
+        held AS (SELECT id, vector, (SELECT max(asked) FROM term) AS asked FROM {index} WHERE vector IS NOT NULL),
         scored AS (
             SELECT id, sqrt(aggregate(asked, 0D, (acc, x) -> acc + x * x) * aggregate(vector, 0D, (acc, x) -> acc + x * x)) AS norm,
                    aggregate(zip_with(vector, asked, (x, y) -> x * y), 0D, (acc, x) -> acc + x) AS dot FROM held),

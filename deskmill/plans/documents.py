@@ -13,7 +13,7 @@ from deskmill.operators.skew import unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
 from deskmill.plans.tables import AFTER_SQL
-from deskmill.session import materialized, scratch, spread_table, table, view
+from deskmill.session import fingerprint, materialized, scratch, spread_table, table, view
 from deskmill.sources.snapshots import change_feed
 from deskmill.streaming import index_refresh
 
@@ -59,12 +59,12 @@ def document_index(spark, sf_dir):
     return vectors.build_index(spread_table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
-_stored: dict[tuple[str, ...], str] = {}
+_stored: dict[tuple, str] = {}
 
 
 def stored_index(spark, sf_dir, name="documents"):
-    """The index of a table, built once an application and then read from the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The index of a table as it is now, built once an application and then read from the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, fingerprint(spark, f"{sf_dir}/{name}.parquet"))
     if key not in _stored:
         rows = spread_table(spark, sf_dir, name)
         keys = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"]}[name]

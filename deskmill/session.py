@@ -44,6 +44,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table; another one once it is written anew."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table for work that is heavy per row, read with every core.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deskmill.operators.skew import join_null_safe
 from deskmill.session import materialized
 
 
@@ -25,16 +26,18 @@ def changed_keys(before: DataFrame, after: DataFrame, key: str, columns: list[st
     """``(key, change)`` with ``insert``, ``update`` or ``delete``; unchanged keys are left out.
 
     Only keys and hashes meet in the full outer join, whatever the rows weigh. Both sides
-    shuffle by the key, which is unique, so no task is hot.
+    shuffle by the key, which is unique, so no task is hot. NULL is a key like any other.
     """
-    old = before.select(key, row_hash(before, columns).alias("_old"))
-    new = after.select(key, row_hash(after, columns).alias("_new"))
+    old = before.select(F.col(key).alias("_old_key"), row_hash(before, columns).alias("_old"))
+    new = after.select(F.col(key).alias("_new_key"), row_hash(after, columns).alias("_new"))
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
         .when(F.col("_old") != F.col("_new"), "update")
     )
-    return old.join(new, key, "full_outer").select(key, change.alias("change")).filter("change is not null")
+    met = old.join(new, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
+    of_row = F.when(F.col("_old").isNull(), F.col("_new_key")).otherwise(F.col("_old_key"))
+    return met.select(of_row.alias(key), change.alias("change")).filter("change is not null")
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -44,10 +47,10 @@ def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """
     columns = [c for c in after.columns if c != key]
     changes = materialized(changed_keys(before, after, key, columns), "changes")
-    old = before.join(changes.filter("change <> 'insert'"), key).withColumn(
+    old = join_null_safe(before, changes.filter("change <> 'insert'"), [key]).withColumn(
         "change_type", F.when(F.col("change") == "update", "update_preimage").otherwise(F.col("change"))
     )
-    new = after.join(changes.filter("change <> 'delete'"), key).withColumn(
+    new = join_null_safe(after, changes.filter("change <> 'delete'"), [key]).withColumn(
         "change_type", F.when(F.col("change") == "update", "update_postimage").otherwise(F.col("change"))
     )
     return old.drop("change").unionByName(new.drop("change")).select(key, "change_type", *columns)

@@ -185,3 +185,12 @@ def test_changes_of_a_microsecond_are_seen(spark):
         after = spark.sql(f"SELECT 1 AS id, CAST('2024-01-01 00:00:00.123457' AS {kind}) AS ts")
         assert snapshots.change_feed(before, after, "id").count() == 2
         assert snapshots.change_feed(before, before, "id").count() == 0
+
+
+def test_a_null_key_is_a_key(spark):
+    frame = lambda *held: spark.createDataFrame(held, "id int, v string")
+    same, changed, gone = frame((None, "a"), (1, "b")), frame((None, "c"), (1, "b")), frame((1, "b"))
+    assert snapshots.change_feed(same, same, "id").count() == 0
+    assert rows(snapshots.change_feed(same, changed, "id")) == [(None, "update_postimage", "c"), (None, "update_preimage", "a")]
+    assert rows(snapshots.change_feed(same, gone, "id")) == [(None, "delete", "a")]
+    assert rows(snapshots.change_feed(gone, same, "id")) == [(None, "insert", "a")]

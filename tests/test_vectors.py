@@ -1,11 +1,12 @@
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from deskmill.functions.embedding import bucket_counts, embed, unit
 from deskmill.operators import containment, vectors
 from deskmill.operators.skew import number_rows, top_per_key
+from deskmill.plans import documents
 
 
 def frame(spark, vecs, name):
@@ -179,3 +180,16 @@ def test_sync_reads_no_old_text(spark, folder):
     synced = vectors.sync_index(spark.read.parquet(f"{folder}/index"), new, "id", "text")
     want = vectors.build_index(new, ["id"], "text")
     assert sorted(map(str, synced.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_stored_index_follows_its_table(spark, folder):
+    path = f"{folder}/documents.parquet"
+    for texts in ([(1, "a b")], [(1, "a b"), (2, "c")]):
+        spark.createDataFrame(texts, "doc_id long, text string").write.mode("overwrite").parquet(path)
+        assert documents.stored_index(spark, folder).count() == len(texts)
+
+
+def test_the_search_function_embeds_its_term_once(spark):
+    text = plan(documents.search_docs_function(spark, "/root/testdata/sf0.001"))
+    main = text[: text.index("===== Subqueries =====")]
+    assert "md5" not in main and "md5" in text
