@@ -33,7 +33,7 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(CHECKS) <= set(QUERIES)
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
