@@ -115,6 +115,31 @@ def heading_chunks(text: Column) -> Column:
     return F.filter(F.split(text, r"(?m)^(?=#{1,6} )"), lambda part: F.trim(part) != "")
 
 
+_OPEN = "array<struct<level: int, title: string>>"
+_SECTIONS = "array<struct<level: int, path: string, chunk: string>>"
+
+
+def section_chunks(text: Column) -> Column:
+    """Heading chunks as ``(level, path, chunk)``; the path names the headings a chunk is under, its own last.
+
+    The open headings are a stack: a heading closes those of its own level and below. Text above
+    the first heading has level 0 and no path. A title ends with its line or at a tag.
+    """
+    start = F.struct(F.array().cast(_OPEN).alias("stack"), F.array().cast(_SECTIONS).alias("out"))
+
+    def add(seen: Column, chunk: Column) -> Column:
+        level = F.length(F.regexp_extract(chunk, "^(#{1,6}) ", 1)).cast("int")
+        title = F.trim(F.regexp_extract(chunk, r"^#{1,6} ([^\n<]*)", 1))
+        above = F.filter(seen["stack"], lambda h: h["level"] < level)
+        stack = F.when(level > 0, F.concat(above, F.array(F.struct(level.alias("level"), title.alias("title"))))).otherwise(seen["stack"])
+        path = F.when(level > 0, F.array_join(F.transform(stack, lambda h: h["title"]), " > ")).otherwise("")
+        row = F.struct(level.alias("level"), path.alias("path"), chunk.alias("chunk"))
+        found = F.struct(stack.alias("stack"), F.concat(seen["out"], F.array(row)).alias("out"))
+        return found.cast(f"struct<stack: {_OPEN}, out: {_SECTIONS}>")
+
+    return F.aggregate(heading_chunks(text), start, add, lambda seen: seen["out"])
+
+
 def sentences(text: Column) -> Column:
     return F.filter(F.split(text, r"[.!?]+"), lambda s: F.regexp_replace(s, r"\s+", "") != "")
 

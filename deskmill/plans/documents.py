@@ -259,6 +259,36 @@ def chunk_by_heading(spark, sf_dir):
     return unnest(table(spark, sf_dir, "pages"), "page_id", array=chunks, value="chunk", position="chunk_no")
 
 
+def _levels_sql(column: str) -> str:
+    for level in range(1, 7):
+        column = f"regexp_replace({column}, '<h{level}[^>]*>', chr(10) || '{'#' * level} ', 'g')"
+    return column
+
+
+@query(
+    "chunk_sections",
+    rf"""WITH m AS (SELECT page_id, {_levels_sql('html')} AS t FROM pages),
+         s AS (SELECT page_id, list_filter(string_split(regexp_replace(t, '(?m)^(#{{1,6}} )', chr(1) || '\1', 'g'), chr(1)),
+                                           lambda p: trim(p, ' ') <> '') AS parts FROM m),
+         l AS (SELECT page_id, parts, list_transform(parts, lambda c: length(regexp_extract(c, '^(#{{1,6}}) ', 1))) AS levels,
+                      list_transform(parts, lambda c: trim(regexp_extract(c, '^#{{1,6}} ([^\n<]*)', 1))) AS titles FROM s),
+         e AS (SELECT page_id, parts, levels, titles, unnest(range(1, len(parts) + 1)) AS i FROM l)
+         SELECT page_id, CAST(i - 1 AS INTEGER) AS chunk_no, CAST(levels[i] AS INTEGER) AS level,
+                array_to_string(list_transform(
+                  list_filter(range(1, i + 1), lambda j: levels[j] > 0 AND (j = i OR levels[j] < list_min(levels[j + 1:i]))),
+                  lambda j: titles[j]), ' > ') AS path,
+                parts[i] AS chunk
+         FROM e""",
+)
+def chunk_sections(spark, sf_dir):
+    """Chunks of pages with the headings that each is under."""
+    markdown = F.col("html")
+    for level in range(1, 7):
+        markdown = F.regexp_replace(markdown, f"<h{level}[^>]*>", "\n" + "#" * level + " ")
+    rows = unnest(spread_table(spark, sf_dir, "pages"), "page_id", array=text.section_chunks(markdown), value="part", position="chunk_no")
+    return rows.select("page_id", "chunk_no", "part.level", "part.path", "part.chunk")
+
+
 # -- evaluation over documents --------------------------------------------------------------
 
 

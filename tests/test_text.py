@@ -45,3 +45,22 @@ def test_base64_on_one_line(spark):
 def test_let_binds_once(spark):
     df = spark.range(3).select(text.let(F.col("id") + 1, lambda x: x * x).alias("y"))
     assert rows(df) == [(1,), (4,), (9,)]
+
+
+def test_sections_name_the_headings_above_them(spark):
+    texts = [
+        (1, "before\n# A\na\n## B\n### C<b>x\nc\n## D\nd\n# E\n### F\nf\n## G\n"),
+        (2, "no heading # here"),
+        (3, ""),
+        (4, None),
+        (5, "## deep first\n# top"),
+        (6, "# same\n# same\n####### seven\n#none"),
+    ]
+    df = spark.createDataFrame(texts, "id int, t string").select("id", F.explode(text.section_chunks(F.col("t"))).alias("s"))
+    got = [(r["id"], r["s"]["level"], r["s"]["path"]) for r in df.collect()]
+    assert got == [
+        (1, 0, ""), (1, 1, "A"), (1, 2, "A > B"), (1, 3, "A > B > C"), (1, 2, "A > D"), (1, 1, "E"), (1, 3, "E > F"), (1, 2, "E > G"),
+        (2, 0, ""), (5, 2, "deep first"), (5, 1, "top"), (6, 1, "same"), (6, 1, "same"),
+    ]
+    whole = df.groupBy("id").agg(F.array_join(F.collect_list("s.chunk"), "").alias("t")).filter("id = 1").first()["t"]
+    assert whole == texts[0][1]
