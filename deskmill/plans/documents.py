@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from deskmill.functions import sql_functions, text
 from deskmill.functions.embedding import embed
-from deskmill.operators import containment, evaluation, served, vectors
+from deskmill.operators import containment, evaluation, lexical, served, vectors
 from deskmill.operators.skew import unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
@@ -230,6 +230,47 @@ def retrieve_with_citations(spark, sf_dir):
     return hits.withColumnRenamed("query_id", "item_id")
 
 
+#: Hits of each list that are fused.
+DEPTH = 50
+
+
+@query(
+    "retrieve_fused",
+    f"""WITH {ranked_sql(_URI_SQL, "SELECT item_id AS qid, text FROM benchmark", DEPTH)},
+        w AS (SELECT id, {tokens_sql('text')} AS words FROM c),
+        p AS (SELECT id, len(words) AS length, unnest(words) AS term FROM w),
+        tf AS (SELECT id, length, term, count(*) AS n FROM p GROUP BY ALL),
+        df AS (SELECT term, count(*) AS n FROM tf GROUP BY term),
+        totals AS (SELECT count(*) AS n_docs, avg(len(words)) AS mean_length FROM w WHERE len(words) > 0),
+        asked AS (SELECT DISTINCT qid, term FROM (SELECT qid, unnest({tokens_sql('text')}) AS term FROM q)),
+        scores AS (
+          SELECT a.qid, tf.id, round(sum(ln((n_docs - df.n + 0.5) / (df.n + 0.5) + 1) * tf.n * 2.2
+                                         / (tf.n + 1.2 * (0.25 + 0.75 * tf.length / mean_length))), 6) AS score
+          FROM asked a JOIN tf ON tf.term = a.term JOIN df ON df.term = a.term CROSS JOIN totals GROUP BY a.qid, tf.id),
+        lexical AS (
+          SELECT qid, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM scores)
+          WHERE rank <= {DEPTH}),
+        fused AS (
+          SELECT qid, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score, count(*) AS n_lists
+          FROM (SELECT qid, id, rank FROM hits UNION ALL SELECT qid, id, rank FROM lexical) GROUP BY qid, id)
+        SELECT qid AS item_id, CAST(rank AS INTEGER) AS rank, split_part(id, '://', 1) AS source, id AS uri, score, n_lists
+        FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= {TOP_K}""",
+)
+def retrieve_fused(spark, sf_dir):
+    """Questions answered by words and by vectors, the two lists fused, every hit with its citation."""
+    ids = {"knowledge_base": ("documents", ["doc_id"]), "tickets": ("conversations", ["conv_id", "turn"])}
+    uri = {kind: F.concat(F.lit(f"{kind}://"), F.concat_ws("/", *keys)) for kind, (_, keys) in ids.items()}
+    texts = [spread_table(spark, sf_dir, name).select(uri[kind].alias("uri"), "text") for kind, (name, _) in ids.items()]
+    folder = scratch(spark, "lexical")
+    lexical.write_index(texts[0].unionByName(texts[1]), folder)
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    by_words = lexical.search(spark, folder, asked, DEPTH)
+    indexes = {kind: stored_index(spark, sf_dir, name).withColumn("uri", uri[kind]) for kind, (name, _) in ids.items()}
+    by_vectors = vectors.retrieve(indexes, questions(spark, sf_dir), DEPTH)
+    found = lexical.fused([by_words, by_vectors], TOP_K)
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.split("uri", "://")[0].alias("source"), "uri", "score", "n_lists")
+
+
 @query(
     "chunk_documents",
     """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
