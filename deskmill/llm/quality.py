@@ -1,16 +1,21 @@
 """Quality rules: counts that junk stands out by, and bands of n-gram perplexity per language.
 
-A modified Kneser-Ney model over four characters is counted by Spark for every language over
-all documents. Characters fall into 32 classes, so a language has at most 2**20 n-grams
-and its model a bounded size, whatever the corpus; it is kept as sorted arrays of n-gram keys
-and log chances. Each document is scored in short segments, and each segment by the model that
-expects it most, so that a text may switch languages. The bands around the median of a
-document's language take its spread over all documents and, for short texts, the spread
-that chance alone gives; a document outside them is rejected: below are texts that repeat
-themselves or the corpus, above is what no language's model expects.
+Modified Kneser-Ney models over four code points are counted by Spark, one for each language
+and half of the corpus (halves by a digest of the text). A document is scored by the model
+of its own language from the half it is not in, so that it cannot vouch for itself, nor an exact
+copy for another. Grams are told apart in full and are as many as the corpus holds: counts of
+all levels, backoff weights and chances are joins of tables, and the model is a table of
+64-bit gram hashes in sorted order with the losses that both halves give.
+
+Texts of one language are packed into chunks. A chunk asks for the losses of its distinct grams
+and gets them as arrays in the order of their hashes; its texts then look them up. The bands
+around the median of a language take its spread over all documents and, for short texts, the
+spread that chance alone gives; a document outside them is rejected: below are texts that
+repeat themselves or the corpus, above is what the language's model does not expect.
 
 Defined results: NULL and empty text has no words and fails the base rules; rows without a
-language are a language of their own; repeated rows are judged alike.
+language, or with an empty one, are a language of their own; rows of equal text and language
+are judged alike, whatever their id; a language of one text has its own loss as its band.
 """
 
 from __future__ import annotations
@@ -19,7 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
@@ -31,118 +37,26 @@ LEAST_WORDS, REPEAT_WORDS, MOST_REPEATED = 20, 8, 30
 BELOW, ABOVE = 12.0, 6.5
 #: Deviations of a text's own chance spread that are allowed on top.
 OWN = 1.5
-#: Characters of a segment.
-SEGMENT = 64
-#: Bytes of models that one pass over the documents takes along; segments choose among these.
-MODEL_BYTES = 128 << 20
-
-ORDER, BITS = 4, 5
-CLASSES = 1 << BITS
-KEYS = 1 << (ORDER * BITS)
-#: Distinct n-grams that a task gathers before it hands them on.
-HELD = 1 << 20
+#: Code points of a gram, and bits of one.
+ORDER, BITS = 4, 21
+#: Bytes of text of a chunk, and bytes a task sorts by language before it cuts them; one text stays whole.
+CHUNK_BYTES, HELD_BYTES = 4 << 20, 24 << 20
+#: Code points whose grams are handled at once.
+BLOCK = 1 << 20
+#: How hard a chunk's texts are compressed, which are shuffled once.
+LEVEL = 9
 
 SYMBOLS = arrays.byte_table("#*$%&|<>")
 
-
-def classes() -> np.ndarray:
-    """Class of each byte: blank 0, letters, capitals, digits, signs, symbols, and other scripts."""
-    table = np.full(256, 29, np.uint8)
-    table[arrays.BLANK] = 0
-    table[97:123] = np.arange(1, 27)
-    table[65:91] = 27
-    table[48:58] = 28
-    table[SYMBOLS] = 30
-    table[0x80:0xC0] = 31  # the last byte of a longer character; the first is left out
-    return table
-
-
-CLASS = classes()
-
-
-def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all four-character grams, one for each character, and where each text's begin."""
-    keep = data < 0xC0
-    counts = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(keep, out=counts[1:])
-    rows = counts[offsets]
-    own = CLASS[data[keep]].astype(np.uint32)
-    keys = own.copy()
-    place = np.arange(len(own)) - np.repeat(rows[:-1], np.diff(rows))
-    for back in range(1, ORDER):
-        history = np.zeros_like(own)
-        history[back:] = own[:-back]
-        history[place < back] = 0
-        keys |= history << np.uint32(BITS * back)
-    return keys, rows
-
-
-def kneser_ney(counts: np.ndarray) -> np.ndarray:
-    """Log chance of the last character of every four-character gram, from counts by key.
-
-    Modified Kneser-Ney: three discounts a level by its counts of counts, and lower levels
-    by the number of different characters that a gram follows.
-    """
-    levels = [counts.astype(float)]
-    while len(levels[-1]) > CLASSES:
-        levels.append((levels[-1].reshape(CLASSES, -1) > 0).sum(axis=0).astype(float))
-    chance = np.full(CLASSES, 1.0 / CLASSES)
-    for level in reversed(levels):
-        n1, n2, n3, n4 = ((level == k).sum() for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.5
-        discounts = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75, 3 - 4 * y * n4 / n3 if n3 else 0.9]
-        off = np.select([level >= 3, level == 2, level == 1], [max(0.05, d) for d in reversed(discounts)], 0.0)
-        table, off = level.reshape(-1, CLASSES), off.reshape(-1, CLASSES)
-        total = table.sum(axis=1, keepdims=True)
-        lower = np.tile(chance.reshape(-1, CLASSES), (len(table) // max(1, len(chance) // CLASSES), 1))
-        seen = np.maximum(total, 1)
-        made = np.where(total > 0, np.maximum(table - off, 0) / seen + off.sum(axis=1, keepdims=True) / seen * lower, lower)
-        chance = made.ravel()
-    return np.log(chance)
-
-
-class Model:
-    """One language's grams: sorted keys, their log chances, and one for all others."""
-
-    def __init__(self, counts: np.ndarray):
-        chance = kneser_ney(counts)
-        self.keys = np.flatnonzero(counts).astype(np.uint32)
-        self.values = chance[self.keys].astype(np.float32)
-        # Grams that were never counted: the chances of their endings, which are not kept.
-        unseen = counts == 0
-        self.other = np.float32(chance[unseen].mean() if unseen.any() else np.log(1 / CLASSES))
-
-    def table(self) -> np.ndarray:
-        """The arrays laid out by key, for a task."""
-        out = np.full(KEYS, self.other, np.float32)
-        out[self.keys] = self.values
-        return out
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-    size = 0
-
-    def hand_on() -> Iterator[pa.RecordBatch]:
-        for lang, parts in held.items():
-            keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            n = np.bincount(where, np.concatenate([c for _, c in parts])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "key", "n"])
-        held.clear()
-
-    for batch in arrays.slices(batches, "text"):
-        keys, rows = gram_keys(*arrays.utf8(batch.column("text")))
-        langs = np.array([v or "" for v in batch.column("lang").to_pylist()], object)
-        for lang in set(langs.tolist()):
-            own = np.repeat(langs == lang, np.diff(rows))
-            distinct, n = np.unique(keys[own], return_counts=True)
-            # A language is told even if none of its texts has a character.
-            held.setdefault(lang, [(np.zeros(1, np.uint32), np.zeros(1, np.int64))]).append((distinct, n))
-            size += len(distinct)
-        if size > HELD:
-            yield from hand_on()
-            size = 0
-    yield from hand_on()
+_CHUNKS = (
+    "chunk long, lang string, ids array<long>, digests array<string>, texts binary, "
+    "pre array<long>, last array<int>, n_0 array<long>, n_1 array<long>"
+)
+_SCORED = (
+    "doc_id long, lang string, digest string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "n_repeat_words long, base_failed boolean, loss double, own_spread double"
+)
+_COUNTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
@@ -202,142 +116,243 @@ def base_fails(counts: dict[str, np.ndarray]) -> np.ndarray:
     return (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * counts["n_words"])
 
 
-def losses(batch: pa.RecordBatch, tables: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Mean loss a character, and the spread that chance gives it, for every row."""
-    keys, rows = gram_keys(*arrays.utf8(batch.column("text")))
-    langs = [v or "" for v in batch.column("lang").to_pylist()]
-    n = np.diff(rows)
-    segments = np.flatnonzero((np.arange(len(keys)) - np.repeat(rows[:-1], n)) % SEGMENT == 0)
-    least = np.full(len(segments), np.inf)
-    own = np.zeros(len(keys))
-    for lang in tables:
-        value = -tables[lang][keys]
-        if len(segments):
-            least = np.minimum(least, np.add.reduceat(value.astype(float), segments))
-        mine = np.repeat(np.array([v == lang for v in langs], bool), n)
-        own[mine] = value[mine]
-    many = np.maximum(n, 1)
-    total = np.zeros(len(segments) + 1)
-    np.cumsum(least, out=total[1:])
-    cut = np.searchsorted(segments, rows)
-    mean = (total[cut[1:]] - total[cut[:-1]]) / many
-    sums, squares = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
-    np.cumsum(own, out=sums[1:])
-    np.cumsum(own * own, out=squares[1:])
-    middle = (sums[rows[1:]] - sums[rows[:-1]]) / many
-    return mean, np.sqrt(np.maximum(0, (squares[rows[1:]] - squares[rows[:-1]]) / many - middle * middle) / many)
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts joined, and the offsets at which each text's begin."""
+    data, offsets = arrays.utf8(texts)
+    leads = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=leads[1:])
+    return np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), leads[offsets]
 
 
-_SCORED = (
-    "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, loss double, own_spread double"
+def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of every code point, in blocks: row, the three points before it, itself, and a hash of the gram.
+
+    Points before a text's begin are 0, so that a text has a gram for each of its points.
+    """
+    for a in range(0, len(points), BLOCK):
+        b = min(len(points), a + BLOCK)
+        row = np.searchsorted(offsets, np.arange(a, b), side="right") - 1
+        place = np.arange(a, b) - offsets[row]
+        pre = np.zeros(b - a, np.int64)
+        for back in range(1, ORDER):
+            # Code point 0 in a text is told from its begin by one more.
+            history = points[np.maximum(np.arange(a, b) - back, 0)].astype(np.int64) + 1
+            pre |= np.where(place >= back, history, 0) << np.int64(BITS * (back - 1))
+        last = points[a:b].astype(np.int32)
+        keys = arrays.mixed(arrays.mixed(pre.view(np.uint64)) + last.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+        yield row, pre, last, keys
+
+
+def _distinct(points: np.ndarray, offsets: np.ndarray, half: np.ndarray) -> list[np.ndarray]:
+    """Distinct grams in the order of their hashes: hash, three points, last point, counts in both halves."""
+    parts = []
+    for row, pre, last, keys in grams(points, offsets):
+        own, first, where = np.unique(keys, return_index=True, return_inverse=True)
+        second = np.bincount(where, half[row], len(own)).astype(np.int64)
+        parts.append([own, pre[first], last[first], np.bincount(where, minlength=len(own)) - second, second])
+    if not parts:
+        return [np.zeros(0, t) for t in (np.uint64, np.int64, np.int32, np.int64, np.int64)]
+    keys, pre, last, n_0, n_1 = (np.concatenate(c) for c in zip(*parts, strict=True))
+    own, first, where = np.unique(keys, return_index=True, return_inverse=True)
+    return [own, pre[first], last[first], *(np.bincount(where, n, len(own)).astype(np.int64) for n in (n_0, n_1))]
+
+
+def _second_half(digests: list[str]) -> np.ndarray:
+    return np.array([int(d[-1], 16) & 1 for d in digests], np.int64)
+
+
+_CHUNK_FIELDS = pa.schema(
+    [("chunk", pa.int64()), ("lang", pa.string()), ("ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.string())), ("texts", pa.binary())]
+    + [("pre", pa.list_(pa.int64())), ("last", pa.list_(pa.int32())), ("n_0", pa.list_(pa.int64())), ("n_1", pa.list_(pa.int64()))]
 )
-_COUNTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _score(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {lang: model.table() for lang, model in shared.value.items()}
-        for batch in arrays.slices(batches, "text"):
-            counts = base_counts(batch.column("text"))
-            mean, spread = losses(batch, tables)
-            made = [pa.array(counts[c], pa.int64()) for c in _COUNTED]
-            made += [pa.array(base_fails(counts)), pa.array(mean), pa.array(spread)]
-            langs = pa.array([v or "" for v in batch.column("lang").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), langs, *made], ["doc_id", "lang", *_COUNTED, "base_failed", "loss", "own_spread"])
-
-    return run
-
-
-def _models(docs: DataFrame) -> Iterator[tuple[list[str], dict[str, Model]]]:
-    """Models of all languages, as many at a time as one pass takes along."""
-    found = docs.select("text", "lang").mapInArrow(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    found = materialized(found, "grams")
-    sizes = {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()}
-    group: list[str] = []
-    for lang in sorted(sizes):
-        group.append(lang)
-        if 8 * sum(sizes[x] for x in group) > MODEL_BYTES:
-            yield group, _fitted(found, group)
-            group = []
-    if group:
-        yield group, _fitted(found, group)
-
-
-def _fitted(found: DataFrame, group: list[str]) -> dict[str, Model]:
-    models = {}
-    for lang in group:  # at most KEYS rows each
-        rows = found.filter(F.col("lang") == lang).select("key", "n").toArrow()
-        counts = np.zeros(KEYS, np.int64)
-        counts[rows.column("key").to_numpy()] = rows.column("n").to_numpy()
-        models[lang] = Model(counts)
-    return models
-
-
-def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-
-
-def _scored(docs: DataFrame) -> tuple[DataFrame, list]:
-    """Scores of all rows, written once, and the shared models by group of languages."""
-    docs = _plain(docs)
-    scored, shared = None, []
-    for group, models in _models(docs):
-        one = docs.sparkSession.sparkContext.broadcast(models)  # MODEL_BYTES and one language more at most
-        shared.append((group, one))
-        part = docs.filter(F.coalesce("lang", F.lit("")).isin(group)).mapInArrow(_score(one), _SCORED)
-        scored = part if scored is None else scored.unionByName(part)
-    if scored is None:  # no rows, or none with text
-        scored = docs.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast({"": Model(np.zeros(KEYS, np.int64))})), _SCORED)
-        scored = scored.filter("n_words >= 0")
-    return materialized(scored, "scored"), shared
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chunk = TaskContext.get().partitionId() << 32
+    codec = pa.Codec("zstd", LEVEL)
+    held: list[pa.RecordBatch] = []
+
+    def hand_on() -> Iterator[pa.RecordBatch]:
+        nonlocal chunk
+        table = pa.Table.from_batches(held).sort_by("lang")
+        names = table.column("lang").to_pylist()
+        starts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            for batch in arrays.slices(table.slice(a, b - a).combine_chunks().to_batches(), "text", CHUNK_BYTES):
+                data, offsets = arrays.utf8(batch.column("text"))
+                digests = batch.column("digest").to_pylist()
+                found = _distinct(*code_points(batch.column("text")), _second_half(digests))
+                raw = np.diff(offsets).tobytes() + data.tobytes()
+                raw = len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
+                row = [[chunk], [names[a]], [batch.column("doc_id").to_pylist()], [digests], [raw], *([c] for c in found[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK_FIELDS, strict=True)], schema=_CHUNK_FIELDS)
+                chunk += 1
+        held.clear()
+
+    size = 0
+    for batch in arrays.slices(batches, "text", CHUNK_BYTES):
+        held.append(batch)
+        size += batch.nbytes
+        if size > HELD_BYTES:
+            yield from hand_on()
+            size = 0
+    if held:
+        yield from hand_on()
+
+
+def _type(history: int, name: str) -> Column:
+    """The points before the last one that a level takes: the ``history`` nearest ones."""
+    return F.col(name).bitwiseAND(F.lit((1 << (BITS * history)) - 1))
+
+
+def _discounts(level: DataFrame) -> DataFrame:
+    """``lang, d_0, d_1``: what is taken off counts of 1, 2 and more, from the counts of counts."""
+    of = [F.count_if(F.col(f"n_{f}") == k).cast("double").alias(f"c{k}_{f}") for f in (0, 1) for k in (1, 2, 3, 4)]
+    made = []
+    for f in (0, 1):
+        n = [F.col(f"c{k}_{f}") for k in (1, 2, 3, 4)]
+        y = F.when(n[0] > 0, n[0] / (n[0] + 2 * n[1])).otherwise(0.5)
+        off = [F.when(n[k] > 0, F.greatest(F.lit(0.05), (k + 1) - (k + 2) * y * n[k + 1] / n[k])).otherwise(rest) for k, rest in enumerate((0.5, 0.75, 0.9))]
+        made.append(F.array(*off).alias(f"d_{f}"))
+    return level.groupBy("lang").agg(*of).select("lang", *made)
+
+
+def chances(counted: DataFrame) -> DataFrame:
+    """``lang, pre, last, p_0, p_1``: the chance that each half's model gives every gram of either half.
+
+    ``counted(lang, pre, last, n_0, n_1)`` holds the counts of all grams. Modified Kneser-Ney:
+    lower levels count the different points that a gram follows, three discounts a level,
+    and what they take off goes to the level below; below the last, all points of a language are equal.
+    """
+    levels = [counted]
+    for history in range(ORDER - 2, -1, -1):
+        shorter = levels[-1].groupBy("lang", _type(history, "pre").alias("pre"), "last")
+        levels.append(materialized(shorter.agg(*(F.count_if(F.col(f"n_{f}") > 0).alias(f"n_{f}") for f in (0, 1))), "level"))
+    lower = None
+    for history, level in enumerate(reversed(levels)):
+        sums = [F.sum(f"n_{f}").cast("double").alias(f"total_{f}") for f in (0, 1)]
+        kinds = [F.count_if(F.col(f"n_{f}") == k if k < 3 else F.col(f"n_{f}") >= 3).alias(f"k{k}_{f}") for f in (0, 1) for k in (1, 2, 3)]
+        histories = level.groupBy("lang", "pre").agg(*sums, *kinds, F.count("*").alias("points"))
+        # One row a language, written first: the planner sees its size.
+        histories = histories.join(materialized(_discounts(level), "discounts"), "lang")
+        weights = [sum(F.col(f"d_{f}")[k - 1] * F.col(f"k{k}_{f}") for k in (1, 2, 3)).alias(f"rest_{f}") for f in (0, 1)]
+        histories = histories.select("lang", "pre", "points", "d_0", "d_1", "total_0", "total_1", *weights)
+        joined = level.join(histories, ["lang", "pre"])
+        if lower is None:
+            joined = joined.select("*", *((1 / F.col("points")).alias(f"below_{f}") for f in (0, 1)))
+        else:
+            nearest = lower.select("lang", F.col("pre").alias("nearer"), "last", F.col("p_0").alias("below_0"), F.col("p_1").alias("below_1"))
+            joined = joined.withColumn("nearer", _type(history - 1, "pre")).join(nearest, ["lang", "nearer", "last"])
+        made = []
+        for f in (0, 1):
+            n, total = F.col(f"n_{f}"), F.col(f"total_{f}")
+            off = F.when(n > 0, F.col(f"d_{f}")[F.least(n, F.lit(3)).cast("int") - 1]).otherwise(0.0)
+            p = (n - off + F.col(f"rest_{f}") * F.col(f"below_{f}")) / total
+            made.append(F.when(total > 0, p).otherwise(F.col(f"below_{f}")).alias(f"p_{f}"))
+        lower = materialized(joined.select("lang", "pre", "last", *made), "chances")
+    return lower
+
+
+def _key() -> Column:
+    return F.xxhash64("lang", "pre", "last").alias("key")
+
+
+def _model(chunks: DataFrame) -> DataFrame:
+    """``key, loss_0, loss_1`` of every gram, in ranges of the hash and in its order."""
+    each = chunks.select("lang", F.inline(F.arrays_zip("pre", "last", "n_0", "n_1")))
+    counted = each.groupBy("lang", "pre", "last").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1"))
+    found = chances(materialized(counted, "grams"))
+    losses = [(-F.log(f"p_{f}")).cast("float").alias(f"loss_{f}") for f in (0, 1)]
+    return materialized(found.select(_key(), *losses).repartitionByRange("key").sortWithinPartitions("key"), "model")
+
+
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for several in batches:
+        for i in range(several.num_rows):
+            chunk = {name: several.column(name)[i] for name in several.schema.names}
+            ids, digests = chunk["ids"].values, chunk["digests"].values
+            raw = chunk["texts"].as_py()
+            raw = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+            at = np.zeros(len(ids) + 1, np.int64)
+            np.cumsum(np.frombuffer(raw, np.int64, len(ids)), out=at[1:])
+            texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(at.tobytes()), pa.py_buffer(raw[8 * len(ids) :]))
+            mean, spread = _losses(texts, _second_half(digests.to_pylist()), chunk["found"])
+            start = 0
+            for batch in arrays.slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
+                own = slice(start, start + batch.num_rows)
+                start = own.stop
+                counts = base_counts(batch.column("text"))
+                made = [pa.array(counts[c], pa.int64()) for c in _COUNTED]
+                made += [pa.array(base_fails(counts)), pa.array(mean[own]), pa.array(spread[own])]
+                langs = pa.array([chunk["lang"].as_py()] * batch.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays([ids[own], langs, digests[own], *made], ["doc_id", "lang", "digest", *_COUNTED, "base_failed", "loss", "own_spread"])
+
+
+def _losses(texts: pa.Array, half: np.ndarray, found: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Mean loss a code point by the other half's model, and the spread that chance gives it, for every text."""
+    points, offsets = code_points(texts)
+    n, sums, squares = np.diff(offsets), np.zeros(len(half)), np.zeros(len(half))
+    if len(points):
+        distinct = np.unique(np.concatenate([np.unique(keys) for *_, keys in grams(points, offsets)]))
+        answers = found.values.flatten()
+        losses = np.zeros((2, len(distinct)))
+        place = answers[0].to_numpy()
+        losses[0, place], losses[1, place] = answers[1].to_numpy(), answers[2].to_numpy()
+        for row, _, _, keys in grams(points, offsets):
+            loss = losses[1 - half[row], np.searchsorted(distinct, keys)]
+            sums += np.bincount(row, loss, len(half))
+            squares += np.bincount(row, loss * loss, len(half))
+    many = np.maximum(n, 1)
+    mean = sums / many
+    # Rounded, so that equal texts get equal figures wherever they lie in a chunk.
+    return np.round(mean, 9), np.round(np.sqrt(np.maximum(0, squares / many - mean * mean) / many), 9)
+
+
+_DIGEST = "md5(cast(coalesce(cast(text AS string), '') AS binary))"
+_LANG = "coalesce(cast(lang AS string), '')"
+
+
+def _scored(docs: DataFrame) -> DataFrame:
+    """Counts, loss and chance spread of every row, written once."""
+    plain = docs.selectExpr("cast(doc_id AS long) AS doc_id", "cast(text AS string) AS text", f"{_LANG} AS lang", f"{_DIGEST} AS digest")
+    chunks = materialized(plain.mapInArrow(_pack, _CHUNKS), "chunks")
+    asked = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("pre", "last")).alias("place", "gram"))
+    asked = asked.select("chunk", "place", F.xxhash64("lang", "gram.pre", "gram.last").alias("key"))
+    answers = asked.join(_model(chunks), "key").groupBy("chunk").agg(F.collect_list(F.struct("place", "loss_0", "loss_1")).alias("found"))
+    whole = chunks.select("chunk", "lang", "ids", "digests", "texts").join(answers, "chunk", "left")
+    return materialized(whole.mapInArrow(_score, _SCORED), "scored")
 
 
 def bands(scored: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
-    """``lang, low, high, low_wide, high_wide``: the band, and its half-widths, of each language."""
+    """``lang, middle, below, above``: the median loss of each language and the half-widths of its band."""
     quarters = F.percentile_approx("loss", F.array(*map(F.lit, (0.25, 0.5, 0.75))), 10_000)
     each = scored.filter("NOT base_failed").groupBy("lang").agg(quarters.alias("q"))
     spread = F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(0.01))
     return each.select("lang", F.col("q")[1].alias("middle"), (spread * below).alias("below"), (spread * above).alias("above"))
 
 
-def quality(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
-    """Base counts and the verdict for every row of ``docs(doc_id, text, lang)``.
-
-    ``perplexity`` is that of a character; ``kept`` is false for rows that fail the base
-    rules or lie outside their language's band.
-    """
-    scored, _ = _scored(docs)
-    whole = scored.join(F.broadcast(bands(scored, below, above)), "lang", "left")  # a row for each language
+def _judged(docs: DataFrame, below: float, above: float) -> DataFrame:
+    scored = _scored(docs)
+    whole = scored.join(materialized(bands(scored, below, above), "bands"), "lang", "left")
     allowed = OWN * F.col("own_spread")
     inside = (F.col("loss") >= F.col("middle") - F.sqrt(F.col("below") ** 2 + allowed**2)) & (
         F.col("loss") <= F.col("middle") + F.sqrt(F.col("above") ** 2 + allowed**2)
     )
-    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
-    return whole.select("doc_id", *_COUNTED, "base_failed", kept.alias("kept"), F.exp("loss").alias("perplexity"))
+    return whole.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
 
 
-def _keep(shared, limits: dict[str, tuple[float, float, float]]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {lang: model.table() for lang, model in shared.value.items()}
-        for batch in arrays.slices(batches, "text"):
-            good = ~base_fails(base_counts(batch.column("text")))
-            mean, spread = losses(batch, tables)
-            langs = [v or "" for v in batch.column("lang").to_pylist()]
-            middle, below, above = np.array([limits.get(v, (0.0, np.inf, np.inf)) for v in langs]).reshape(-1, 3).T
-            good &= (mean >= middle - np.hypot(below, OWN * spread)) & (mean <= middle + np.hypot(above, OWN * spread))
-            yield batch.filter(pa.array(good))
+def quality(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
+    """Base counts and the verdict for every row of ``docs(doc_id, text, lang)``.
 
-    return run
+    ``perplexity`` is that of a code point; ``kept`` is false for rows that fail the base
+    rules or lie outside their language's band.
+    """
+    return _judged(docs, below, above).select("doc_id", *_COUNTED, "base_failed", "kept", F.exp("loss").alias("perplexity"))
 
 
 def of_quality(docs: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep."""
-    scored, shared = _scored(docs)
-    limits = {r["lang"]: (r["middle"], r["below"], r["above"]) for r in bands(scored, below, above).collect()}
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    kept = None
-    for group, one in shared:
-        part = docs.filter(F.coalesce(F.col("lang").cast("string"), F.lit("")).isin(group)).mapInArrow(_keep(one, limits), fields)
-        kept = part if kept is None else kept.unionByName(part)
-    return docs.limit(0) if kept is None else kept
+    """The rows of ``docs``, all columns, that the rules keep: a verdict goes by text and language."""
+    rejected = _judged(docs, below, above).filter("NOT kept").select("digest", "lang").distinct()
+    rejected = materialized(rejected.withColumnRenamed("lang", "language"), "rejected").alias("rejected_texts")
+    same = (F.expr(_DIGEST) == F.col("rejected_texts.digest")) & (F.expr(_LANG) == F.col("rejected_texts.language"))
+    return docs.join(rejected, same, "left_anti")

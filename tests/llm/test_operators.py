@@ -515,11 +515,109 @@ def test_base_counts_match_plain_ones():
         assert [int(v[i]) for v in got.values()] == [len(words), sum(map(len, words)), symbols, repeated, len(covered)]
 
 
-def test_kneser_ney_is_a_distribution():
-    rng = np.random.default_rng(9)
-    counts = np.bincount(rng.zipf(1.3, 20_000) % quality.KEYS, minlength=quality.KEYS)
-    chance = np.exp(quality.kneser_ney(counts)).reshape(-1, quality.CLASSES)
-    assert np.allclose(chance.sum(axis=1), 1) and (chance > 0).all()
+def plain_kneser_ney(texts, order=quality.ORDER):
+    """Chance of every point after every history of a corpus, by the plain recursion over counts in dictionaries."""
+    levels = [collections.Counter()]
+    for text in texts:
+        padded = [None] * (order - 1) + list(text)
+        levels[0].update(tuple(padded[i : i + order]) for i in range(len(text)))
+    while len(next(iter(levels[-1]), ())) > 1:
+        levels.append(collections.Counter(gram[1:] for gram in levels[-1]))
+    levels.reverse()
+    offs, sums = [], []
+    for level in levels:
+        n = [sum(v == k for v in level.values()) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
+        offs.append([0.0] + [max(0.05, k + 1 - (k + 2) * y * n[k + 1] / n[k]) if n[k] else rest for k, rest in enumerate((0.5, 0.75, 0.9))])
+        total, rest = collections.Counter(), collections.Counter()
+        for gram, v in level.items():
+            total[gram[:-1]] += v
+            rest[gram[:-1]] += offs[-1][min(v, 3)]
+        sums.append((total, rest))
+
+    def chance(gram, points):
+        p = 1 / points
+        for k, (level, off, (total, rest)) in enumerate(zip(levels, offs, sums, strict=True)):
+            own = gram[order - 1 - k :]
+            if total[own[:-1]]:
+                p = (level[own] - off[min(level[own], 3)] + rest[own[:-1]] * p) / total[own[:-1]]
+        return p
+
+    return chance
+
+
+def test_kneser_ney_matches_the_plain_recursion(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aabcdeé \U0001f600ж\x00", k=rng.randrange(60))) for _ in range(80)] + ["", "a", "aaaa"]
+    rows = [(t, lang) for t in texts for lang in ("x", "y") if lang == "x" or len(t) % 3]
+    digests = {t: hashlib.md5(t.encode()).hexdigest() for t in texts}
+    half = lambda t: int(digests[t][-1], 16) & 1
+    counts = collections.defaultdict(lambda: [0, 0])
+    monkeypatch.setattr(quality, "BLOCK", 50)
+    for lang in "xy":
+        own = [t for t, x in rows if x == lang]
+        points, offsets = quality.code_points(pa.array(own))
+        _, pre, last, n_0, n_1 = quality._distinct(points, offsets, np.array([half(t) for t in own]))
+        assert n_0.sum() + n_1.sum() == sum(map(len, own))
+        for key in zip(pre.tolist(), last.tolist(), n_0.tolist(), n_1.tolist(), strict=True):
+            counts[lang, key[0], key[1]] = key[2:]
+    made = spark.createDataFrame([(*k, *map(int, v)) for k, v in counts.items()], "lang string, pre long, last int, n_0 long, n_1 long")
+    got = {(r.lang, r.pre, r.last): (r.p_0, r.p_1) for r in quality.chances(made).collect()}
+    assert set(got) == set(counts)
+    for lang in "xy":
+        n_points = len({last for x, _, last in counts if x == lang})
+        for f in (0, 1):
+            plain = plain_kneser_ney([t for t, x in rows if x == lang and half(t) == f])
+            for (x, pre, last), p in got.items():
+                history = [(pre >> (quality.BITS * k)) & ((1 << quality.BITS) - 1) for k in (2, 1, 0)]
+                if x == lang:
+                    assert abs(p[f] - plain((*(chr(h - 1) if h else None for h in history), chr(last)), n_points)) < 1e-9
+            # After any history the chances of all points add up to one.
+            alphabet = [chr(last) for last in {last for x, _, last in counts if x == lang}]
+            assert abs(sum(plain(("a", "b", "a", c), n_points) for c in alphabet) - 1) < 1e-9
+
+
+def test_losses_are_those_of_the_other_half(spark, monkeypatch):
+    rows = synthetic(8, 60)
+    rows += [(0, rows[0][1], rows[0][2], "s"), (None, rows[1][1], rows[1][2], "s"), (70, "", "en", "s"), (71, None, None, "s")]
+    digest = lambda t: int(hashlib.md5((t or "").encode()).hexdigest()[-1], 16) & 1
+    for name, value in (("CHUNK_BYTES", 3000), ("BLOCK", 700), ("HELD_BYTES", 9000)):
+        monkeypatch.setattr(quality, name, value)
+    got = quality._scored(docs_of(spark, rows).repartition(3)).collect()
+    assert len(got) == len(rows)
+    plain, points = {}, {}
+    for lang in {x or "" for _, _, x, _ in rows}:
+        own = [t or "" for _, t, x, _ in rows if (x or "") == lang]
+        points[lang] = len(set("".join(own)))
+        for f in (0, 1):
+            plain[lang, f] = plain_kneser_ney([t for t in own if digest(t) == f])
+    wanted = collections.Counter()
+    for doc_id, text, lang, _ in rows:
+        text, lang = text or "", lang or ""
+        padded = [None] * 3 + list(text)
+        loss = [-np.log(plain[lang, 1 - digest(text)](tuple(padded[i : i + 4]), points[lang])) for i in range(len(text))]
+        wanted[doc_id, lang, round(float(np.mean(loss)) if loss else 0.0, 5)] += 1
+    assert wanted == collections.Counter((r.doc_id, r.lang, round(r.loss, 5)) for r in got)
+
+
+def test_other_languages_and_gibberish_of_any_script_go(spark):
+    rng = random.Random(6)
+    rows = synthetic(5, 600)
+    parts = ["про", "ение", "ка", "то", "вы", "ость", "на", "ски"]
+    cyrillic = lambda: " ".join("".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(60))
+    rows += [(1000 + i, cyrillic(), "ru", "s") for i in range(200)]
+    junk = [(2000 + i, " ".join("".join(rng.choices("абвгдежзийклмнопрстуфхцчшщ", k=6)) for _ in range(60)), "ru", "s") for i in range(5)]
+    foreign = [(3000 + d, t, "en", "s") for d, t, lang, _ in synthetic(15, 60) if lang == "de"]
+    got = {r.doc_id: r.kept for r in quality.quality(docs_of(spark, rows + junk + foreign)).collect()}
+    assert sum(got[d] for d, *_ in rows) >= 0.99 * len(rows)
+    assert not any(got[d] for d, *_ in junk) and not any(got[d] for d, *_ in foreign)
+
+
+def test_many_languages_and_clashing_columns(spark):
+    rows = [(i, f"{t} {i}", f"l{i % 1000}", "s") for i, (_, t, *_) in enumerate(synthetic(21, 1200))]
+    frame = docs_of(spark, rows).selectExpr("*", "'x' AS digest", "'y' AS language", "1 AS key", "2 AS chunk")
+    stay = quality.of_quality(frame)
+    assert stay.columns == frame.columns and stay.count() == len(rows)
 
 
 def test_bands_reject_what_no_model_expects(spark, odd, nothing):
