@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
+from deskmill.llm.lm_scores import added, distinct
 from deskmill.session import materialized
 
 #: Base rules.
@@ -44,7 +45,7 @@ CHUNK_BYTES, HELD_BYTES = 4 << 20, 24 << 20
 #: Code points whose grams are handled at once.
 BLOCK = 1 << 20
 #: How hard a chunk's texts are compressed, which are shuffled once.
-LEVEL = 9
+LEVEL = 4
 
 SYMBOLS = arrays.byte_table("#*$%&|<>")
 
@@ -124,6 +125,10 @@ def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), leads[offsets]
 
 
+def gram_hashes(pre: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return arrays.mixed(arrays.mixed(pre.view(np.uint64)) + last.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+
+
 def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Of every code point, in blocks: row, the three points before it, itself, and a hash of the gram.
 
@@ -131,30 +136,50 @@ def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
     """
     for a in range(0, len(points), BLOCK):
         b = min(len(points), a + BLOCK)
-        row = np.searchsorted(offsets, np.arange(a, b), side="right") - 1
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.clip(offsets, a, b)))
         place = np.arange(a, b) - offsets[row]
         pre = np.zeros(b - a, np.int64)
         for back in range(1, ORDER):
             # Code point 0 in a text is told from its begin by one more.
-            history = points[np.maximum(np.arange(a, b) - back, 0)].astype(np.int64) + 1
-            pre |= np.where(place >= back, history, 0) << np.int64(BITS * (back - 1))
+            known = max(0, back - a)  # none before the first text
+            history = np.zeros(b - a, np.int64)
+            history[known:] = points[a + known - back : b - back]
+            history += 1
+            history[place < back] = 0
+            pre |= history << np.int64(BITS * (back - 1))
         last = points[a:b].astype(np.int32)
-        keys = arrays.mixed(arrays.mixed(pre.view(np.uint64)) + last.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-        yield row, pre, last, keys
+        yield row, pre, last, gram_hashes(pre, last)
 
 
 def _distinct(points: np.ndarray, offsets: np.ndarray, half: np.ndarray) -> list[np.ndarray]:
     """Distinct grams in the order of their hashes: hash, three points, last point, counts in both halves."""
     parts = []
     for row, pre, last, keys in grams(points, offsets):
-        own, first, where = np.unique(keys, return_index=True, return_inverse=True)
+        own = np.unique(keys)
+        where = places(own, keys)
+        one = np.empty(len(own), np.int64)
+        one[where] = np.arange(len(keys))
         second = np.bincount(where, half[row], len(own)).astype(np.int64)
-        parts.append([own, pre[first], last[first], np.bincount(where, minlength=len(own)) - second, second])
+        parts.append([own, pre[one], last[one], np.bincount(where, minlength=len(own)) - second, second])
     if not parts:
         return [np.zeros(0, t) for t in (np.uint64, np.int64, np.int32, np.int64, np.int64)]
     keys, pre, last, n_0, n_1 = (np.concatenate(c) for c in zip(*parts, strict=True))
-    own, first, where = np.unique(keys, return_index=True, return_inverse=True)
-    return [own, pre[first], last[first], *(np.bincount(where, n, len(own)).astype(np.int64) for n in (n_0, n_1))]
+    own, order, starts = distinct(keys)
+    one = order[starts]
+    return [own, pre[one], last[one], *(added(n, order, starts) for n in (n_0, n_1))]
+
+
+def places(own: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key is among sorted distinct hashes that hold them all: by its first bits, then step by step."""
+    bits = len(own).bit_length() + 3
+    shift = np.uint64(64 - bits)
+    starts = np.searchsorted(own, np.arange(1 << bits, dtype=np.uint64) << shift)
+    at = starts[keys >> shift]
+    wrong = np.flatnonzero(own[at] != keys)
+    while len(wrong):
+        at[wrong] += 1
+        wrong = wrong[own[at[wrong]] != keys[wrong]]
+    return at
 
 
 def _second_half(digests: list[str]) -> np.ndarray:
@@ -276,7 +301,8 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.zeros(len(ids) + 1, np.int64)
             np.cumsum(np.frombuffer(raw, np.int64, len(ids)), out=at[1:])
             texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(at.tobytes()), pa.py_buffer(raw[8 * len(ids) :]))
-            mean, spread = _losses(texts, _second_half(digests.to_pylist()), chunk["found"])
+            asked = gram_hashes(*(chunk[name].values.to_numpy() for name in ("pre", "last")))
+            mean, spread = _losses(texts, _second_half(digests.to_pylist()), asked, chunk["found"])
             start = 0
             for batch in arrays.slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
                 own = slice(start, start + batch.num_rows)
@@ -288,18 +314,17 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([ids[own], langs, digests[own], *made], ["doc_id", "lang", "digest", *_COUNTED, "base_failed", "loss", "own_spread"])
 
 
-def _losses(texts: pa.Array, half: np.ndarray, found: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+def _losses(texts: pa.Array, half: np.ndarray, asked: np.ndarray, found: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     """Mean loss a code point by the other half's model, and the spread that chance gives it, for every text."""
     points, offsets = code_points(texts)
     n, sums, squares = np.diff(offsets), np.zeros(len(half)), np.zeros(len(half))
     if len(points):
-        distinct = np.unique(np.concatenate([np.unique(keys) for *_, keys in grams(points, offsets)]))
         answers = found.values.flatten()
-        losses = np.zeros((2, len(distinct)))
+        losses = np.zeros((2, len(asked)))
         place = answers[0].to_numpy()
         losses[0, place], losses[1, place] = answers[1].to_numpy(), answers[2].to_numpy()
         for row, _, _, keys in grams(points, offsets):
-            loss = losses[1 - half[row], np.searchsorted(distinct, keys)]
+            loss = losses[1 - half[row], places(asked, keys)]
             sums += np.bincount(row, loss, len(half))
             squares += np.bincount(row, loss * loss, len(half))
     many = np.maximum(n, 1)
@@ -319,7 +344,7 @@ def _scored(docs: DataFrame) -> DataFrame:
     asked = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("pre", "last")).alias("place", "gram"))
     asked = asked.select("chunk", "place", F.xxhash64("lang", "gram.pre", "gram.last").alias("key"))
     answers = asked.join(_model(chunks), "key").groupBy("chunk").agg(F.collect_list(F.struct("place", "loss_0", "loss_1")).alias("found"))
-    whole = chunks.select("chunk", "lang", "ids", "digests", "texts").join(answers, "chunk", "left")
+    whole = chunks.select("chunk", "lang", "ids", "digests", "texts", "pre", "last").join(answers, "chunk", "left")
     return materialized(whole.mapInArrow(_score, _SCORED), "scored")
 
 
