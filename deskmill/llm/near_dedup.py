@@ -286,6 +286,9 @@ def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     Rows without an id stay; of several rows with one id, one stays.
     """
     found = near_duplicates(docs, words, percent)
-    dropped = materialized(found.filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    known = docs.filter(F.col("doc_id").isNotNull()).join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    name = "dropped"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    dropped = materialized(found.filter("NOT kept").select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    known = docs.filter(F.col("doc_id").isNotNull()).join(dropped, F.col("doc_id").cast("long") == F.col(name), "left_anti")
     return known.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))

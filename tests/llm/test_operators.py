@@ -693,3 +693,11 @@ def test_hashes_do_not_depend_on_the_batch():
     hashes = arrays.span_hashes(data, starts, stops)
     assert first.tolist() == [0, 4, 5, 5, 5] and len(set(hashes.tolist())) == 3
     assert hashes[0] == hashes[3] == hashes[4]
+
+
+def test_near_dedup_takes_columns_of_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    frame = docs_of(spark, [(1, text, "en", "s"), (2, text, "en", "s"), (3, "another text", "en", "s")])
+    frame = frame.selectExpr("*", "'x' AS dropped", "'y' AS Dropped_", "'z' AS _dropped")
+    stay = near_dedup.distinct_documents(frame)
+    assert stay.columns == frame.columns and sorted(r.doc_id for r in stay.collect()) == [1, 3]
