@@ -8,7 +8,9 @@ all levels, backoff weights and chances are joins of tables, and the model is a
 64-bit gram hashes in sorted order with the losses that both halves give.
 
 Texts of one language are packed into chunks. A chunk asks for the losses of its distinct grams
-and gets them as arrays in the order of their hashes; its texts then look them up. The bands
+and gets them as arrays in the order of their hashes; its texts then look them up. Chunks lie
+in buckets by the task that made them, a file for each task: the losses go to where the texts
+are, and texts are written once and never shuffled. The bands
 around the median of a language take its spread over all documents and, for short texts, the
 spread that chance alone gives; a document outside them is rejected: below are texts that
 repeat themselves or the corpus, above is what the language's model does not expect.
@@ -20,6 +22,7 @@ are judged alike, whatever their id; a language of one text has its own loss as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
 from deskmill.llm.lm_scores import added, distinct
-from deskmill.session import materialized
+from deskmill.session import materialized, scratch
 
 #: Base rules.
 LEAST_WORDS, REPEAT_WORDS, MOST_REPEATED = 20, 8, 30
@@ -41,16 +44,18 @@ OWN = 1.5
 #: Code points of a gram, and bits of one.
 ORDER, BITS = 4, 21
 #: Bytes of text of a chunk, and bytes a task sorts by language before it cuts them; one text stays whole.
-CHUNK_BYTES, HELD_BYTES = 4 << 20, 24 << 20
+CHUNK_BYTES, HELD_BYTES = 8 << 20, 48 << 20
 #: Code points whose grams are handled at once.
 BLOCK = 1 << 20
-#: How hard a chunk's texts are compressed, which are shuffled once.
+#: How hard a chunk's texts are compressed, which are written once.
 LEVEL = 4
+#: Buckets that Spark allows by default.
+MOST_BUCKETS = 100_000
 
 SYMBOLS = arrays.byte_table("#*$%&|<>")
 
 _CHUNKS = (
-    "chunk long, lang string, ids array<long>, digests array<string>, texts binary, "
+    "part long, chunk long, lang string, ids array<long>, digests array<string>, texts binary, "
     "pre array<long>, last array<int>, n_0 array<long>, n_1 array<long>"
 )
 _SCORED = (
@@ -187,13 +192,14 @@ def _second_half(digests: list[str]) -> np.ndarray:
 
 
 _CHUNK_FIELDS = pa.schema(
-    [("chunk", pa.int64()), ("lang", pa.string()), ("ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.string())), ("texts", pa.binary())]
+    [("part", pa.int64()), ("chunk", pa.int64()), ("lang", pa.string()), ("ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.string())), ("texts", pa.binary())]
     + [("pre", pa.list_(pa.int64())), ("last", pa.list_(pa.int32())), ("n_0", pa.list_(pa.int64())), ("n_1", pa.list_(pa.int64()))]
 )
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    chunk = TaskContext.get().partitionId() << 32
+    part = TaskContext.get().partitionId()
+    chunk = part << 32
     codec = pa.Codec("zstd", LEVEL)
     held: list[pa.RecordBatch] = []
 
@@ -209,7 +215,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = _distinct(*code_points(batch.column("text")), _second_half(digests))
                 raw = np.diff(offsets).tobytes() + data.tobytes()
                 raw = len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
-                row = [[chunk], [names[a]], [batch.column("doc_id").to_pylist()], [digests], [raw], *([c] for c in found[1:])]
+                row = [[part], [chunk], [names[a]], [batch.column("doc_id").to_pylist()], [digests], [raw], *([c] for c in found[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK_FIELDS, strict=True)], schema=_CHUNK_FIELDS)
                 chunk += 1
         held.clear()
@@ -340,12 +346,25 @@ _LANG = "coalesce(cast(lang AS string), '')"
 def _scored(docs: DataFrame) -> DataFrame:
     """Counts, loss and chance spread of every row, written once."""
     plain = docs.selectExpr("cast(doc_id AS long) AS doc_id", "cast(text AS string) AS text", f"{_LANG} AS lang", f"{_DIGEST} AS digest")
-    chunks = materialized(plain.mapInArrow(_pack, _CHUNKS), "chunks")
-    asked = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("pre", "last")).alias("place", "gram"))
-    asked = asked.select("chunk", "place", F.xxhash64("lang", "gram.pre", "gram.last").alias("key"))
-    answers = asked.join(_model(chunks), "key").groupBy("chunk").agg(F.collect_list(F.struct("place", "loss_0", "loss_1")).alias("found"))
-    whole = chunks.select("chunk", "lang", "ids", "digests", "texts", "pre", "last").join(answers, "chunk", "left")
-    return materialized(whole.mapInArrow(_score, _SCORED), "scored")
+    chunks, name = _bucketed(plain.mapInArrow(_pack, _CHUNKS), "part", "chunks")
+    asked = chunks.select("part", "chunk", "lang", F.posexplode(F.arrays_zip("pre", "last")).alias("place", "gram"))
+    asked = asked.select("part", "chunk", "place", F.xxhash64("lang", "gram.pre", "gram.last").alias("key"))
+    answers = asked.join(_model(chunks), "key").groupBy("part").agg(F.collect_list(F.struct("chunk", "place", "loss_0", "loss_1")).alias("answers"))
+    whole = chunks.select("part", "chunk", "lang", "ids", "digests", "texts", "pre", "last").join(answers, "part", "left")
+    own = F.transform(F.filter("answers", lambda x: x["chunk"] == F.col("chunk")), lambda x: F.struct(x["place"], x["loss_0"], x["loss_1"]))
+    whole = whole.select("chunk", "lang", "ids", "digests", "texts", "pre", "last", own.alias("found"))
+    scored = materialized(whole.mapInArrow(_score, _SCORED), "scored")
+    docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return scored
+
+
+def _bucketed(df: DataFrame, column: str, label: str) -> tuple[DataFrame, str]:
+    """Written once to the shared folder, in as many buckets as shuffles have partitions, and the table's name."""
+    spark = df.sparkSession
+    n = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(n, column).option("path", scratch(spark, label)).saveAsTable(name)
+    return spark.table(name), name
 
 
 def bands(scored: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
