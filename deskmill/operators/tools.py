@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskmill.functions.text import function_name, term_matches
+from deskmill.session import materialized
 
 SALTS = 1024
+#: Calls with one key that one copy of its answer serves.
+HOT_ROWS = 1 << 20
 
 # Words that send a question to the structured data or to the documents.
 STRUCTURED_TERMS = ("billing", "bill", "bills", "customer", "customers", "total", "average", "invoice")
@@ -28,46 +31,46 @@ def policy_results(policies: DataFrame) -> DataFrame:
     return policies.select(F.col("policy").alias("key"), F.to_json(F.array(row)).alias("result"))
 
 
-def dispatch(calls: DataFrame, functions: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+def dispatch(calls: DataFrame, functions: dict[str, tuple[str, DataFrame]], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Answer ``calls(call_id, tool, arguments)``.
 
     ``functions`` maps a function's name to its argument's name and its results for all
     keys, ``(key, result)``. A key without results gives ``[]``; an unknown tool, arguments
     that are no JSON object and a missing argument each give an error row.
 
-    The calls are read once and joined to each function's results. Calls of another tool
-    have no key there; they are dealt out over salts that match nothing, so that they do
-    not all wait in the task of the NULL key.
+    The calls are joined once to the results of all functions. A key asked for more than
+    ``hot_rows`` times has its answer copied once for each ``hot_rows`` calls, and its calls
+    are dealt out over the copies. Calls without a key are dealt out over salts that match
+    nothing, so that they do not all wait in the task of the NULL key.
     """
-    rows = calls.withColumn("function", function_name(F.col("tool"))).withColumn(
-        "_args", F.try_parse_json("arguments")
-    )
-    result, missing, known = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(False)
-    for i, (name, (argument, results)) in enumerate(functions.items()):
-        value = F.try_variant_get(F.col("_args"), f"$.{argument}", "string")
-        key, salt, answer = f"_key{i}", f"_salt{i}", f"_result{i}"
+    rows = calls.withColumn("function", function_name(F.col("tool"))).withColumn("_args", F.try_parse_json("arguments"))
+    key, missing, found = F.lit(None).cast("string"), F.lit(None).cast("string"), None
+    for name, (argument, results) in functions.items():
         mine = F.col("function") == name
-        rows = rows.withColumn(key, F.when(mine, value)).withColumn(
-            salt,
-            F.when(F.col(key).isNull(), F.pmod(F.xxhash64("call_id"), F.lit(SALTS)) + 1).otherwise(0),
-        )
-        found = results.select(
-            F.col("key").alias(key), F.lit(0).cast("bigint").alias(salt), F.col("result").alias(answer)
-        )
-        rows = rows.join(found, [key, salt], "left")
-        known = known | mine
-        missing = F.when(mine & F.col(key).isNull(), F.lit(f"missing argument {argument}")).otherwise(missing)
-        result = F.when(mine & F.col(key).isNotNull(), F.coalesce(F.col(answer), F.lit("[]"))).otherwise(result)
+        key = F.when(mine, F.try_variant_get(F.col("_args"), f"$.{argument}", "string")).otherwise(key)
+        missing = F.when(mine, F.lit(f"missing argument {argument}")).otherwise(missing)
+        own = results.select(F.lit(name).alias("function"), F.col("key").alias("_key"), F.col("result").alias("_result"))
+        found = own if found is None else found.unionByName(own)
+    rows = rows.withColumn("_key", key)
+    asked = rows.filter("_key IS NOT NULL").groupBy("function", "_key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
+    # A row for each ``hot_rows`` calls at most, written first: the planner sees its size.
+    hot = materialized(asked.select("function", "_key", F.ceil(F.col("n") / hot_rows).alias("_copies")), "hot_keys")
+    salted = F.when(F.col("_key").isNull(), -1 - F.pmod(F.xxhash64("call_id"), F.lit(SALTS)))
+    salted = salted.when(F.col("_copies").isNull(), 0).otherwise(F.pmod(F.xxhash64("call_id"), "_copies"))
+    rows = rows.join(hot, ["function", "_key"], "left").withColumn("_salt", salted.cast("bigint")).drop("_copies")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_copies"), F.lit(1)) - 1))
+    found = found.join(hot, ["function", "_key"], "left").withColumn("_salt", copies).drop("_copies")
+    rows = rows.join(found, ["function", "_key", "_salt"], "left")
     error = (
-        F.when(~known, F.concat(F.lit("unknown tool "), F.col("tool")))
+        F.when(~F.coalesce(F.col("function").isin(*functions), F.lit(False)), F.concat(F.lit("unknown tool "), F.col("tool")))
         .when(F.col("_args").isNull(), "arguments are not JSON")
-        .otherwise(missing)
+        .when(F.col("_key").isNull(), missing)
     )
     return rows.select(
         "call_id",
         F.col("function").alias("function_name"),
         F.when(error.isNull(), "ok").otherwise("error").alias("status"),
-        F.coalesce(error, result).alias("result"),
+        F.coalesce(error, F.col("_result"), F.lit("[]")).alias("result"),
     )
 
 

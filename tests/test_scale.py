@@ -2,6 +2,7 @@
 
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import plan, rows
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from deskmill import session
 from deskmill.operators import containment, evaluation, lookups, messages, metadata, tools, vectors
+from deskmill.session import scratch_root
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -156,6 +158,33 @@ def test_hot_owner_of_settings(spark):
     assert left.groupBy("owner", "key").count().filter("count > 1").count() == 0
 
 
+def test_one_ancestor_of_very_many_keys(spark):
+    n = 20_000
+    keys = [("big", 2 * i, f"a.k{i:05}.x{i % 3}", "v") for i in range(n)] + [("big", n + 1, "a", "top"), ("big", 5 * n, "a.k00007", "own"), (None, 1, "a", "z"), (None, 0, "a.b", "z"), ("big", 3, None, "n")]
+    df = spark.createDataFrame(keys, "owner string, seq long, key string, value string")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        left = metadata.apply_assignments(df)
+        got = {(r.owner, r.key) for r in left.collect()}
+    finally:
+        spark.conf.set(name, before)
+    late = {("big", f"a.k{i:05}.x{i % 3}") for i in range(n) if 2 * i > n + 1 and i != 7}
+    assert got == late | {("big", "a"), ("big", "a.k00007"), (None, "a"), (None, "a.b"), ("big", None)}
+    # No block of keys holds much more than its share.
+    swept = sorted(Path(scratch_root(spark)).glob("swept-*"), key=lambda p: p.stat().st_mtime)[-1]
+    sizes = [r["count"] for r in spark.read.parquet(str(swept)).groupBy("block").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 3 * sum(sizes) / len(sizes)
+
+
+def test_a_hot_key_of_a_tool(spark):
+    calls = spark.range(3000).selectExpr("id AS call_id", "'t__f' AS tool", "CASE WHEN id % 3 = 0 THEN '{\"k\": \"hot\"}' ELSE concat('{\"k\": \"c', id, '\"}') END AS arguments")
+    results = spark.createDataFrame([("hot", "[1]"), ("c1", "[2]"), ("unasked", "[3]")], "key string, result string")
+    got = tools.dispatch(calls, {"t.f": ("k", results)}, hot_rows=100)
+    assert rows(got.groupBy("status", "result").count()) == [("ok", "[1]", 1000), ("ok", "[2]", 1), ("ok", "[]", 1999)]
+
+
 def test_a_third_of_the_documents_hold_the_passage(spark):
     passage = "alpha beta gamma delta epsilon zeta eta theta"
     docs = spark.range(3000).select(
