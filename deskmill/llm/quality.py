@@ -125,9 +125,9 @@ def base_fails(counts: dict[str, np.ndarray]) -> np.ndarray:
 def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts joined, and the offsets at which each text's begin."""
     data, offsets = arrays.utf8(texts)
-    leads = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=leads[1:])
-    return np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), leads[offsets]
+    ends = np.add.reduceat(np.append((data & 0xC0) != 0x80, False).astype(np.int32), np.minimum(offsets[:-1], len(data)))
+    lengths = np.where(offsets[1:] > offsets[:-1], ends, 0)
+    return np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(lengths)])
 
 
 def gram_hashes(pre: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -206,6 +206,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def hand_on() -> Iterator[pa.RecordBatch]:
         nonlocal chunk
         table = pa.Table.from_batches(held).sort_by("lang")
+        held.clear()  # the sorted rows are a copy
         names = table.column("lang").to_pylist()
         starts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
         for a, b in zip(starts[:-1], starts[1:], strict=True):
@@ -218,7 +219,6 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row = [[part], [chunk], [names[a]], [batch.column("doc_id").to_pylist()], [digests], [raw], *([c] for c in found[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK_FIELDS, strict=True)], schema=_CHUNK_FIELDS)
                 chunk += 1
-        held.clear()
 
     size = 0
     for batch in arrays.slices(batches, "text", CHUNK_BYTES):
