@@ -7,9 +7,9 @@ import math
 from pyspark.sql import functions as F
 
 from deskmill.functions import sql_functions, text
-from deskmill.functions.embedding import embed
-from deskmill.operators import containment, evaluation, lexical, served, vectors
-from deskmill.operators.skew import unnest
+from deskmill.functions.embedding import DIMENSIONS, embed
+from deskmill.operators import containment, evaluation, latent, lexical, served, vectors
+from deskmill.operators.skew import join_null_safe, unnest
 from deskmill.plans import bindings
 from deskmill.plans.registry import query
 from deskmill.plans.tables import AFTER_SQL
@@ -88,6 +88,21 @@ def embed_index(spark, sf_dir):
     return vectors.long_form(document_index(spark, sf_dir), ["doc_id"])
 
 
+@query("latent_likeness")
+def latent_likeness(spark, sf_dir):
+    """How near texts of a language are, by trained vectors and by hashed ones, and any two texts."""
+    documents = spread_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = latent.featured(documents, ["lang"], "text")
+    trained = latent.likeness(latent.latent_vectors(rows, ["lang"], latent.fit(rows)), "lang", latent.DIMENSIONS)
+    plain = documents.select("lang", embed(F.col("text")).alias("vector"))
+    hashed = latent.likeness(plain, "lang", DIMENSIONS)
+    both = [
+        d.select("lang", "texts", F.round("within", 3).alias(f"{kind}_within"), F.round("chance", 3).alias(f"{kind}_chance"))
+        for kind, d in (("latent", trained), ("hashed", hashed))
+    ]
+    return join_null_safe(both[0], both[1].drop("texts"), ["lang"])
+
+
 @query("incremental_sync", buckets_sql(f"({AFTER_SQL})", "doc_id"))
 def incremental_sync(spark, sf_dir):
     after = bindings.documents_after(spark, sf_dir)

@@ -30,7 +30,9 @@ def test_query_matches_sql(spark, db, name):
 
 
 def test_every_job_of_the_library_has_sql():
-    assert set(plans.JOBS) == set(plans.CHECKS) and set(plans.JOBS) <= set(QUERIES)
+    # SQL cannot express a trained model: test_latent.py compares it with a full decomposition.
+    trained = {"latent_likeness"}
+    assert set(plans.JOBS) - trained == set(plans.CHECKS) and set(plans.JOBS) <= set(QUERIES)
 
 
 def test_entry_has_rows_and_schema(spark):
