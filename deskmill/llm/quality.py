@@ -23,7 +23,7 @@ are judged alike, whatever their id; a language of one text has its own loss as
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
 from deskmill.llm.lm_scores import added, distinct
-from deskmill.session import materialized, scratch
+from deskmill.session import materialized, scratch, setting
 
 #: Base rules.
 LEAST_WORDS, REPEAT_WORDS, MOST_REPEATED = 20, 8, 30
@@ -46,7 +46,7 @@ ORDER, BITS = 4, 21
 #: Bytes of text of a chunk, and bytes a task sorts by language before it cuts them; one text stays whole.
 CHUNK_BYTES, HELD_BYTES = 8 << 20, 48 << 20
 #: Code points whose grams are handled at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: How hard a chunk's texts are compressed, which are written once.
 LEVEL = 4
 #: Buckets that Spark allows by default.
@@ -156,16 +156,36 @@ def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield row, pre, last, gram_hashes(pre, last)
 
 
+def _in_slices(texts: pa.Array) -> Iterator[tuple[slice, pa.Array]]:
+    """The texts, about a megabyte at a time, and which of them these are."""
+    start = 0
+    for batch in arrays.slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
+        yield slice(start, start + batch.num_rows), batch.column("text")
+        start += batch.num_rows
+
+
 def _distinct(points: np.ndarray, offsets: np.ndarray, half: np.ndarray) -> list[np.ndarray]:
     """Distinct grams in the order of their hashes: hash, three points, last point, counts in both halves."""
-    parts = []
+    return _merged(_counted(points, offsets, half))
+
+
+def _distinct_of(texts: pa.Array, half: np.ndarray) -> list[np.ndarray]:
+    """The same of texts whose code points are not held all at once."""
+    return _merged(part for own, some in _in_slices(texts) for part in _counted(*code_points(some), half[own]))
+
+
+def _counted(points: np.ndarray, offsets: np.ndarray, half: np.ndarray) -> Iterator[list[np.ndarray]]:
     for row, pre, last, keys in grams(points, offsets):
         own = np.unique(keys)
         where = places(own, keys)
         one = np.empty(len(own), np.int64)
         one[where] = np.arange(len(keys))
         second = np.bincount(where, half[row], len(own)).astype(np.int64)
-        parts.append([own, pre[one], last[one], np.bincount(where, minlength=len(own)) - second, second])
+        yield [own, pre[one], last[one], np.bincount(where, minlength=len(own)) - second, second]
+
+
+def _merged(counted: Iterable[list[np.ndarray]]) -> list[np.ndarray]:
+    parts = list(counted)
     if not parts:
         return [np.zeros(0, t) for t in (np.uint64, np.int64, np.int32, np.int64, np.int64)]
     keys, pre, last, n_0, n_1 = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -213,7 +233,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in arrays.slices(table.slice(a, b - a).combine_chunks().to_batches(), "text", CHUNK_BYTES):
                 data, offsets = arrays.utf8(batch.column("text"))
                 digests = batch.column("digest").to_pylist()
-                found = _distinct(*code_points(batch.column("text")), _second_half(digests))
+                found = _distinct_of(batch.column("text"), _second_half(digests))
                 raw = np.diff(offsets).tobytes() + data.tobytes()
                 raw = len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
                 row = [[part], [chunk], [names[a]], [batch.column("doc_id").to_pylist()], [digests], [raw], *([c] for c in found[1:])]
@@ -229,6 +249,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = 0
     if held:
         yield from hand_on()
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def _type(history: int, name: str) -> Column:
@@ -309,30 +330,29 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(at.tobytes()), pa.py_buffer(raw[8 * len(ids) :]))
             asked = gram_hashes(*(chunk[name].values.to_numpy() for name in ("pre", "last")))
             mean, spread = _losses(texts, _second_half(digests.to_pylist()), asked, chunk["found"])
-            start = 0
-            for batch in arrays.slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
-                own = slice(start, start + batch.num_rows)
-                start = own.stop
-                counts = base_counts(batch.column("text"))
+            for own, some in _in_slices(texts):
+                counts = base_counts(some)
                 made = [pa.array(counts[c], pa.int64()) for c in _COUNTED]
                 made += [pa.array(base_fails(counts)), pa.array(mean[own]), pa.array(spread[own])]
-                langs = pa.array([chunk["lang"].as_py()] * batch.num_rows, pa.string())
+                langs = pa.array([chunk["lang"].as_py()] * len(some), pa.string())
                 yield pa.RecordBatch.from_arrays([ids[own], langs, digests[own], *made], ["doc_id", "lang", "digest", *_COUNTED, "base_failed", "loss", "own_spread"])
 
 
 def _losses(texts: pa.Array, half: np.ndarray, asked: np.ndarray, found: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     """Mean loss a code point by the other half's model, and the spread that chance gives it, for every text."""
-    points, offsets = code_points(texts)
-    n, sums, squares = np.diff(offsets), np.zeros(len(half)), np.zeros(len(half))
-    if len(points):
+    n, sums, squares = np.zeros(len(half), np.int64), np.zeros(len(half)), np.zeros(len(half))
+    losses = np.zeros((2, len(asked)))
+    if len(asked):
         answers = found.values.flatten()
-        losses = np.zeros((2, len(asked)))
         place = answers[0].to_numpy()
         losses[0, place], losses[1, place] = answers[1].to_numpy(), answers[2].to_numpy()
+    for own, some in _in_slices(texts):
+        points, offsets = code_points(some)
+        n[own] = np.diff(offsets)
         for row, _, _, keys in grams(points, offsets):
-            loss = losses[1 - half[row], places(asked, keys)]
-            sums += np.bincount(row, loss, len(half))
-            squares += np.bincount(row, loss * loss, len(half))
+            loss = losses[1 - half[own][row], places(asked, keys)]
+            sums[own] += np.bincount(row, loss, len(some))
+            squares[own] += np.bincount(row, loss * loss, len(some))
     many = np.maximum(n, 1)
     mean = sums / many
     # Rounded, so that equal texts get equal figures wherever they lie in a chunk.
@@ -353,7 +373,8 @@ def _scored(docs: DataFrame) -> DataFrame:
     whole = chunks.select("part", "chunk", "lang", "ids", "digests", "texts", "pre", "last").join(answers, "part", "left")
     own = F.transform(F.filter("answers", lambda x: x["chunk"] == F.col("chunk")), lambda x: F.struct(x["place"], x["loss_0"], x["loss_1"]))
     whole = whole.select("chunk", "lang", "ids", "digests", "texts", "pre", "last", own.alias("found"))
-    scored = materialized(whole.mapInArrow(_score, _SCORED), "scored")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", 1):  # a chunk is megabytes
+        scored = materialized(whole.mapInArrow(_score, _SCORED), "scored")
     docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     return scored
 

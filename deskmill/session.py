@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,20 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A setting of the session for what is run inside, and then as it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Register a table as a temporary view and return the view's name.
 

@@ -701,3 +701,24 @@ def test_near_dedup_takes_columns_of_any_name(spark):
     frame = frame.selectExpr("*", "'x' AS dropped", "'y' AS Dropped_", "'z' AS _dropped")
     stay = near_dedup.distinct_documents(frame)
     assert stay.columns == frame.columns and sorted(r.doc_id for r in stay.collect()) == [1, 3]
+
+
+def test_code_points_of_a_chunk_are_not_held_all_at_once(monkeypatch):
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("abcdeé ж", k=4000)) for _ in range(700)]
+    digests = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(700)), pa.array(texts), pa.array(["x"] * 700), pa.array(digests)], ["doc_id", "text", "lang", "digest"])
+    whole = quality._distinct(*quality.code_points(batch.column("text")), quality._second_half(digests))
+    made, seen = quality.code_points, []
+    monkeypatch.setattr(quality, "code_points", lambda t: seen.append(len(t)) or made(t))
+    monkeypatch.setattr(quality.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    (chunk,) = quality._pack(iter([batch]))
+    assert max(seen) < 300 and sum(seen) == 700
+    for name, values in zip(("pre", "last", "n_0", "n_1"), whole[1:], strict=True):
+        assert chunk.column(name)[0].values.to_pylist() == values.tolist()
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("loss_0", pa.float32()), ("loss_1", pa.float32())]))
+    found = pa.array([[{"place": i, "loss_0": 1.0, "loss_1": 2.0} for i in range(len(whole[0]))]], kind)[0]
+    seen.clear()
+    half = quality._second_half(digests)
+    mean, spread = quality._losses(batch.column("text"), half, whole[0], found)
+    assert max(seen) < 300 and mean.tolist() == [1.0 if h else 2.0 for h in half] and not spread.any()
