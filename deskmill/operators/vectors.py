@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -276,10 +276,11 @@ def search(
     return _merged(found, k, without_self)
 
 
-def search_self(index: DataFrame, key: str, k: int, **how) -> DataFrame:
-    """The best ``k`` others of every row of an index."""
+def search_self(index: DataFrame, key: str, k: int, asked: Column | None = None, **how) -> DataFrame:
+    """The best ``k`` others among all rows of an index, for every row or those that ``asked`` holds for."""
     corpus = index.select(F.col(key).alias("id"), "vector")
-    queries = index.select(F.col(key).alias("query_id"), "vector")
+    some = index if asked is None else index.filter(asked)
+    queries = some.select(F.col(key).alias("query_id"), "vector")
     return search(corpus, queries, k, without_self=True, **how)
 
 
