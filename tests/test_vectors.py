@@ -209,3 +209,13 @@ def test_the_search_function_embeds_its_term_once(spark):
     text = plan(documents.search_docs_function(spark, "/root/testdata/sf0.001"))
     main = text[: text.index("===== Subqueries =====")]
     assert "md5" not in main and "md5" in text
+
+
+def test_every_hundredth_row_is_asked_for_its_neighbours_among_all(spark):
+    folder = "/root/testdata/sf0.01"
+    ids = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    asked = {i for i in ids if i % 100 == 0}
+    found = documents.vector_topk(spark, folder).collect()
+    assert {r.vec_id for r in found} == asked and {r.neighbour_id for r in found} - asked
+    assert documents.retrieval_hit_rate(spark, folder).agg(F.sum("n_queries")).first()[0] == len(asked)
+    assert {r.vec_id for r in documents.served_index_topk(spark, folder).collect()} == {i for i in asked if i % 7}
