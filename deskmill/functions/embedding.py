@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 from deskmill.functions.text import let, tokens
 
 DIMENSIONS = 64
-TOKENS_AT_ONCE = 4_000_000
+TOKENS_AT_ONCE = 500_000
 
 
 def bucket(token: Column) -> Column:

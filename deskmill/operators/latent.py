@@ -26,6 +26,8 @@ from deskmill.session import materialized
 FEATURES, DIMENSIONS = 2048, 32
 #: Directions beyond those wanted, and passes that sharpen them.
 EXTRA, PASSES = 8, 3
+#: Tokens of texts counted at once; one text stays whole. The arrays made from them take some 60 bytes for each.
+TOKENS = 1 << 19
 #: Rows multiplied at once: a block takes ``FEATURES`` * 8 bytes for each.
 BLOCK = 256
 SEED = 20240611
@@ -50,7 +52,7 @@ def featured(texts: DataFrame, keys: list[str], text: str, features: int = FEATU
 
 def _count(features: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _pieces(whole, "feature")):
             at = batch.schema.get_field_index("feature")
             row, found = _flat(batch.column("feature"))
             cells, times = np.unique(row * features + found, return_counts=True)
@@ -63,6 +65,17 @@ def _count(features: int) -> Callable:
     return run
 
 
+def _pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose lists hold about ``TOKENS`` values."""
+    ends = np.cumsum(batch.column(column).value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + TOKENS, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     return np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from deskmill.operators import latent
@@ -72,3 +73,17 @@ def test_tables_without_rows_or_words(spark):
     vectors = latent.latent_vectors(blank, ["id"], latent.fit(blank, 32, 2))
     assert [r.vector for r in vectors.collect()] == [[0.0, 0.0]] * 3
     assert latent.likeness(vectors.withColumn("g", F.lit(1)), "g", 2).count() == 0
+
+
+def test_tokens_of_a_batch_are_counted_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    texts = [[rng.randrange(16) for _ in range(rng.randrange(40))] for _ in range(200)] + [None, [], [3] * 900]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.list_(pa.int32()))], ["id", "feature"])
+    whole = [r for b in latent._count(16)(iter([batch])) for r in b.to_pylist()]
+    monkeypatch.setattr(latent, "TOKENS", 100, raising=False)
+    flat, seen = latent._flat, []
+    monkeypatch.setattr(latent, "_flat", lambda lists: seen.append(len(lists.flatten())) or flat(lists))
+    assert [r for b in latent._count(16)(iter([batch])) for r in b.to_pylist()] == whole
+    assert sorted(seen)[-1] == 900 and sorted(seen)[-2] <= 100
+    for r, text in zip(whole, texts, strict=True):
+        assert dict(zip(r["feature"], r["times"], strict=True)) == {f: text.count(f) for f in set(text or [])}
