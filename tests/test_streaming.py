@@ -242,3 +242,24 @@ def test_refresh_after_compaction_keeps_the_index_and_takes_keys_out(spark, fold
     index = refresh(spark, f"{folder}/later", f"{folder}/compact", f"{folder}/c2", data.schema)
     final = spark.createDataFrame([(1, "a b"), (3, "d"), (4, "e")], "id long, text string")
     assert rows(index) == rows(vectors.build_index(final, ["id"], "text"))
+
+
+def test_more_splits_are_dealt_into_more_files(spark, monkeypatch):
+    from deskmill.plans import documents
+
+    made, scratch = [], documents.scratch
+    monkeypatch.setattr(documents, "scratch", lambda spark, name: made.append(scratch(spark, name)) or made[-1])
+    key = "spark.sql.files.maxPartitionBytes"
+    want = sorted(map(tuple, documents.stream_triggered_index(spark, "/root/testdata/sf0.001").collect()))
+    few = made[0]
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(16 << 10))
+    try:
+        splits = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").rdd.getNumPartitions()
+        made.clear()
+        got = documents.stream_triggered_index(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(map(tuple, got)) == want
+    files = [len(spark.read.parquet(inbox).inputFiles()) for inbox in (few, made[0])]
+    assert files[0] <= 6 and splits > 4 and files[1] > 2 * splits
