@@ -45,13 +45,16 @@ OWN = 1.5
 ORDER, BITS = 4, 21
 #: Bytes of text of a chunk, and bytes a task sorts by language before it cuts them; one text stays whole.
 CHUNK_BYTES, HELD_BYTES = 8 << 20, 48 << 20
-#: Code points whose grams are handled at once.
-BLOCK = 1 << 18
+#: Code points whose grams are handled at once, and bytes of text.
+BLOCK, SLICE_BYTES = 1 << 17, 1 << 18
 #: How hard a chunk's texts are compressed, which are written once.
 LEVEL = 4
 #: Buckets that Spark allows by default.
 MOST_BUCKETS = 100_000
 
+#: Rows that Spark hands to Python at once, which it holds on both sides.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 SYMBOLS = arrays.byte_table("#*$%&|<>")
 
 _CHUNKS = (
@@ -157,9 +160,9 @@ def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _in_slices(texts: pa.Array) -> Iterator[tuple[slice, pa.Array]]:
-    """The texts, about a megabyte at a time, and which of them these are."""
+    """The texts, ``SLICE_BYTES`` or one text at a time, and which of them these are."""
     start = 0
-    for batch in arrays.slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
+    for batch in arrays.slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text", SLICE_BYTES):
         yield slice(start, start + batch.num_rows), batch.column("text")
         start += batch.num_rows
 
@@ -236,6 +239,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = _distinct_of(batch.column("text"), _second_half(digests))
                 raw = np.diff(offsets).tobytes() + data.tobytes()
                 raw = len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
+                del data, offsets
                 row = [[part], [chunk], [names[a]], [batch.column("doc_id").to_pylist()], [digests], [raw], *([c] for c in found[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK_FIELDS, strict=True)], schema=_CHUNK_FIELDS)
                 chunk += 1
@@ -246,6 +250,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += batch.nbytes
         if size > HELD_BYTES:
             yield from hand_on()
+            pa.default_memory_pool().release_unused()
             size = 0
     if held:
         yield from hand_on()
@@ -323,11 +328,11 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(several.num_rows):
             chunk = {name: several.column(name)[i] for name in several.schema.names}
             ids, digests = chunk["ids"].values, chunk["digests"].values
-            raw = chunk["texts"].as_py()
-            raw = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+            raw = chunk["texts"].as_buffer()
+            raw = pa.decompress(raw.slice(8), int.from_bytes(raw.slice(0, 8).to_pybytes(), "little"), codec="zstd")
             at = np.zeros(len(ids) + 1, np.int64)
             np.cumsum(np.frombuffer(raw, np.int64, len(ids)), out=at[1:])
-            texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(at.tobytes()), pa.py_buffer(raw[8 * len(ids) :]))
+            texts = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(at.tobytes()), raw.slice(8 * len(ids)))
             asked = gram_hashes(*(chunk[name].values.to_numpy() for name in ("pre", "last")))
             mean, spread = _losses(texts, _second_half(digests.to_pylist()), asked, chunk["found"])
             for own, some in _in_slices(texts):
@@ -336,6 +341,7 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 made += [pa.array(base_fails(counts)), pa.array(mean[own]), pa.array(spread[own])]
                 langs = pa.array([chunk["lang"].as_py()] * len(some), pa.string())
                 yield pa.RecordBatch.from_arrays([ids[own], langs, digests[own], *made], ["doc_id", "lang", "digest", *_COUNTED, "base_failed", "loss", "own_spread"])
+            pa.default_memory_pool().release_unused()
 
 
 def _losses(texts: pa.Array, half: np.ndarray, asked: np.ndarray, found: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
@@ -366,14 +372,15 @@ _LANG = "coalesce(cast(lang AS string), '')"
 def _scored(docs: DataFrame) -> DataFrame:
     """Counts, loss and chance spread of every row, written once."""
     plain = docs.selectExpr("cast(doc_id AS long) AS doc_id", "cast(text AS string) AS text", f"{_LANG} AS lang", f"{_DIGEST} AS digest")
-    chunks, name = _bucketed(plain.mapInArrow(_pack, _CHUNKS), "part", "chunks")
+    with setting(docs.sparkSession, _BATCH, 1000):
+        chunks, name = _bucketed(plain.mapInArrow(_pack, _CHUNKS), "part", "chunks")
     asked = chunks.select("part", "chunk", "lang", F.posexplode(F.arrays_zip("pre", "last")).alias("place", "gram"))
     asked = asked.select("part", "chunk", "place", F.xxhash64("lang", "gram.pre", "gram.last").alias("key"))
     answers = asked.join(_model(chunks), "key").groupBy("part").agg(F.collect_list(F.struct("chunk", "place", "loss_0", "loss_1")).alias("answers"))
     whole = chunks.select("part", "chunk", "lang", "ids", "digests", "texts", "pre", "last").join(answers, "part", "left")
     own = F.transform(F.filter("answers", lambda x: x["chunk"] == F.col("chunk")), lambda x: F.struct(x["place"], x["loss_0"], x["loss_1"]))
     whole = whole.select("chunk", "lang", "ids", "digests", "texts", "pre", "last", own.alias("found"))
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", 1):  # a chunk is megabytes
+    with setting(docs.sparkSession, _BATCH, 1):  # a chunk is megabytes
         scored = materialized(whole.mapInArrow(_score, _SCORED), "scored")
     docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     return scored
