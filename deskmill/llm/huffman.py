@@ -30,15 +30,16 @@ from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
 from deskmill.llm.tokens import encoder
-from deskmill.session import scratch
+from deskmill.session import materialized, scratch
 
 #: Longest code in bits; the decoding table has 2**LIMIT entries.
 LIMIT = 16
 #: Tokens between checkpoints.
 STRIDE = 256
-#: Text bytes of a block, about; a longer document is a block of its own.
-BLOCK_BYTES = 1 << 20
+#: Bytes of plain ids of a block, about; a longer document is a block of its own.
+BLOCK_BYTES = 1 << 19
 
+_PLAIN = "doc_id long, ids binary"
 _BLOCKS = "part int, block int, first long, doc_ids array<long>, counts array<long>, n_bits long, checkpoints array<long>, payload binary"
 _FOUND = "part int, doc_id long, before long, n_tokens long, ids_crc32 long"
 
@@ -144,13 +145,40 @@ def decode_bits(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np
 # -- Spark ------------------------------------------------------------------------------------
 
 
+def _plain_type(path: str, end_id: int) -> np.dtype:
+    """The narrowest type that holds all ids."""
+    return np.dtype("<u2" if max(encoder(path).whole.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+
+
+def _encode(path: str, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _plain_type(path, end_id)
+        for batch in arrays.slices(batches, "text"):
+            ids, ends = encoder(path).encode(batch.column("text"))
+            plain = np.insert(ids, ends[1:], end_id).astype(kind)
+            offsets = ((ends + np.arange(len(ends))) * kind.itemsize).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(plain)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", "ids"])
+
+    return run
+
+
+def _plain(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows one after the other, and how many each row has."""
+    column = column.cast(pa.large_binary())
+    _, where, data = column.buffers()
+    offsets = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
+    counts = np.diff(offsets) // kind.itemsize
+    return np.frombuffer(data, kind, int(counts.sum()), int(offsets[0])), counts
+
+
 def _count(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _plain_type(path, end_id)
         total = np.zeros(0, np.int64)
-        for batch in arrays.slices(batches, "text"):
-            ids, _ = encoder(path).encode(batch.column("text"))
-            found = np.bincount(ids, minlength=max(len(total), end_id + 1))
-            found[end_id] += batch.num_rows
+        for batch in arrays.slices(batches, "ids"):
+            ids, _ = _plain(batch.column("ids"), kind)
+            found = np.bincount(ids, minlength=len(total))
             found[: len(total)] += total
             total = found
         there = np.flatnonzero(total)
@@ -161,14 +189,13 @@ def _count(path: str, end_id: int):
 
 def _write(path: str, end_id: int, lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = lengths.value
+        kind, sizes = _plain_type(path, end_id), lengths.value
         codes = canonical(sizes)
         part, block, first = TaskContext.get().partitionId(), 0, 0
-        for batch in arrays.slices(batches, "text", BLOCK_BYTES):
-            ids, ends = encoder(path).encode(batch.column("text"))
-            ids = np.insert(ids, ends[1:], end_id)
+        for batch in arrays.slices(batches, "ids", BLOCK_BYTES):
+            ids, counts = _plain(batch.column("ids"), kind)
             payload, n_bits, points = encode_bits(ids, codes, sizes)
-            row = [[part], [block], [first], [batch.column("doc_id").to_pylist()], [np.diff(ends) + 1], [n_bits], [points], [payload]]
+            row = [[part], [block], [first], [batch.column("doc_id").to_pylist()], [counts], [n_bits], [points], [payload]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             names = ["part", "block", "first", "doc_ids", "counts", "n_bits", "checkpoints", "payload"]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names)
@@ -203,10 +230,14 @@ def _book(spark: SparkSession, folder: str) -> np.ndarray:
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, limit: int = LIMIT) -> None:
-    """Write the ids of ``docs(doc_id, text)``, an end id after each document, to ``folder``."""
+    """Write the ids of ``docs(doc_id, text)``, an end id after each document, to ``folder``.
+
+    A text is read and encoded once; its plain ids, which are less than the text, are counted, ordered and coded.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = docs.select("text").mapInArrow(_count(tokenizer, end_id), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    plain = materialized(docs.mapInArrow(_encode(tokenizer, end_id), _PLAIN), "plain-ids")
+    found = plain.select("ids").mapInArrow(_count(tokenizer, end_id), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["token"] for r in found), default=0) + 1, np.int64)  # bounded by the vocabulary
     for r in found:
         counts[r["token"]] = r["n"]
@@ -214,7 +245,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
     book = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "token long, bits int").coalesce(1).write.parquet(f"{folder}/book")
     shared = spark.sparkContext.broadcast(lengths)
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = plain.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(_write(tokenizer, end_id, shared), _BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 

@@ -230,6 +230,24 @@ def test_token_files_give_back_every_document(spark, odd, nothing, tokenizer):
     assert huffman.round_trip(nothing, tokenizer).count() == 0
 
 
+def test_token_files_read_each_text_once(spark, odd, tokenizer):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    texts = odd.repartition(3).select("doc_id", F.udf(seen, "string")("text").alias("text"))
+    assert huffman.round_trip(texts, tokenizer).count() == odd.count() == read.value
+
+
+def test_ids_beyond_two_bytes_come_back(spark, odd, tokenizer):
+    got = huffman.round_trip(odd, tokenizer, end_id=70_000)
+    ids = [np.append(own[:-1], np.uint32(70_000)).astype("<u4") for own in plain_ids(tokenizer, odd_rows())]
+    wanted = collections.Counter((d, len(own), zlib.crc32(own.tobytes())) for (d, *_), own in zip(odd_rows(), ids, strict=True))
+    assert wanted == collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got.collect())
+
+
 # -- decontamination --------------------------------------------------------------------------
 
 
