@@ -27,6 +27,7 @@ BROADCAST_BYTES = 16 << 20  # of query vectors in doubles; with copies a task ta
 BLOCK_BYTES = 64 << 20  # of the vectors of a block
 MERGE_SALTS = 8
 CELLS = 4_000_000  # cosines held at once by one task, 16 MB
+ROWS = 8192  # vectors that all queries meet before the best so far are ranked anew
 PAIRS = 50_000
 
 
@@ -96,9 +97,11 @@ def _units(matrix: np.ndarray, norms: np.ndarray) -> np.ndarray:
     return (matrix / np.where(norms > 0, norms, 1.0)[:, None]).astype(np.float32)
 
 
-def _cosines(queries: np.ndarray, q_norms: np.ndarray, vectors: np.ndarray, q: np.ndarray, d: np.ndarray) -> np.ndarray:
+def _cosines(
+    queries: np.ndarray, q_norms: np.ndarray, vectors: np.ndarray, q: np.ndarray, d: np.ndarray, d_norms: np.ndarray | None = None
+) -> np.ndarray:
     """Rounded cosines of the pairs ``(q[i], d[i])``, computed in double."""
-    d_norms = _norms(vectors)
+    d_norms = _norms(vectors) if d_norms is None else d_norms
     out = np.zeros(len(q))
     for at in range(0, len(q), PAIRS):
         i, j = q[at : at + PAIRS], d[at : at + PAIRS]
@@ -108,33 +111,55 @@ def _cosines(queries: np.ndarray, q_norms: np.ndarray, vectors: np.ndarray, q: n
     return np.round(out, DIGITS) + 0.0  # a negative zero would print differently
 
 
+def _first_k(q: np.ndarray, cosine: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+    """Where the first ``k`` pairs of every query are, by cosine and then position ``d``."""
+    order = np.lexsort((d, -cosine, q))
+    q = q[order]
+    return order[np.arange(len(q)) - np.searchsorted(q, q, side="left") < k]
+
+
+def _near(units: np.ndarray, vectors: np.ndarray, floor: np.ndarray, margin: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a vector, both as units, that may be among the query's best ``k``."""
+    about = units @ vectors.T
+    near = about >= (floor - margin).astype(np.float32)[:, None]
+    if len(vectors) > k and np.count_nonzero(near) > 8 * k * len(units):
+        kth = np.partition(about, -k, axis=1)[:, -k]
+        near &= about >= (kth - 2 * margin)[:, None]
+    return np.divmod(np.flatnonzero(near), len(vectors))
+
+
 def _scan(queries: np.ndarray, batches: Iterable[pa.RecordBatch | pa.Table], k: int) -> pa.Table | None:
     """The best ``k`` ids per query row over a stream of ``(id, vector)`` batches.
 
     Cosines in single precision tell which vectors may reach a query's current best ``k``.
     The margin is wider than their error and that of rounding, so none is missed; those
-    that may are computed in double. Memory holds ``CELLS`` cosines and the best so far,
-    whatever the stream's length.
+    that may are computed in double. ``ROWS`` vectors meet all queries, some queries at a
+    time, before the best of those queries that found any are ranked anew: ranking grows with
+    the queries and with the vectors, not with their product. Memory holds ``CELLS``
+    cosines, ``k`` finds per query and the best so far, whatever the stream's length.
     """
     norms = _norms(queries)
     units = _units(queries, norms)
     margin = (queries.shape[1] + 8) * 2.0**-23 + 10.0**-DIGITS
-    step = max(1, CELLS // max(1, len(queries)))
     best: pa.Table | None = None
     floor = np.full(len(queries), -np.inf)
     for batch in batches:
-        for at in range(0, batch.num_rows, step):
-            piece = batch.slice(at, step)
+        for at in range(0, batch.num_rows, ROWS):
+            piece = batch.slice(at, ROWS)
+            piece = piece.take(pc.sort_indices(piece.column("id")))  # among equals the lower position comes first
             vectors = _matrix(piece.column("vector"))
-            about = units @ _units(vectors, _norms(vectors)).T
-            near = about >= (floor - margin).astype(np.float32)[:, None]
-            if piece.num_rows > k and np.count_nonzero(near) > 8 * k * len(queries):
-                kth = np.partition(about, -k, axis=1)[:, -k]
-                near &= about >= (kth - 2 * margin)[:, None]
-            q, d = np.nonzero(near)
-            cosine = _cosines(queries, norms, vectors, q, d)
-            good = cosine >= floor[q]
-            q, d, cosine = q[good], d[good], cosine[good]
+            d_norms = _norms(vectors)
+            held = _units(vectors, d_norms)
+            tile = max(1, CELLS // piece.num_rows)
+            finds = []
+            for first in range(0, len(queries), tile):
+                some = slice(first, first + tile)
+                q, d = _near(units[some], held, floor[some], margin, k)
+                cosine = _cosines(queries[some], norms[some], vectors, q, d, d_norms)
+                good = np.flatnonzero(cosine >= floor[some][q])
+                good = good[_first_k(q[good], cosine[good], d[good], k)]
+                finds.append((q[good] + first, d[good], cosine[good]))
+            q, d, cosine = (np.concatenate(x) for x in zip(*finds, strict=True))
             if not len(q):
                 continue
             found = pa.table(
@@ -144,11 +169,19 @@ def _scan(queries: np.ndarray, batches: Iterable[pa.RecordBatch | pa.Table], k:
                     "similarity": pa.array(cosine),
                 }
             )
-            best = _ranked(found if best is None else pa.concat_tables([best, found]), k)
-            rows = best["q"].to_numpy()
+            kept = None
+            if best is not None:
+                moved = np.zeros(len(queries), bool)
+                moved[q] = True
+                moved = moved[best["q"].to_numpy()]
+                kept = best.filter(pa.array(~moved))
+                found = pa.concat_tables([best.filter(pa.array(moved)), found])
+            found = _ranked(found, k)
+            rows = found["q"].to_numpy()
             last = np.flatnonzero(np.append(rows[1:] != rows[:-1], True))
             full = np.bincount(rows, minlength=len(queries))[rows[last]] >= k
-            floor[rows[last][full]] = best["similarity"].to_numpy()[last][full]
+            floor[rows[last][full]] = found["similarity"].to_numpy()[last][full]
+            best = found if kept is None else pa.concat_tables([kept, found]).combine_chunks()
     return best
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -53,6 +54,31 @@ def test_vectors_closer_than_single_precision_tells(spark, how):
     assert rows(got) == sorted(brute_force(close, close, 9))
 
 
+def test_ranking_does_not_grow_with_queries_times_vectors(monkeypatch):
+    rng = np.random.default_rng(11)
+    held, asked, k = rng.normal(size=(12_000, 8)), rng.normal(size=(3_000, 8)), 5
+    held[5_000:5_400] = held[3]
+    asked[7] = held[3]
+    ids = rng.permutation(len(held))
+    ranked, sizes = vectors._ranked, []
+
+    def counted(table, n):
+        sizes.append(table.num_rows)
+        return ranked(table, n)
+
+    monkeypatch.setattr(vectors, "CELLS", 60_000)
+    monkeypatch.setattr(vectors, "_ranked", counted)
+    held_as = pa.array(held.tolist(), pa.list_(pa.float64()))
+    batches = pa.table({"id": pa.array(ids), "vector": held_as}).to_batches(max_chunksize=5_000)
+    best = vectors._scan(asked, batches, k)
+    assert sum(sizes) < 10 * k * len(asked)  # 9 million with one ranking for each CELLS
+    got = sorted(zip(*(best[c].to_pylist() for c in ("q", "similarity", "id")), strict=True), key=lambda r: (r[0], -r[1], r[2]))
+    cosine = asked @ held.T / np.linalg.norm(asked, axis=1)[:, None] / np.linalg.norm(held, axis=1)
+    for q in [7, *range(0, 3_000, 250)]:
+        wanted = sorted(zip(-np.round(cosine[q], 6), ids, strict=True))[:k]
+        assert [(i, s) for _, s, i in got[q * k : q * k + k]] == [(i, -s) for s, i in wanted]
+
+
 def test_fewer_vectors_than_wanted(spark, data):
     got = vectors.search(frame(spark, data[:3], "id"), frame(spark, data[:2], "query_id"), 10)
     assert rows(got) == sorted(brute_force(data[:3], data[:2], 10))
