@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from deskmill.llm import arrays
 from deskmill.llm.tokens import encoder
-from deskmill.session import materialized, scratch
+from deskmill.session import scratch
 
 #: Longest code in bits; the decoding table has 2**LIMIT entries.
 LIMIT = 16
@@ -236,7 +236,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    plain = materialized(docs.mapInArrow(_encode(tokenizer, end_id), _PLAIN), "plain-ids")
+    held = scratch(spark, "plain-ids")
+    docs.mapInArrow(_encode(tokenizer, end_id), _PLAIN).write.option("compression", "zstd").parquet(held)
+    plain = spark.read.schema(_PLAIN).parquet(held)
     found = plain.select("ids").mapInArrow(_count(tokenizer, end_id), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["token"] for r in found), default=0) + 1, np.int64)  # bounded by the vocabulary
     for r in found:
