@@ -273,8 +273,7 @@ def test_every_row_of_a_changed_index_is_asked(spark, own_embeddings):
     assert canonical(got).equals(by_sql("served_index_topk", own_embeddings))
 
 
-def test_every_hundredth_row_is_asked_for_its_neighbours_among_all(spark):
-    folder = "/root/testdata/sf0.01"
-    ids = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
-    asked = {i for i in ids if i % 100 == 0}
-    assert documents.retrieval_hit_rate(spark, folder).agg(F.sum("n_queries")).first()[0] == len(asked)
+def test_the_hit_rate_is_of_every_row(spark, own_embeddings):
+    got = documents.retrieval_hit_rate(spark, own_embeddings).toPandas()
+    assert dict(zip(got["label"], got["n_queries"], strict=True)) == {0: 15, 1: 15, 2: 15}
+    assert canonical(got).equals(by_sql("retrieval_hit_rate", own_embeddings))
