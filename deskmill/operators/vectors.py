@@ -25,6 +25,7 @@ from deskmill.session import materialized
 DIGITS = 6
 BROADCAST_BYTES = 16 << 20  # of query vectors in doubles; with copies a task takes twice that
 BLOCK_BYTES = 64 << 20  # of the vectors of a block
+BLOCK_ROWS = 4096  # a block is not made smaller than this to keep more cores busy
 MERGE_SALTS = 8
 CELLS = 4_000_000  # cosines held at once by one task, 16 MB
 ROWS = 8192  # vectors that all queries meet before the best so far are ranked anew
@@ -225,16 +226,27 @@ def _search_by_broadcast(corpus: DataFrame, queries: DataFrame, k: int) -> DataF
     return corpus.select("id", "vector").mapInArrow(best_of_task, schema)
 
 
+def _blocks(n_queries: int, n_vectors: int, block: int, tasks: int) -> tuple[int, int]:
+    """Into how many blocks queries and vectors are cut: of ``block`` rows at most, and enough for ``tasks`` if rows suffice."""
+    q_blocks, d_blocks = max(1, math.ceil(n_queries / block)), max(1, math.ceil(n_vectors / block))
+    while q_blocks * d_blocks < tasks and max(n_queries / q_blocks, n_vectors / d_blocks) >= 2 * BLOCK_ROWS:
+        if n_queries / q_blocks >= n_vectors / d_blocks:
+            q_blocks += 1
+        else:
+            d_blocks += 1
+    return q_blocks, d_blocks
+
+
 def _search_by_blocks(corpus: DataFrame, queries: DataFrame, k: int, n_queries: int, n_vectors: int, block: int) -> DataFrame:
     """Meet blocks of queries and blocks of vectors in tasks of a fixed size.
 
-    Every task holds ``block`` queries and as many vectors and returns ``k`` rows per
+    Every task holds ``block`` queries and as many vectors at most and returns ``k`` rows per
     query; no pair of a query and a vector leaves a task. Blocks are cut by a hash of the
     id, so copies of one vector are dealt out evenly.
     """
     schema = _result_schema(queries, corpus)
-    q_blocks = max(1, math.ceil(n_queries / block))
-    d_blocks = max(1, math.ceil(n_vectors / block))
+    tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
+    q_blocks, d_blocks = _blocks(n_queries, n_vectors, block, tasks)
 
     def cut(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         numbered = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)))

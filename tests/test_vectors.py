@@ -277,3 +277,9 @@ def test_the_hit_rate_is_of_every_row(spark, own_embeddings):
     got = documents.retrieval_hit_rate(spark, own_embeddings).toPandas()
     assert dict(zip(got["label"], got["n_queries"], strict=True)) == {0: 15, 1: 15, 2: 15}
     assert canonical(got).equals(by_sql("retrieval_hit_rate", own_embeddings))
+
+
+def test_blocks_are_as_small_as_keeps_the_cores_busy():
+    assert vectors._blocks(51_282, 51_282, 131_072, 12) == (4, 3)  # one task before
+    assert vectors._blocks(1_000_000, 500_000, 131_072, 12) == (8, 4)
+    assert vectors._blocks(500, 3_000, 131_072, 16) == (1, 1)
