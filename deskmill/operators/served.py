@@ -22,17 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from deskmill.operators.skew import top_per_key
 from deskmill.operators.vectors import (
     BLOCK_BYTES,
     BROADCAST_BYTES,
     CELLS,
+    DIGITS,
     MERGE_SALTS,
+    _blocks,
     _cosines,
+    _first_k,
     _matrix,
     _merged,
     _norms,
@@ -54,6 +58,9 @@ FILE_ROWS = 500_000
 #: Ids of a shortlist that are given to the reader as a filter.
 FEW_IDS = 1000
 
+#: Bytes of a row of a shortlist, and rows that wait before they are ranked.
+SHORT_BYTES, RANKED = 32, 100_000
+
 #: Changes that bring a row; the others only take rows out.
 PUT = ("insert", "update_postimage")
 
@@ -351,6 +358,7 @@ class _Best:
         self.units, self.model, self.k = units.astype(np.float32), model, k
         self.floor = np.full(len(units), -np.inf, np.float32)
         self.table: pa.Table | None = None
+        self.waiting: list[pa.Table] = []
 
     def add(self, cell: int, asked: np.ndarray, rows: pa.RecordBatch | pa.Table) -> None:
         """Rows ``id, codes`` of one cell, for the queries ``asked``."""
@@ -375,12 +383,21 @@ class _Best:
                     "similarity": pa.array(score[q, d].astype(np.float64)),
                 }
             )
-            best = self.table = _ranked(found if self.table is None else pa.concat_tables([self.table, found]), self.k)
-            held = best["q"].to_numpy()
-            last = np.flatnonzero(np.append(held[1:] != held[:-1], True))
-            full = np.bincount(held, minlength=len(self.floor))[held[last]] >= self.k
-            self.floor[held[last][full]] = best["similarity"].to_numpy()[last][full]
-
+            self.waiting.append(found)
+            # Ranked anew once as many wait as are held, not for every cell.
+            if sum(t.num_rows for t in self.waiting) > max(RANKED, 0 if self.table is None else self.table.num_rows):
+                self.settle()
+
+    def settle(self) -> None:
+        """Ranks what waits among the best so far."""
+        if not self.waiting:
+            return
+        best = self.table = _ranked(pa.concat_tables([*([] if self.table is None else [self.table]), *self.waiting]), self.k)
+        self.waiting = []
+        held = best["q"].to_numpy()
+        last = np.flatnonzero(np.append(held[1:] != held[:-1], True))
+        full = np.bincount(held, minlength=len(self.floor))[held[last]] >= self.k
+        self.floor[held[last][full]] = best["similarity"].to_numpy()[last][full]
 
 
 def _found(best: _Best, query_ids: pa.Array) -> pa.Table:
@@ -409,6 +426,7 @@ def _probed_by_broadcast(index: Served, queries: DataFrame, probes: int, shortli
             edges = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else []
             for begin, end in zip(edges, [*edges[1:], len(cell)]):
                 best.add(int(cell[begin]), wanted[int(cell[begin])], batch.slice(begin, end - begin))
+        best.settle()
         if best.table is not None:
             yield from _found(best, query_ids).to_batches()
 
@@ -416,43 +434,180 @@ def _probed_by_broadcast(index: Served, queries: DataFrame, probes: int, shortli
     return held.mapInArrow(best_of_task, _about_schema(queries, held)), list(by_cell)
 
 
-def _probed_by_cells(index: Served, queries: DataFrame, probes: int, shortlist: int, block: int) -> tuple[DataFrame, list[int]]:
-    """Queries and codes meet by cell, in blocks of fixed size; ``shortlist`` rows a query leave a task."""
-    shared = index.spark.sparkContext.broadcast(index.model)
+def _groups(cells: dict[int, int], n_centres: int, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Neighbouring cells put into groups of about ``size`` rows; a larger cell is cut over several groups of its own.
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    For each cell its first group (-1: not held) and into how many groups it is cut, and how many groups there are.
+    """
+    first, pieces = np.full(n_centres, -1, np.int64), np.ones(n_centres, np.int64)
+    group, room = -1, 0
+    for cell, n in sorted(cells.items()):
+        if n > size:
+            first[cell], pieces[cell] = group + 1, math.ceil(n / size)
+            group, room = group + pieces[cell], 0
+            continue
+        if n > room:
+            group, room = group + 1, size
+        first[cell], room = group, room - n
+    return first, pieces, int(group) + 1
+
+
+def _probed(index: Served, queries: DataFrame, probes: int) -> list[int]:
+    """The held cells that any of the queries probes."""
+    if probes >= len(index.model.centres):
+        return sorted(index.cells)
+    shared = index.spark.sparkContext.broadcast(index.model.centres)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = _cells_of(_unit_rows(_matrix(batch.column("asked"))), shared.value.centres, probes)
-            row = pa.array(np.repeat(np.arange(batch.num_rows), probes))
-            yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), *batch.select(["query_id", "asked"]).take(row).columns], ["cell", "query_id", "asked"])
-
-    schema = StructType([StructField("cell", IntegerType()), queries.schema["query_id"], queries.schema["asked"]])
-    left = materialized(queries.select("query_id", "asked").mapInArrow(probe, schema), "probes")
-    asked = materialized(left.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("nq")), "asked")
-    cells = [r["cell"] for r in asked.select("cell").collect()]  # at most MOST_CELLS
-    counts = [(c, math.ceil(index.cells[c][1] / block)) for c in cells if c in index.cells]
-    sizes = materialized(asked.join(index.spark.createDataFrame(counts, "cell int, nd long"), "cell"), "sizes")
-
-    def cut(df: DataFrame, key: str, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
-        every = F.sequence(F.lit(0).cast("bigint"), F.col(n_other) - 1)
-        numbered = df.join(sizes, "cell").withColumn(own, F.pmod(F.xxhash64(key), F.col(n_own)))
-        return numbered.withColumn(other, F.explode(every)).drop("nq", "nd")
-
-    held = index.rows(cells).select("cell", "id", "codes")
-    out = _about_schema(queries, held)
-    empty = pa.table({"query_id": left.select("query_id").limit(0).toArrow()["query_id"], "cell": pa.array([], pa.int32()), "id": held.select("id").limit(0).toArrow()["id"], "similarity": pa.array([], pa.float64())})
+            cell = np.unique(_cells_of(_unit_rows(_matrix(batch.column("asked"))), shared.value, probes))
+            yield pa.RecordBatch.from_arrays([pa.array(cell)], ["cell"])
+
+    found = queries.select("asked").mapInArrow(near, "cell int").distinct().collect()  # at most MOST_CELLS
+    return sorted(r["cell"] for r in found if r["cell"] in index.cells)
+
+
+def _probed_by_blocks(index: Served, queries: DataFrame, n_queries: int, k: int, probes: int, shortlist: int, block: int) -> DataFrame:
+    """Blocks of queries meet groups of the cells that they probe, in tasks of a fixed size.
+
+    Codes travel with their vectors here: nearly every vector is in some query's shortlist. A task makes a
+    shortlist for each query by the codes, takes exact cosines, and returns ``k`` rows a query, the best of the
+    probed cells; no shortlist leaves it. Which cells of a group a query probes is a bit for each cell.
+    """
+    spark, centres = index.spark, index.model.centres
+    cells = _probed(index, queries, probes)
+    if not cells:
+        return spark.createDataFrame([], _result_schema(queries, index.rows()))
+    sizes = {cell: index.cells[cell][1] for cell in cells}
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    q_blocks, d_blocks = _blocks(n_queries, sum(sizes.values()), block, tasks)
+    first, pieces, n_groups = _groups(sizes, len(centres), min(block, math.ceil(sum(sizes.values()) / d_blocks)))
+    # Cells of a group: from ``begin[group]`` up to ``end[group]``, all held ones of them.
+    held_cells = np.flatnonzero(first >= 0)
+    begin, end = np.full(n_groups, len(centres), np.int64), np.zeros(n_groups, np.int64)
+    for cell in held_cells:
+        some = slice(first[cell], first[cell] + pieces[cell])
+        begin[some], end[some] = np.minimum(begin[some], cell), cell + 1
+    shared = spark.sparkContext.broadcast((index.model, begin, end))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, begins, ends = shared.value
+        step = max(1, CELLS // len(model.centres))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                near = _cells_of(_unit_rows(_matrix(batch.column("asked"))), model.centres, probes)
+                member = np.zeros((batch.num_rows, len(model.centres)), bool)
+                np.put_along_axis(member, near.astype(np.int64), True, axis=1)
+                groups, at_rows, bits = [], [], []
+                for group, (low, high) in enumerate(zip(begins, ends, strict=True)):
+                    some = member[:, low:high]
+                    hit = np.flatnonzero(some.any(1))
+                    groups.append(np.full(len(hit), group))
+                    at_rows.append(hit)
+                    bits += [row.tobytes() for row in np.packbits(some[hit], axis=1)]
+                row = pa.array(np.concatenate(at_rows))
+                columns = [pa.array(np.concatenate(groups)), pa.array(bits, pa.binary()), *batch.select(["query_id", "asked"]).take(row).columns]
+                yield pa.RecordBatch.from_arrays(columns, ["db", "cells", "query_id", "asked"])
+
+    schema = StructType([StructField("db", LongType()), StructField("cells", BinaryType()), queries.schema["query_id"], queries.schema["asked"]])
+    left = queries.select("query_id", "asked").mapInArrow(probe, schema).withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
+    placed = [(int(c), int(first[c]), int(pieces[c])) for c in held_cells]  # at most MOST_CELLS
+    places = materialized(spark.createDataFrame(_columns(placed, ["cell", "first", "pieces"], [pa.int32(), pa.int64(), pa.int64()])), "places")
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(q_blocks - 1).cast("bigint"))
+    right = (
+        index.rows(cells).join(places, "cell").withColumn("db", F.col("first") + F.pmod(F.xxhash64("id"), F.col("pieces")))
+        .select("db", "cell", "id", "codes", "vector").withColumn("qb", F.explode(every))
+    )
+    out = _result_schema(queries, right)
+    empty = pa.table({"query_id": queries.select("query_id").limit(0).toArrow()["query_id"], "id": right.select("id").limit(0).toArrow()["id"], "similarity": pa.array([], pa.float64())})
 
     def best_of_group(some: pa.Table, rows: pa.Table) -> pa.Table:
         if not some.num_rows or not rows.num_rows:
             return empty
-        best = _Best(_unit_rows(_matrix(some["asked"])), shared.value, shortlist)
-        best.add(some["cell"][0].as_py(), np.arange(some.num_rows), rows.combine_chunks())
-        return _found(best, some["query_id"].combine_chunks())
-
-    keys = ["cell", "qb", "db"]
-    grouped = cut(left, "query_id", "qb", "nq", "db", "nd").groupBy(*keys)
-    found = grouped.cogroup(cut(held, "id", "db", "nd", "qb", "nq").groupBy(*keys)).applyInArrow(best_of_group, out)
-    return found, cells
+        model, begins, ends = shared.value
+        group = some["db"][0].as_py()
+        asked = _matrix(some["asked"])
+        packed = np.frombuffer(b"".join(some["cells"].to_pylist()), np.uint8).reshape(len(asked), -1)
+        member = np.unpackbits(packed, axis=1, count=int(ends[group] - begins[group])).astype(bool)
+        rows = rows.sort_by([("cell", "ascending"), ("id", "ascending")]).combine_chunks()
+        q, d, cosine = _best_of_block(model, asked, member, rows, int(begins[group]), k, shortlist)
+        return pa.table({"query_id": some["query_id"].combine_chunks().take(pa.array(q)), "id": rows["id"].take(pa.array(d)), "similarity": pa.array(cosine)})
+
+    return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(best_of_group, out)
+
+
+def _best_of_block(
+    model: Model, asked: np.ndarray, member: np.ndarray, rows: pa.Table, begin: int, k: int, shortlist: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``k`` of ``rows``, sorted by cell, for each query: the query's row, the row and the exact cosine.
+
+    ``member`` says which cells, from ``begin`` on, a query probes. Queries of near cells come together, a few at
+    a time, and meet the cells that any of them probes. The ``k``-th best of the shortlist is a floor: rows that
+    the codes put too low, but whose cosine in single precision may reach it, are taken in, so that none is missed.
+    """
+    held, ids = _matrix(rows["vector"]), rows["id"].combine_chunks()
+    cell = rows["cell"].to_numpy() - begin
+    by_id = np.empty(len(held), np.int64)
+    by_id[pc.sort_indices(ids).to_numpy()] = np.arange(len(held))
+    codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(held), -1)
+    about = np.concatenate([model.words[p].astype(np.float32)[codes[:, p]] for p in range(codes.shape[1])], axis=1)
+    about += model.centres.astype(np.float32)[cell + begin]
+    norms, held_norms = _norms(asked), _norms(held)
+    units, held_units = _unit_rows(asked).astype(np.float32), _unit_rows(held).astype(np.float32)
+    margin = (held.shape[1] + 8) * 2.0**-23 + 10.0**-DIGITS
+    # Queries whose first probed cells agree probe much the same cells.
+    order = np.lexsort(np.packbits(member, axis=1).T[::-1]) if not member.all() else np.arange(len(asked))
+    tile = max(1, CELLS // len(held))
+    found = []
+    for at in range(0, len(asked), tile):
+        some = order[at : at + tile]
+        probed = member[some]
+        place = slice(None) if probed.all() else np.flatnonzero(probed.any(0)[cell])
+        out = None if probed.all() else ~probed[:, cell[place]]
+        at_id, at_row = by_id[place], np.arange(len(held))[place]
+        score = _scores(units[some], about[place], out)
+        q, d = _shortlisted(score, at_id, shortlist)
+        cosine = _cosines(asked, norms, held, some[q], at_row[d], held_norms)
+        best = _first_k(q, cosine, at_id[d], k)
+        floor = np.full(len(some), np.inf)
+        np.minimum.at(floor, q[best], cosine[best])
+        floor[np.bincount(q[best], minlength=len(some)) < k] = -np.inf
+        q, d = _reaching(_scores(units[some], held_units[place], out), floor - margin)
+        cosine = _cosines(asked, norms, held, some[q], at_row[d], held_norms)
+        best = _first_k(q, cosine, at_id[d], k)
+        found.append((some[q[best]], at_row[d[best]], cosine[best]))
+    q, d, cosine = (np.concatenate(x) for x in zip(*found, strict=True))
+    return q, d, cosine
+
+
+def _scores(units: np.ndarray, rows: np.ndarray, out: np.ndarray | None) -> np.ndarray:
+    score = units @ rows.T
+    if out is not None:
+        score[out] = -np.inf
+    return score
+
+
+def _reaching(score: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where scores are at least ``low`` of their row; minus infinity is none."""
+    low = np.maximum(low, np.finfo(np.float32).min).astype(np.float32)
+    return np.divmod(np.flatnonzero(score >= low[:, None]), score.shape[1])
+
+
+def _shortlisted(score: np.ndarray, by_id: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the ``n`` greatest scores of each row are, scores rounded to six digits, equal ones by id; minus infinity is none."""
+    low = np.full(len(score), -np.inf, np.float32)
+    if score.shape[1] > n:
+        # The least score that counts, guessed from every eighth one; where fewer than n reach it, from all.
+        part = score[:, ::8]
+        guess = math.ceil(n / 8 * 1.5) + 8
+        if part.shape[1] > guess:
+            low = np.partition(part, -guess, axis=1)[:, -guess]
+        few = np.flatnonzero(np.count_nonzero(score >= low[:, None], axis=1) < n)
+        low[few] = np.partition(score[few], -n, axis=1)[:, -n]
+    q, d = _reaching(score, low - 2e-6)
+    best = _first_k(q, np.round(score[q, d], DIGITS), by_id[d], n)
+    return q[best], d[best]
 
 
 def _exactly(index: Served, short: DataFrame, cells: list[int], queries: DataFrame) -> DataFrame:
@@ -491,18 +646,19 @@ def search(
 
     The codes choose ``shortlist`` rows a query, 20 times ``k`` by default; similarities are exact
     cosines, rounded to six digits. Only the probed cells are read. Queries without a vector, or
-    with one of another length, find nothing. Up to ``broadcast_bytes`` of queries go to every
-    task; more than that meet the cells in blocks.
+    with one of another length, find nothing. Up to ``broadcast_bytes`` of queries and shortlists go
+    to every task; more than that meet the cells in blocks, each of which keeps shortlists of its own.
     """
     length = index.model.length
     queries = queries.filter(F.size("vector") == length).select("query_id", F.col("vector").alias("asked"))
     wanted = k + 1 if without_self else k
     shortlist = shortlist or 20 * wanted
     probes = min(probes, len(index.model.centres))
-    if 8 * length * queries.count() <= broadcast_bytes:
-        about, cells = _probed_by_broadcast(index, queries, probes, shortlist)
-    else:
-        about, cells = _probed_by_cells(index, queries, probes, shortlist, block or max(1, BLOCK_BYTES // (8 * length)))
+    n_queries = queries.count()
+    if n_queries * (8 * length + SHORT_BYTES * shortlist) > broadcast_bytes:
+        found = _probed_by_blocks(index, queries, n_queries, wanted, probes, shortlist, block or max(1, BLOCK_BYTES // (8 * length)))
+        return _merged(found, k, without_self)
+    about, cells = _probed_by_broadcast(index, queries, probes, shortlist)
     order = [F.desc("similarity"), F.asc("id")]
     short = materialized(top_per_key(about, ["query_id"], order, shortlist, salts=MERGE_SALTS, salt_on=("id",)), "shortlist")
     return _merged(_exactly(index, short, cells, queries), k, without_self)

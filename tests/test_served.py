@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from conftest import plan
@@ -168,3 +169,38 @@ def test_one_vector_and_none(spark, tmp_path):
     gone = spark.createDataFrame([(7, "delete", None)], "id long, change_type string, vector array<double>")
     empty = served.apply_changes(held, gone)
     assert empty.cells == {} and served.search(empty, asked(frame(spark, [(1, [4.0, 3.0])])), 5).collect() == []
+
+
+@pytest.mark.parametrize("probes", [3, 1000])
+def test_many_queries_miss_no_row_of_the_probed_cells(spark, tmp_path, probes):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=32).tolist()) for i in range(1, 1201)]
+    held = served.create(frame(spark, rows), str(tmp_path / "loose"), cells=12)
+    units = served._unit_rows(np.array([v for _, v in rows]))
+    near = served._cells_of(units, held.model.centres, min(probes, 12))
+    cosine = np.round(units @ units.T, 6)
+    np.fill_diagonal(cosine, -9)
+    cosine[~(near[:, :, None] == near[:, 0]).any(1)] = -9
+    ids = np.arange(1, 1201)
+    best = [np.lexsort((ids, -c))[:5] for c in cosine]
+    # A shortlist of 6 of 1,200 rows that do not cluster: the codes alone miss many.
+    got = served.search(held, asked(frame(spark, rows)), 5, probes, shortlist=6, without_self=True, broadcast_bytes=0, block=500)
+    assert {(r.query_id, r.id, r.rank) for r in got.collect()} == {(i + 1, ids[j], n) for i, b in enumerate(best) for n, j in enumerate(b, 1)}
+
+
+def test_a_hot_cell_is_cut_into_groups():
+    first, pieces, n = served._groups({0: 30, 1: 30, 3: 250, 4: 90, 5: 20}, 7, 100)
+    assert first.tolist() == [0, 0, -1, 1, 4, 5, -1] and pieces.tolist() == [1, 1, 1, 3, 1, 1, 1] and n == 6
+
+
+def test_ranking_waits_for_more_than_one_cell(monkeypatch):
+    rng = np.random.default_rng(2)
+    model = served.Model(rng.normal(size=(40, 4)), rng.normal(size=(2, 256, 2)))
+    calls, ranked = [], served._ranked
+    monkeypatch.setattr(served, "_ranked", lambda table, k: calls.append(table.num_rows) or ranked(table, k))
+    best = served._Best(served._unit_rows(rng.normal(size=(50, 4))), model, 5)
+    for cell in range(40):
+        codes = [bytes(rng.integers(0, 256, 2, np.uint8)) for _ in range(20)]
+        best.add(cell, np.arange(50), pa.table({"id": [cell * 20 + i for i in range(20)], "codes": pa.array(codes, pa.binary())}))
+    best.settle()
+    assert len(calls) == 1 and best.table.num_rows == 250
